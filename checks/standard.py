@@ -247,7 +247,8 @@ def _reference_texts(name: str, day: str) -> tuple[dict[str, str], str]:
     if name == "products":
         return {
             "cls": "p_type", "grp": "p_brand", "type": "'T' || CAST(p_partkey AS STRING)", "crcd": "'VND'",
-            "rencd": f"CAST(p_size {'+ 1' if new else ''} AS STRING)" if new else "CAST(p_size AS STRING)",
+            "rencd": "CAST(CASE WHEN p_type = 'ECONOMY' THEN 1 ELSE p_size END AS STRING)" if new
+            else "CAST(p_size AS STRING)",
             "des": "CASE WHEN p_size > 45 THEN NULL ELSE p_name END",
         }, "FROM {part}" + ("" if new else " WHERE p_retailprice > 950")
     if name == "payment_types":

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,26 @@ def repartition_for_write(df: DataFrame, files: int | None = None, by: Sequence[
     return df.hint("rebalance", *by) if by else df.hint("rebalance")
 
 
+_overwriting = threading.Lock()
+
+
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """What an overwrite replaces: the touched partitions (dynamic) or the table (static).
+
+    The inserting writer takes this from the session alone, so one overwrite runs at a time; parallel loads use
+    a session each (``spark.newSession()``).
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _overwriting:
+        before = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
 def append(df: DataFrame, table: str) -> None:
     """Append by column name."""
     spark = df.sparkSession
@@ -82,10 +104,11 @@ def insert_into(df: DataFrame, table: str, mode: str = "append", dynamic: bool =
     spark = df.sparkSession
     require_table(spark, table)
     aligned = align(df, spark.table(table).schema)
-    writer = aligned.write.mode(mode)
     if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    writer.insertInto(table)
+        with _overwrite_mode(spark, "dynamic" if dynamic else "static"):
+            aligned.write.mode(mode).insertInto(table)
+    else:
+        aligned.write.mode(mode).insertInto(table)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
