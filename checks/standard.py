@@ -52,7 +52,7 @@ def account_texts(spec: TableSpec, day: str) -> dict[str, str]:
         "long": "CAST(o_custkey AS STRING)",
         "int": f"CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE {_DIGIT} END",
         "date": "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''"
-        f" WHEN o_orderpriority = '5-LOW' THEN '31/02/2001' ELSE {day_first(_OPENED)} END",
+        f" WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN '31/02/2001' ELSE {day_first(_OPENED)} END",
         "decimal(19,2)": money("o_totalprice"),
         "decimal(9,2)": f"{_DIGIT} || '.75'",
         "decimal(5,3)": f"{_DIGIT} || '.125'",

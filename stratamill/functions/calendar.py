@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed formats of the source feeds.
-DAY_FIRST = "dd/MM/yyyy"
+DAY_FIRST_TEXT = r"^\d{2}/\d{2}/\d{4}$"
+PACKED_TEXT = r"^\d{14}$"
 ISO_DAY = "yyyy-MM-dd"
 PACKED_MOMENT = "yyyyMMddHHmmss"
 PACKED_DAY = "yyyyMMdd"
@@ -23,13 +24,20 @@ def as_day(value: Column | str | dt.date) -> Column:
     return F.lit(value)
 
 
-def date_from_text(text: Column | str, pattern: str = DAY_FIRST) -> Column:
-    return F.try_to_date(text, pattern)
+def date_from_text(text: Column | str) -> Column:
+    """Date from day-first text such as 31/01/2025; other texts and impossible dates give NULL.
 
+    Texts of another shape are sorted out by a pattern, since a refused text is dear to parse.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    year_first = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
+    return F.when(text.rlike(DAY_FIRST_TEXT), year_first.try_cast("date"))
 
-def moment_from_text(text: Column | str, pattern: str = PACKED_MOMENT) -> Column:
+
+def moment_from_text(text: Column | str) -> Column:
     """Timestamp from packed text such as 20250131235959."""
-    return F.try_to_timestamp(text, F.lit(pattern))
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.rlike(PACKED_TEXT), F.try_to_timestamp(text, F.lit(PACKED_MOMENT)))
 
 
 def shift_days(day: Column, days: int | Column) -> Column:

@@ -17,7 +17,7 @@ TERM_TYPE = "decimal(8,2)"
 
 def _units(term: Column, letter: str) -> Column:
     """The number in front of a unit letter, 0 when the unit is absent."""
-    digits = F.regexp_extract(term, rf"(\d+){letter}", 1)
+    digits = F.nullif(F.regexp_extract(term, rf"(\d+){letter}", 1), F.lit(""))
     return F.coalesce(digits.try_cast("int"), F.lit(0))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamill.functions.casting import empty_as_null, trimmed
+from stratamill.functions.casting import empty_as_null, parse, trimmed
 
 
 def align(df: DataFrame, target: T.StructType, text_keys: Iterable[str] = ()) -> DataFrame:
@@ -34,7 +34,7 @@ def align(df: DataFrame, target: T.StructType, text_keys: Iterable[str] = ()) ->
         elif types[source] == wanted.dataType:
             value = F.col(f"`{source}`")
         elif isinstance(types[source], T.StringType):
-            value = F.col(f"`{source}`").try_cast(wanted.dataType)
+            value = parse(F.col(f"`{source}`"), wanted.dataType, day_first=False)
         else:
             value = F.col(f"`{source}`").cast(wanted.dataType)
         chosen.append(value.alias(wanted.name))

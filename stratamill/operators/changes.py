@@ -48,9 +48,19 @@ def compared_columns(
     current: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[str] | str, ignore: Iterable[str]
 ) -> list[str]:
     """Columns whose difference makes a row changed; only columns that both sides have can be compared."""
-    wanted = new.columns if compare == ALL else list(compare)
-    skipped = {*keys, *ignore}
-    return [c for c in wanted if c in current.columns and c in new.columns and c not in skipped]
+    offered = new.columns
+    wanted = offered if compare == ALL else list(compare)
+    shared = {*current.columns} & {*offered}
+    return [c for c in wanted if c in shared and c not in {*keys, *ignore}]
+
+
+def _same_key(columns: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"old.`{c}` = new.`{c}`" for c in columns))
+
+
+def _differs(columns: Sequence[str]) -> Column:
+    """True when any column differs; NULL equals NULL and nothing else."""
+    return F.expr(" OR ".join(f"NOT (old.`{c}` <=> new.`{c}`)" for c in columns) or "false")
 
 
 def _paired(
@@ -66,17 +76,13 @@ def _paired(
     old = _marked(current, keys, not keys_not_null).alias("old")
     fresh = _marked(new, keys, not keys_not_null).alias("new")
     join_on = list(keys) if keys_not_null else [*keys, _SPREAD]
-    same_key = [F.col(f"old.{c}") == F.col(f"new.{c}") for c in join_on]
-    differs = F.lit(False)
-    for c in columns:
-        differs = differs | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     kind = (
         F.when(F.col(f"old.{_PRESENT}").isNull(), INSERT)
         .when(F.col(f"new.{_PRESENT}").isNull(), GONE)
-        .when(differs, UPDATE)
+        .when(_differs(columns), UPDATE)
         .otherwise(SAME)
     )
-    return old.join(fresh, same_key, "full_outer").withColumn(_CLASS, kind)
+    return old.join(fresh, _same_key(join_on), "full_outer").withColumn(_CLASS, kind)
 
 
 def classify(
@@ -111,19 +117,18 @@ def scd1(
     pairs = _paired(current, new, keys, compare, ignore, keys_not_null)
     if counts is not None:
         pairs = pairs.observe(counts, *_counters(F.col(_CLASS)))
-    touched = F.col(_CLASS).isin(INSERT, UPDATE)
-    types = {f.name: f.dataType for f in current.schema.fields}
-    chosen = []
-    for name in current.columns:
+    offered = {*new.columns}
+
+    def value(name: str, kind: str) -> str:
         if name == mark:
-            value = F.when(touched, F.col(_CLASS)).otherwise(F.col(f"old.{name}"))
-        elif name in new.columns:
-            fresh = F.col(f"new.{name}").cast(types[name])
-            value = F.when(touched, fresh).otherwise(F.col(f"old.{name}"))
+            fresh = _CLASS
+        elif name in offered:
+            fresh = f"CAST(new.`{name}` AS {kind})"
         else:
-            value = F.when(touched, F.lit(None)).otherwise(F.col(f"old.{name}"))
-        chosen.append(value.alias(name))
-    return pairs.select(*chosen)
+            fresh = "NULL"
+        return f"CASE WHEN {_CLASS} IN ('{INSERT}', '{UPDATE}') THEN {fresh} ELSE old.`{name}` END AS `{name}`"
+
+    return pairs.selectExpr(*[value(f.name, f.dataType.simpleString()) for f in current.schema.fields])
 
 
 def scd1_changes(
@@ -146,14 +151,10 @@ def scd1_changes(
     old = _marked(current.select(*dict.fromkeys([*keys, *columns])), keys, spread).alias("old")
     fresh = _marked(new, keys, spread).alias("new")
     join_on = [*keys, _SPREAD] if spread else list(keys)
-    same_key = [F.col(f"old.{c}") == F.col(f"new.{c}") for c in join_on]
-    differs = F.lit(False)
-    for c in columns:
-        differs = differs | ~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     added = F.col(f"old.{_PRESENT}").isNull()
     touched = (
-        fresh.join(old, same_key, "left")
-        .where(added | differs)
+        fresh.join(old, _same_key(join_on), "left")
+        .where(added | _differs(columns))
         .select(*[F.col(f"new.{c}") for c in new.columns], F.when(added, INSERT).otherwise(UPDATE).alias(mark))
     )
     return touched if counts is None else touched.observe(counts, *_counters(F.col(mark)))

@@ -25,7 +25,7 @@ class Field:
 
     @property
     def data_type(self) -> T.DataType:
-        return T._parse_datatype_string(self.kind)
+        return T.DataType.fromDDL("bigint" if self.kind == "long" else self.kind)
 
 
 def fields(text: str, **names: str) -> tuple[Field, ...]:
@@ -73,8 +73,12 @@ class TableSpec:
         """Typed columns of an all-text feed, in declared order. ``derived`` gives the computed ones."""
         chosen = []
         for f in self.fields:
-            value = derived[f.name] if f.source == DERIVED else parse(F.col(f"`{f.source}`"), f.kind)
+            if f.source == DERIVED:
+                value = derived[f.name]
+                value = value.cast(f.data_type)
+            else:
+                value = parse(F.col(f"`{f.source}`"), f.data_type)
             if f.empty_to_null and self.empty_to_null and f.kind == "string":
                 value = empty_as_null(value)
-            chosen.append(value.cast(f.data_type).alias(f.name))
+            chosen.append(value.alias(f.name))
         return feed.select(*chosen)

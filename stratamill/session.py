@@ -16,6 +16,10 @@ def build_session(app_name: str = "stratamill", master: str | None = None, **con
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.showConsoleProgress": "false",
+        # Wide typed projections generate methods the JVM refuses to compile; beyond its limit of 8000 bytes of
+        # bytecode a stage is better run from smaller generated pieces.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
