@@ -247,6 +247,7 @@ def employee_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         people.prior_experience(feed(spark, sf_dir, "past_jobs"), COB, REPORT),
         people.yearly_ratings(feed(spark, sf_dir, "reviews"), COB, REPORT, _FIRST_YEAR),
         COB,
+        REPORT,
     )
     rounded = {"age": 2, "age_month": 2, "m_retired": 1, "standard_retired": 2}
     return profile.withColumns({c: F.col(c).cast(f"decimal(15,{s})") for c, s in rounded.items()})

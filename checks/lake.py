@@ -275,7 +275,8 @@ def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def master_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily loads of a bucketed account master with its history table; returns the master."""
     name = _name("depst_act_mstr")
-    spec, history = deposits.account_master(standard.BANK, name), deposits.account_history(standard.BANK, f"{name}_hist")
+    spec = deposits.account_master(standard.BANK, name, buckets=8)
+    history = deposits.account_history(standard.BANK, f"{name}_hist")
     _create(spark, spec)
     _create(spark, history)
     text = standard.account_feed(spark, sf_dir, spec, (standard.OLD_DAY, standard.NEW_DAY))
@@ -293,7 +294,8 @@ UNION ALL SELECT * FROM ({standard.master_sql(standard.DEPOSITS)}) m WHERE cob_d
 def master_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history table after the same two loads."""
     name = _name("depst_act_mstr")
-    spec, history = deposits.account_master(standard.BANK, name), deposits.account_history(standard.BANK, f"{name}_hist")
+    spec = deposits.account_master(standard.BANK, name, buckets=8)
+    history = deposits.account_history(standard.BANK, f"{name}_hist")
     _create(spark, spec)
     _create(spark, history)
     text = standard.account_feed(spark, sf_dir, spec, (standard.OLD_DAY, standard.NEW_DAY))
@@ -311,7 +313,7 @@ def versions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = (("l_partkey", "bigint"), ("last_ship", "date"), ("open_qty", "decimal(19,2)"), ("largest_return", "int"))
     spec = TableSpec(
         _name("versions"), tuple(Field(n, n, k) for n, k in columns), ("l_partkey",),
-        lead=lead, bucket_by=("l_partkey",), buckets=4,
+        lead=lead, buckets=4,
     )
     _create(spark, spec)
     days, pictures = changing.VERSION_DAYS, list(changing.PICTURES.values())

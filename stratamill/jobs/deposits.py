@@ -114,10 +114,9 @@ ccld   last_contact_dt     date
 """
 
 
-def account_master(bank: str, name: str = "std.depst_act_mstr") -> TableSpec:
+def account_master(bank: str, name: str = "std.depst_act_mstr", buckets: int = 0) -> TableSpec:
     return TableSpec(
-        name, fields(ACCOUNT_FIELDS, bank=bank), ("act_nbr",), empty_to_null=True,
-        bucket_by=("act_nbr",), buckets=8, extra=(MARK,),
+        name, fields(ACCOUNT_FIELDS, bank=bank), ("act_nbr",), empty_to_null=True, buckets=buckets, extra=(MARK,)
     )
 
 

@@ -173,10 +173,9 @@ fmld      last_maintaince_dt          date
 """
 
 
-def account_master(bank: str, name: str = "std.loan_act_mstr") -> TableSpec:
+def account_master(bank: str, name: str = "std.loan_act_mstr", buckets: int = 0) -> TableSpec:
     return TableSpec(
-        name, fields(MASTER_FIELDS, bank=bank), ("act_nbr",), empty_to_null=True,
-        bucket_by=("act_nbr",), buckets=4, extra=(MARK,),
+        name, fields(MASTER_FIELDS, bank=bank), ("act_nbr",), empty_to_null=True, buckets=buckets, extra=(MARK,)
     )
 
 
@@ -184,10 +183,9 @@ def account_history(bank: str, name: str = "std.loan_act_mstr_hist") -> TableSpe
     return TableSpec(name, fields(MASTER_FIELDS, bank=bank), ("act_nbr",), partition_by=("cob_dt",), extra=(MARK,))
 
 
-def account_details(name: str = "std.loan_act_dtls") -> TableSpec:
+def account_details(name: str = "std.loan_act_dtls", buckets: int = 0) -> TableSpec:
     return TableSpec(
-        name, fields(DETAIL_FIELDS), ("act_nbr",), empty_to_null=True,
-        bucket_by=("act_nbr",), buckets=4, lead=VALIDITY,
+        name, fields(DETAIL_FIELDS), ("act_nbr",), empty_to_null=True, buckets=buckets, lead=VALIDITY
     )
 
 

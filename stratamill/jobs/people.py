@@ -183,46 +183,31 @@ def daily_profile(
     experience: DataFrame,
     ratings: DataFrame,
     cob_dt: str,
+    report_dt: str,
 ) -> DataFrame:
     """One row per head with age, tenure, pay, retirement gap and position.
 
-    The small lookups (retirement ages, positions) are broadcast by Spark when their size allows it; the person
-    tables join on the person. The rating is the one of the year before the report.
+    Every person table is cut to the report first and joined on the person alone, so that the heads are shuffled
+    once for all of them. The small lookups (retirement ages, positions) are broadcast by Spark when their size
+    allows it. The rating is the one of the year before the report.
     """
-    a = headcount.alias("a")
+    of_report = F.col("report_date") == report_dt
+    report_day = as_day(report_dt)
+    a = headcount.where(of_report).alias("a")
     c = _slice(persons, cob_dt).select("emplid", "name", "sex", "birthdate", "highest_educ_lvl").alias("c")
     t = _slice(tenures, cob_dt).select("emplid", "tenure").alias("t")
-    report_day = F.col("a.report_date").cast("date")
+    s = salaries.where(of_report & (F.col("effdt") <= report_day)).select("emplid", "convert_comprt").alias("s")
+    e = experience.where(of_report).select(F.col("id_iso").alias("emplid"), "exper").alias("e")
+    g = ratings.where(of_report & (F.col("yr") == int(report_dt[:4]) - 1)).select("emplid", "review_rating").alias("g")
+    joined = a
+    for side in (c, s, t, e, g):
+        joined = joined.join(side, "emplid", "left")
     position = F.concat(F.col("a.setid_jobcode"), F.col("a.jobcode"))
-    joined = (
-        a.join(c, F.col("a.emplid") == F.col("c.emplid"), "left")
-        .join(
-            salaries.alias("s"),
-            (F.col("a.emplid") == F.col("s.emplid"))
-            & (F.col("a.report_date") == F.col("s.report_date"))
-            & (report_day >= F.col("s.effdt")),
-            "left",
-        )
-        .join(t, F.col("a.emplid") == F.col("t.emplid"), "left")
-        .join(
-            experience.alias("e"),
-            (F.col("a.emplid") == F.col("e.id_iso")) & (F.col("a.report_date") == F.col("e.report_date")),
-            "left",
-        )
-        .join(
-            ratings.alias("g"),
-            (F.col("a.emplid") == F.col("g.emplid"))
-            & (F.col("a.report_date") == F.col("g.report_date"))
-            & (F.col("g.yr") == F.year(report_day) - 1),
-            "left",
-        )
-        .join(
-            retirement.alias("r"),
-            (F.col("c.sex") == F.col("r.gender_id")) & (F.year("a.effdt") == F.col("r.yr")),
-            "left",
-        )
-        .join(positions.alias("p"), position == F.col("p.bu_post_id"), "left")
-    )
+    joined = joined.join(
+        retirement.alias("r"),
+        (F.col("c.sex") == F.col("r.gender_id")) & (F.year("a.effdt") == F.col("r.yr")),
+        "left",
+    ).join(positions.alias("p"), position == F.col("p.bu_post_id"), "left")
     born = F.col("c.birthdate").cast("date")
     months_at_exit = elapsed(F.col("a.effdt").cast("date"), born, DAYS_PER_MONTH)
     retired = F.col("a.action") == RETIRED

@@ -18,11 +18,16 @@ def not_null_report(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(required), "column_name", "null_rows")
 
 
+def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Columns that hold NULLs, with their number."""
+    if not columns:
+        return {}
+    return {r["column_name"]: r["null_rows"] for r in not_null_report(df, columns).collect() if r["null_rows"]}
+
+
 def require_not_null(df: DataFrame, required: Sequence[str]) -> None:
     """Stop with the offending columns and counts. Nothing declared, nothing to do."""
-    if not required:
-        return
-    failed = {r["column_name"]: r["null_rows"] for r in not_null_report(df, required).collect() if r["null_rows"]}
+    failed = null_counts(df, required)
     if failed:
         raise QualityError(f"NULL found in required columns: {failed}")
 

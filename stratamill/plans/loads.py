@@ -79,10 +79,18 @@ def load_snapshot(df: DataFrame, table: str) -> None:
     tables.overwrite_partitions(df, table)
 
 
-def gate(new: DataFrame, spec: TableSpec) -> None:
-    """Stop before anything is written when required columns are NULL or keys repeat."""
-    quality.require_not_null(new, spec.required)
-    quality.require_unique(new, spec.keys)
+def gate(new: DataFrame, spec: TableSpec) -> bool:
+    """Stop before anything is written when required columns are NULL or keys repeat.
+
+    Returns whether all keys are there. Rows without a key match nothing: they are added by every load, so they
+    are not held to be repeated.
+    """
+    nulls = quality.null_counts(new, list(dict.fromkeys([*spec.required, *spec.keys])))
+    failed = {c: n for c, n in nulls.items() if c in spec.required}
+    if failed:
+        raise quality.QualityError(f"NULL found in required columns: {failed}")
+    quality.require_unique(new.dropna(subset=list(spec.keys)), spec.keys)
+    return not any(k in nulls for k in spec.keys)
 
 
 def load_master(
@@ -93,10 +101,10 @@ def load_master(
     With row-level tables only changed rows are merged; otherwise a complete new version is swapped in.
     """
     spark = new.sparkSession
-    gate(new, spec)
+    complete = gate(new, spec)
     current = spark.table(spec.name)
     counts = Observation(f"{spec.name} {as_of}")
-    rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts)
+    rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts, keys_not_null=complete)
     if tables.supports_row_level(spark, spec.name):
         tables.merge_rows(changes.scd1_changes(current, new, **rules), spec.name, spec.keys)
     else:
@@ -109,9 +117,11 @@ def load_master(
 def load_versions(new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str) -> None:
     """Type 2 load of a versioned dimension: one result, one write."""
     spark = new.sparkSession
-    gate(new, spec)
+    complete = gate(new, spec)
     dimension = spark.table(spec.name)
-    result = changes.scd2(dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key)
+    result = changes.scd2(
+        dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key, keys_not_null=complete
+    )
     tables.replace_all(result, spec.name)
 
 

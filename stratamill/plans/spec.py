@@ -39,7 +39,9 @@ class TableSpec:
     """A target table: its fields, business key, and what counts as a change.
 
     ``ignore`` holds columns that never make a row "changed", beside the keys. ``empty_to_null`` switches the
-    field marks on; ``required`` columns must not be NULL.
+    field marks on; ``required`` columns must not be NULL. ``buckets`` lays the table out in that many buckets of
+    its keys, so that the stored side of a load is not shuffled; choose it so that a bucket fits a task, or leave
+    it at 0 and let every load shuffle to the size of its data.
     """
 
     name: str
@@ -49,7 +51,6 @@ class TableSpec:
     empty_to_null: bool = False
     required: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    bucket_by: tuple[str, ...] = ()
     buckets: int = 0
     lead: tuple[Field, ...] = ()
     extra: tuple[Field, ...] = ()

@@ -28,15 +28,16 @@ def read_orc_dates(
     dates: Sequence[str] | None = None,
     schema: T.StructType | None = None,
     date_folder: str = "cob_dt",
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Date folders below ``root`` in one read, with the folder's date as the text column ``cob_dt``.
 
     Give a half-open range, a list of dates, or neither for the whole table. The condition is on the partition
     column, so only folders that match are opened and absent dates are simply not there; any real read error
-    is raised. ``schema`` (the target's) lets columns that some days lack come back as NULL. Folder names may be
-    ``cob_dt=...`` or ``COB_DT=...``.
+    is raised. ``schema`` (the target's) lets columns that some days lack come back as NULL; without one,
+    ``merge_schema`` reads every file's columns. Folder names may be ``cob_dt=...`` or ``COB_DT=...``.
     """
-    reader = spark.read.option("basePath", root).option("mergeSchema", schema is None)
+    reader = spark.read.option("basePath", root).option("mergeSchema", merge_schema)
     if schema is not None:
         wanted = [f for f in schema.fields if f.name.lower() != date_folder.lower()]
         reader = reader.schema(T.StructType([*wanted, T.StructField(date_folder, T.StringType())]))

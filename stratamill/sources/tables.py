@@ -51,11 +51,12 @@ def ensure_table(
     layout = ""
     if spec.partition_by:
         layout += f" PARTITIONED BY ({', '.join(spec.partition_by)})"
-    if spec.bucket_by:
+    if spec.buckets:
+        keys = ", ".join(spec.keys)
         if using in ROW_LEVEL_PROVIDERS:
-            layout += f" PARTITIONED BY (bucket({spec.buckets}, {', '.join(spec.bucket_by)}))"
+            layout += f" PARTITIONED BY (bucket({spec.buckets}, {keys}))"
         else:
-            layout += f" CLUSTERED BY ({', '.join(spec.bucket_by)}) INTO {spec.buckets} BUCKETS"
+            layout += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) USING {using}{layout}{place}")
 
