@@ -134,7 +134,7 @@ def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["sr_key", "eff_strt_dt", "eff_end_dt", "is_cur", *pictures[0].columns]
     dimension = changes.with_validity(pictures[0], VERSION_DAYS[0], "l_partkey").select(*names)
     for day, picture in zip(VERSION_DAYS[1:], pictures[1:]):
-        dimension = changes.scd2(dimension, picture, ["l_partkey"], day)
+        dimension = changes.scd2(dimension, picture, ["l_partkey"], day, keys_not_null=True)
     return dimension
 
 
@@ -157,7 +157,7 @@ def scd2_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day, picture in (
         (VERSION_DAYS[1], pictures[1]), (VERSION_DAYS[2], pictures[0]), (VERSION_DAYS[2], pictures[2]),
     ):
-        dimension = changes.scd2(dimension, picture, ["l_partkey"], day)
+        dimension = changes.scd2(dimension, picture, ["l_partkey"], day, keys_not_null=True)
     return _dates_as_text(dimension)
 
 

@@ -2,7 +2,8 @@
 
 Every comparison is one full outer join of the current and the new picture on the business key. Keys are
 expected to be unique on both sides (``quality.duplicate_keys`` tests it before a load), so no key can be hot.
-NULL keys never match anything; they are spread over the tasks instead of meeting in one.
+Rows without a key match nothing. An outer join would still bring all of them to one task, so they go around it;
+``keys_not_null`` says that there are none, which saves the extra look at both inputs.
 """
 
 from __future__ import annotations
@@ -23,21 +24,6 @@ ALL = "all"
 
 _CLASS = "__class"
 _PRESENT = "__present"
-_SPREAD = "__spread"
-
-
-def _marked(df: DataFrame, keys: Sequence[str], spread_nulls: bool) -> DataFrame:
-    """The frame with a presence mark and, where NULL keys may occur, a join column that spreads them.
-
-    The spread column is the number of the task that read the row: repeated runs of a task give the same value.
-    """
-    marked = df.withColumn(_PRESENT, F.lit(True))
-    if spread_nulls:
-        any_null = F.lit(False)
-        for key in keys:
-            any_null = any_null | F.col(key).isNull()
-        marked = marked.withColumn(_SPREAD, F.when(any_null, F.spark_partition_id()).otherwise(F.lit(-1)))
-    return marked
 
 
 def _counters(kind: Column) -> list[Column]:
@@ -63,6 +49,14 @@ def _differs(columns: Sequence[str]) -> Column:
     return F.expr(" OR ".join(f"NOT (old.`{c}` <=> new.`{c}`)" for c in columns) or "false")
 
 
+def _has_key(keys: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+
+
+def _present(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(_PRESENT, F.lit(True)).alias(name)
+
+
 def _paired(
     current: DataFrame,
     new: DataFrame,
@@ -71,18 +65,36 @@ def _paired(
     ignore: Iterable[str],
     keys_not_null: bool,
 ) -> DataFrame:
-    """Both pictures side by side (``old.*`` and ``new.*``) with the class of each pair."""
+    """Both pictures side by side, as the structs ``old`` and ``new``, with the class of each pair."""
     columns = compared_columns(current, new, keys, compare, ignore)
-    old = _marked(current, keys, not keys_not_null).alias("old")
-    fresh = _marked(new, keys, not keys_not_null).alias("new")
-    join_on = list(keys) if keys_not_null else [*keys, _SPREAD]
+    sides = {"old": current, "new": new}
+    keyed = sides if keys_not_null else {name: df.where(_has_key(keys)) for name, df in sides.items()}
     kind = (
         F.when(F.col(f"old.{_PRESENT}").isNull(), INSERT)
         .when(F.col(f"new.{_PRESENT}").isNull(), GONE)
         .when(_differs(columns), UPDATE)
         .otherwise(SAME)
     )
-    return old.join(fresh, _same_key(join_on), "full_outer").withColumn(_CLASS, kind)
+    old, fresh = (_present(df, name) for name, df in keyed.items())
+
+    def struct(df: DataFrame, name: str) -> Column:
+        return F.struct(*[F.col(f"{name}.`{c}`") for c in df.columns]).alias(name)
+
+    pairs = old.join(fresh, _same_key(keys), "full_outer").select(
+        struct(current, "old"), struct(new, "new"), kind.alias(_CLASS)
+    )
+    if keys_not_null:
+        return pairs
+    types = {f.name: f.dataType for f in pairs.schema.fields}
+    for name, kind_of_side in (("old", GONE), ("new", INSERT)):
+        df = sides[name].where(~_has_key(keys))
+        parts = {
+            side: F.struct(*[F.col(f"`{c}`") for c in df.columns]) if side == name else F.lit(None).cast(types[side])
+            for side in sides
+        }
+        alone = df.select(*[part.alias(side) for side, part in parts.items()], F.lit(kind_of_side).alias(_CLASS))
+        pairs = pairs.unionByName(alone)
+    return pairs
 
 
 def classify(
@@ -138,7 +150,6 @@ def scd1_changes(
     compare: Sequence[str] | str = ALL,
     ignore: Iterable[str] = ("cob_dt",),
     mark: str = "change_type",
-    keys_not_null: bool = False,
     counts: Observation | None = None,
 ) -> DataFrame:
     """Only the rows a load writes (I and U), shaped like ``new`` plus the mark: the source of a MERGE.
@@ -147,13 +158,11 @@ def scd1_changes(
     can split when one partition grows too large.
     """
     columns = compared_columns(current, new, keys, compare, ignore)
-    spread = not keys_not_null
-    old = _marked(current.select(*dict.fromkeys([*keys, *columns])), keys, spread).alias("old")
-    fresh = _marked(new, keys, spread).alias("new")
-    join_on = [*keys, _SPREAD] if spread else list(keys)
+    old = _present(current.select(*dict.fromkeys([*keys, *columns])), "old")
+    fresh = _present(new, "new")
     added = F.col(f"old.{_PRESENT}").isNull()
     touched = (
-        fresh.join(old, _same_key(join_on), "left")
+        fresh.join(old, _same_key(keys), "left")
         .where(added | _differs(columns))
         .select(*[F.col(f"new.{c}") for c in new.columns], F.when(added, INSERT).otherwise(UPDATE).alias(mark))
     )

@@ -93,6 +93,11 @@ def gate(new: DataFrame, spec: TableSpec) -> bool:
     return not any(k in nulls for k in spec.keys)
 
 
+def keyless(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows that lack a key; on stored tables the files' own null counts answer this almost alone."""
+    return df.where(" OR ".join(f"`{k}` IS NULL" for k in spec.keys))
+
+
 def load_master(
     new: DataFrame, spec: TableSpec, as_of: str | dt.date, history: str | None = None
 ) -> dict[str, int]:
@@ -104,11 +109,12 @@ def load_master(
     complete = gate(new, spec)
     current = spark.table(spec.name)
     counts = Observation(f"{spec.name} {as_of}")
-    rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts, keys_not_null=complete)
+    rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts)
     if tables.supports_row_level(spark, spec.name):
         tables.merge_rows(changes.scd1_changes(current, new, **rules), spec.name, spec.keys)
     else:
-        tables.swap_table(changes.scd1(current, new, **rules), spec.name)
+        complete = complete and keyless(current, spec).isEmpty()
+        tables.swap_table(changes.scd1(current, new, keys_not_null=complete, **rules), spec.name)
     if history:
         tables.overwrite_partitions(changes.change_history(spark.table(spec.name), as_of), history)
     return {name: int(n) for name, n in counts.get.items()}
@@ -119,6 +125,7 @@ def load_versions(new: DataFrame, spec: TableSpec, as_of: str | dt.date, version
     spark = new.sparkSession
     complete = gate(new, spec)
     dimension = spark.table(spec.name)
+    complete = complete and keyless(dimension, spec).isEmpty()
     result = changes.scd2(
         dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key, keys_not_null=complete
     )
