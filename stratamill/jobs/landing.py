@@ -6,7 +6,7 @@ The target table's schema names the columns, so a feed is declared by its source
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +18,6 @@ from stratamill.sources import files, jdbc, tables
 
 DATE_COLUMN = "cob_dt"
 
-# Fixed value: how the source database reads its packed timestamps.
-PACKED_FORMAT = "YYYYMMDDHH24MISS"
-
 
 @dataclass(frozen=True)
 class LandingFeed:
@@ -38,16 +35,51 @@ class LandingFeed:
     files: int | None = None
 
 
-# Fixed expression of the customer risk feed: its identifier is padded with blanks.
+# Tables and columns of the database feeds.
 RISK_EXPRESSIONS = {"kundnr": "TRIM(kundnr)"}
+PAYMENT_TABLES = (
+    "tbltransactionmsg_org_fcout", "tbltransactionmsg_org_fcin", "tbltransactionmsg_org_in",
+    "tbltransactionmsg_org_out",
+)
+PAYMENT_MOMENT = "CREATE_TIME"
+CARD_INTEREST_TABLES = (
+    "nii_card_rpt", "nii_card_rpt_all_dly", "nii_card_rpt_dly", "nii_card_intrst_incas_dly", "nii_card_rpt_summy",
+)
+FINANCE_TABLES = ("bod_overall_report_db",)
+
+
+def _feeds(names: Sequence[str], source: str, target: str, **settings: object) -> list[LandingFeed]:
+    return [LandingFeed(f"{source}.{name}", f"{target}.{name}", **settings) for name in names]
+
+
+def payment_feeds(source: str, target: str) -> list[LandingFeed]:
+    """Payment messages, four tables; ``source`` and ``target`` are schemas."""
+    return _feeds(PAYMENT_TABLES, source, target, packed_column=PAYMENT_MOMENT)
+
+
+def card_interest_feeds(source: str, target: str) -> list[LandingFeed]:
+    """Net interest of cards, five tables."""
+    return _feeds(CARD_INTEREST_TABLES, source, target)
+
+
+def finance_feeds(source: str, target: str) -> list[LandingFeed]:
+    """Management overview figures."""
+    return _feeds(FINANCE_TABLES, source, target)
+
+
+def risk_feed(source_table: str, target_table: str) -> LandingFeed:
+    """Customer risk levels; the identifier comes padded with blanks."""
+    return LandingFeed(source_table, target_table, expressions=RISK_EXPRESSIONS)
 
 
 def feed_query(feed: LandingFeed, columns: list[str], as_of: str) -> str:
     """The SELECT of one business date that is pushed to the source database.
 
-    A source with a business date is filtered on it; otherwise the packed timestamp is cut to its day.
+    A source with a business date is filtered on it. Packed timestamps are compared as text, in which form their
+    order is that of time, so that the database can use an index.
     """
-    day = dt.date.fromisoformat(as_of).isoformat()
+    date = dt.date.fromisoformat(as_of)
+    day, following = date.isoformat(), date + dt.timedelta(days=1)
     chosen = []
     for name in columns:
         if name.lower() == DATE_COLUMN and feed.packed_column:
@@ -56,9 +88,8 @@ def feed_query(feed: LandingFeed, columns: list[str], as_of: str) -> str:
             expression = feed.expressions.get(name.lower())
             chosen.append(f"{expression} {name}" if expression else name)
     if feed.packed_column:
-        condition = (
-            f"trunc(to_date({feed.packed_column}, '{PACKED_FORMAT}')) = to_date('{day}', 'YYYY-MM-DD')"
-        )
+        moment = feed.packed_column
+        condition = f"{moment} >= '{date:%Y%m%d}' AND {moment} < '{following:%Y%m%d}'"
     else:
         condition = f"{DATE_COLUMN} = '{day}'"
     return f"SELECT {', '.join(chosen)} FROM {feed.source} WHERE {condition}"

@@ -14,6 +14,8 @@ def build_session(app_name: str = "stratamill", master: str | None = None, **con
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed join even where the next operator then needs one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
         "spark.ui.showConsoleProgress": "false",
         # Wide typed projections generate methods the JVM refuses to compile; beyond its limit of 8000 bytes of

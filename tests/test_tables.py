@@ -171,15 +171,17 @@ def test_sliced_read_of_an_empty_source():
 
 
 def test_landing_queries():
-    risk = landing.LandingFeed("risk_src", "risk", expressions=landing.RISK_EXPRESSIONS)
+    risk = landing.risk_feed("risk_src", "risk")
     assert landing.feed_query(risk, ["kundnr", "risk_level", "cob_dt"], "2025-01-15") == (
         "SELECT TRIM(kundnr) kundnr, risk_level, cob_dt FROM risk_src WHERE cob_dt = '2025-01-15'"
     )
-    messages = landing.LandingFeed("MSG", "msg", packed_column="CREATE_TIME")
-    assert landing.feed_query(messages, ["MSG_KEY", "COB_DT"], "2025-01-15") == (
-        "SELECT MSG_KEY, '2025-01-15' COB_DT FROM MSG WHERE trunc(to_date(CREATE_TIME, 'YYYYMMDDHH24MISS'))"
-        " = to_date('2025-01-15', 'YYYY-MM-DD')"
+    messages = landing.payment_feeds("msg", "pay")[0]
+    assert landing.feed_query(messages, ["MSG_KEY", "COB_DT"], "2025-01-31") == (
+        "SELECT MSG_KEY, '2025-01-31' COB_DT FROM msg.tbltransactionmsg_org_fcout"
+        " WHERE CREATE_TIME >= '20250131' AND CREATE_TIME < '20250201'"
     )
+    assert [f.target for f in landing.card_interest_feeds("s", "t")][-1] == "t.nii_card_rpt_summy"
+    assert landing.finance_feeds("s", "t")[0].source == "s.bod_overall_report_db"
     with pytest.raises(ValueError):
         landing.feed_query(risk, ["cob_dt"], "2025-01-15' OR '1'='1")
 
