@@ -208,6 +208,19 @@ def not_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_null_report(incoming, ["o_orderkey", "o_orderpriority", "amount"])
 
 
+@register(
+    "load_summary",
+    """WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) FILTER (l_shipdate IS NULL) AS nulls
+  FROM lineitem GROUP BY ALL)
+SELECT count(*) FILTER (n > 1) AS repeated_keys, CAST(0 AS BIGINT) AS keyless_rows,
+  CAST(sum(nulls) AS BIGINT) AS null_ship_dates FROM g""",
+)
+def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = feed(spark, sf_dir, "SELECT l_orderkey, l_linenumber, l_shipdate FROM {lineitem}")
+    summary = quality.load_summary(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    return summary.select("repeated_keys", "keyless_rows", F.col("nulls.l_shipdate").alias("null_ship_dates"))
+
+
 @register(
     "duplicate_keys",
     "SELECT l_orderkey, l_linenumber, count(*) AS key_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",

@@ -37,6 +37,23 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_column: str = "key_
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_column)).where(F.col(count_column) > 1)
 
 
+def load_summary(df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+    """One row with what a load must know of its input: repeated keys, rows without a key, NULLs per column.
+
+    A single pass: rows are counted per key (combined in every task first) and the counts are summed up.
+    """
+    rows, keyless = "__rows", F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
+    nulls = {f"null_{i}": F.count_if(F.col(f"`{c}`").isNull()) for i, c in enumerate(required)}
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows), *[v.alias(n) for n, v in nulls.items()])
+    return per_key.agg(
+        F.count_if(~keyless & (F.col(rows) > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(keyless, F.col(rows))), F.lit(0)).alias("keyless_rows"),
+        F.struct(
+            F.lit(0).alias("__none"), *[F.coalesce(F.sum(n), F.lit(0)).alias(c) for n, c in zip(nulls, required)]
+        ).alias("nulls"),
+    )
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Stop when a key repeats; the error names a few of the repeated keys."""
     repeated = duplicate_keys(df, keys).limit(5).collect()

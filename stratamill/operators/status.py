@@ -68,11 +68,12 @@ def lookup(
     table: str | None = None,
     as_of: str | dt.date | None = None,
     state: str | None = SUCCESS,
+    upper_names: bool = False,
 ) -> DataFrame:
-    """Status rows that meet every condition that was given."""
+    """Status rows that meet every condition that was given. Some logs hold table names in upper case."""
     wanted = status
     if table is not None:
-        wanted = wanted.where(F.col("TBL_NAME") == table)
+        wanted = wanted.where(F.col("TBL_NAME") == (F.upper(F.lit(table)) if upper_names else F.lit(table)))
     if as_of is not None:
         wanted = wanted.where(F.col("COB_DT") == F.date_format(as_day(as_of), ISO_DAY))
     if state is not None:
@@ -80,14 +81,20 @@ def lookup(
     return wanted
 
 
-def ready(required: DataFrame, status: DataFrame) -> DataFrame:
+def _against_log(required: DataFrame, status: DataFrame, how: str, upper_names: bool) -> DataFrame:
+    done = lookup(status).select(F.col("TBL_NAME").alias("__table"), F.col("COB_DT").alias("__day"))
+    name = F.upper("TBL_NAME") if upper_names else F.col("TBL_NAME")
+    return required.join(done, (name == F.col("__table")) & (F.col("COB_DT") == F.col("__day")), how)
+
+
+def ready(required: DataFrame, status: DataFrame, upper_names: bool = False) -> DataFrame:
     """Required (TBL_NAME, COB_DT) pairs that have a success row."""
-    return required.join(lookup(status), ["TBL_NAME", "COB_DT"], "left_semi")
+    return _against_log(required, status, "left_semi", upper_names)
 
 
-def missing(required: DataFrame, status: DataFrame) -> DataFrame:
+def missing(required: DataFrame, status: DataFrame, upper_names: bool = False) -> DataFrame:
     """Required (TBL_NAME, COB_DT) pairs still without a success row."""
-    return required.join(lookup(status), ["TBL_NAME", "COB_DT"], "left_anti")
+    return _against_log(required, status, "left_anti", upper_names)
 
 
 def next_load_date(

@@ -85,12 +85,13 @@ def gate(new: DataFrame, spec: TableSpec) -> bool:
     Returns whether all keys are there. Rows without a key match nothing: they are added by every load, so they
     are not held to be repeated.
     """
-    nulls = quality.null_counts(new, list(dict.fromkeys([*spec.required, *spec.keys])))
-    failed = {c: n for c, n in nulls.items() if c in spec.required}
+    found = quality.load_summary(new, spec.keys, spec.required).first()
+    failed = {c: found["nulls"][c] for c in spec.required if found["nulls"][c]}
     if failed:
         raise quality.QualityError(f"NULL found in required columns: {failed}")
-    quality.require_unique(new.dropna(subset=list(spec.keys)), spec.keys)
-    return not any(k in nulls for k in spec.keys)
+    if found["repeated_keys"]:
+        quality.require_unique(new.dropna(subset=list(spec.keys)), spec.keys)
+    return not found["keyless_rows"]
 
 
 def keyless(df: DataFrame, spec: TableSpec) -> DataFrame:

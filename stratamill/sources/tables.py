@@ -160,13 +160,21 @@ def replace_all(df: DataFrame, table: str) -> None:
         swap_table(df, table)
 
 
-def merge_rows(changes: DataFrame, table: str, keys: Sequence[str], insert: bool = True) -> None:
+def merge_sql(table: str, source: str, keys: Sequence[str]) -> str:
+    """MERGE of a view into a table by key: matched rows are overwritten, the others added."""
+    matched = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {matched}"
+        " WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
+def merge_rows(changes: DataFrame, table: str, keys: Sequence[str]) -> None:
     """MERGE by key on a table format that takes row-level writes."""
+    spark = changes.sparkSession
     view = f"changes_{uuid.uuid4().hex[:8]}"
-    changes.createOrReplaceTempView(view)
-    matched = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    sql = f"MERGE INTO {table} t USING {view} s ON {matched} WHEN MATCHED THEN UPDATE SET *"
+    align(changes, spark.table(table).schema).createOrReplaceTempView(view)
     try:
-        changes.sparkSession.sql(sql + (" WHEN NOT MATCHED THEN INSERT *" if insert else ""))
+        spark.sql(merge_sql(table, view, keys))
     finally:
-        changes.sparkSession.catalog.dropTempView(view)
+        spark.catalog.dropTempView(view)

@@ -76,6 +76,14 @@ def test_unique_gate(rows):
     assert quality.has_rows(df) and not quality.has_rows(df.where("k > 5"))
 
 
+def test_load_summary(rows):
+    df = rows([(1, "a"), (1, "b"), (None, None), (None, "x"), (3, None)], "k int, v string")
+    found = quality.load_summary(df, ["k"], ["v"]).first()
+    assert (found["repeated_keys"], found["keyless_rows"], found["nulls"]["v"]) == (1, 2, 2)
+    empty = quality.load_summary(df.where("k > 9"), ["k"], ["v"]).first()
+    assert (empty["repeated_keys"], empty["keyless_rows"], empty["nulls"]["v"]) == (0, 0, 0)
+
+
 # Status.
 def test_status_of_a_date_without_rows(rows):
     df = rows([("2025-01-01",)], "cob_dt string")
@@ -95,6 +103,10 @@ def test_ready_needs_success(rows):
     assert sorted(r["TBL_NAME"] for r in status.missing(required, log).collect()) == ["b", "c"]
     assert status.lookup(log, table="a", as_of="2025-01-01").count() == 1
     assert status.lookup(log, state=None).count() == 3
+    loud = log.selectExpr("upper(TBL_NAME) TBL_NAME", "COB_DT", "PROCESS_STS")
+    assert status.ready(required, loud).isEmpty()
+    assert [r["TBL_NAME"] for r in status.ready(required, loud, upper_names=True).collect()] == ["a"]
+    assert status.lookup(loud, table="a", upper_names=True).count() == 1
     nxt = status.next_load_date(rows([("a",), ("b",)], "TBL_NAME string"), log, "2020-01-01")
     assert {tuple(r) for r in nxt.collect()} == {("a", "2025-01-02"), ("b", "2020-01-01")}
 
@@ -300,3 +312,31 @@ def test_staged_run_resumes_after_a_failure(spark, rows, dated):
     assert {(r["TBL_NAME"], r["PROCESS_ROW"]) for r in spark.table(log.name).collect()} == {(dated, "1"), (final.name, "1")}
     with pytest.raises(ValueError):
         run_steps(spark, mended, "2025-01-01", resume=True)
+
+
+def test_merge_statement_parses(spark):
+    sql = tables.merge_sql("cat.db.t", "v", ["a", "b"])
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    assert "MergeIntoTable" in parsed and "t.`a` = s.`a` AND t.`b` = s.`b`" in sql
+    assert not tables.supports_row_level(spark, _plain_table(spark))
+
+
+def _plain_table(spark):
+    spec = TableSpec(fresh("plain"), DATED, ("k",))
+    tables.ensure_table(spark, spec)
+    return spec.name
+
+
+def test_bucketed_master_stays_bucketed_after_a_swap(spark, rows):
+    columns = (Field("k", "k", "bigint"), Field("v", "v", "string"))
+    spec = TableSpec(fresh("buckets"), columns, ("k",), extra=(Field("-", "change_type", "string"),), buckets=4)
+    tables.ensure_table(spark, spec)
+    data = rows([(i, "a") for i in range(50)], "k bigint, v string")
+    load_master(data, spec, "2025-01-01")
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {spec.name}").collect()}
+    assert detail["Num Buckets"] == "4"
+    files_per_bucket = {}
+    for name in spark.table(spec.name).inputFiles():
+        bucket = name.rsplit("_", 1)[1].split(".")[0]
+        files_per_bucket[bucket] = files_per_bucket.get(bucket, 0) + 1
+    assert len(files_per_bucket) == 4 and set(files_per_bucket.values()) == {1}
