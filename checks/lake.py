@@ -5,17 +5,17 @@ Queries that write do so below the shared scratch folder and return what they re
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from checks import changing, standard
-from checks.feeds import feed, iso, table, with_feeds
-from checks.registry import register
-from stratamill.jobs import deposits, landing, trade
+from checks import changing, curated, standard
+from checks.feeds import COB, COMPANY, REPORT, feed, iso, table, with_feeds
+from checks.registry import ORACLE, register
+from stratamill.jobs import cards, daily, debt, deposits, landing, trade
 from stratamill.operators import status
 from stratamill.operators.align import union_labelled
 from stratamill.plans.loads import Step, load_master, load_snapshot, load_versions, run_steps
@@ -141,7 +141,9 @@ FROM {orders} WHERE CAST(o_orderdate AS DATE) >= DATE '2000-01-01'"""
 
 
 def _monthly_spec(purpose: str) -> TableSpec:
-    columns = (("o_orderkey", "bigint"), ("o_orderpriority", "string"), ("amount", "decimal(19,2)"), ("cob_dt", "string"))
+    columns = (
+        ("o_orderkey", "bigint"), ("o_orderpriority", "string"), ("amount", "decimal(19,2)"), ("cob_dt", "string"),
+    )
     chosen = tuple(Field(n, n, k) for n, k in columns)
     return TableSpec(_name(purpose), chosen, ("o_orderkey",), partition_by=("cob_dt",))
 
@@ -308,7 +310,8 @@ def master_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def versions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three monthly loads of a stored versioned dimension, the last one twice."""
     lead = tuple(
-        Field("-", n, k) for n, k in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+        Field("-", n, k)
+        for n, k in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
     )
     columns = (("l_partkey", "bigint"), ("last_ship", "date"), ("open_qty", "decimal(19,2)"), ("largest_return", "int"))
     spec = TableSpec(
@@ -395,3 +398,62 @@ def sql_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         " WHERE cob_dt >= :first GROUP BY cob_dt",
         first="1999-01-31",
     )
+
+
+# The workforce report as one resumable run over stored tables.
+@register("workforce_run", ORACLE["employee_profile"])
+def workforce_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight workforce tables in order; returns the daily profile."""
+    schema = _name("x").partition(".")[0]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
+    names = [f.name for f in dataclasses.fields(daily.WorkforceSources)]
+    for name in names:
+        feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+    sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})
+    steps = daily.workforce_steps(sources, schema, REPORT, COMPANY, curated._FIRST_YEAR)
+    for step in steps:
+        # an empty target of the step's own shape
+        shape = step.frame(spark, COB).schema
+        spec = TableSpec(
+            step.table, tuple(Field(f.name, f.name, f.dataType.simpleString()) for f in shape), (),
+            partition_by=("report_date",),
+        )
+        tables.ensure_table(spark, spec)
+    run_steps(spark, steps, COB)
+    profile = spark.table(steps[-1].table)
+    rounded = {"age": 2, "age_month": 2, "m_retired": 1, "standard_retired": 2}
+    return profile.withColumns({c: F.col(c).cast(f"decimal(15,{s})") for c, s in rounded.items()})
+
+
+_TOTALS = """SELECT e.msphieu, e.mst, CAST(sum(CAST(l.duno_vnd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_vnd,
+  CAST(sum(CAST(l.duno_usd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_usd
+FROM entities e JOIN loan_lines l ON e.msphieu = l.msphieu AND e.cob_dt = l.cob_dt WHERE dkkd <> '' GROUP BY ALL"""
+
+
+@register(
+    "debt_load",
+    with_feeds("entities", "loan_lines", totals=_TOTALS)
+    + f"SELECT msphieu, DATE '{COB}' AS cob_dt, mst, sum_duno_vnd, sum_duno_usd, 'I' AS change_type FROM totals",
+)
+def debt_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Debt totals loaded twice for one date: the second run changes nothing."""
+    schema = _name("x").partition(".")[0]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
+    for name in ("entities", "loan_lines"):
+        feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+    spec = debt.totals_master(f"{schema}.duno_tctd")
+    tables.ensure_table(spark, spec)
+    for _ in range(2):
+        daily.debt_totals(spark, f"{schema}.entities", f"{schema}.loan_lines", spec, COB)
+    return spark.table(spec.name)
+
+
+@register("card_load", ORACLE["txn_by_minute"])
+def card_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card counts of every day of the log written to a table partitioned by day, twice."""
+    name = _name("qlrrhd_twr")
+    columns = (("hh", "int"), ("mi", "int"), ("twr_type", "string"), ("status", "string"), ("sl", "bigint"), ("cob_dt", "date"))
+    _create(spark, TableSpec(name, tuple(Field(n, n, k) for n, k in columns), (), partition_by=("cob_dt",)))
+    for _ in range(2):
+        load_snapshot(cards.transactions_per_minute(feed(spark, sf_dir, "card_log")), name)
+    return spark.table(name)

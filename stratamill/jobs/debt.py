@@ -9,10 +9,25 @@ from pyspark.sql import functions as F
 
 from stratamill.functions.calendar import as_day
 from stratamill.functions.casting import number
+from stratamill.plans.spec import Field, TableSpec, fields
 
 KEYS = ("msphieu", "cob_dt")
 TOTAL = "decimal(38,2)"
 
+TOTAL_FIELDS = """
+msphieu      msphieu      string
+-            cob_dt       date
+mst          mst          string
+-            sum_duno_vnd decimal(38,2)
+-            sum_duno_usd decimal(38,2)
+"""
+
+
+def totals_master(name: str = "icic.duno_tctd") -> TableSpec:
+    """The totals as a type 1 master keyed by form and date, every other column compared."""
+    mark = (Field("-", "change_type", "string"),)
+    return TableSpec(name, fields(TOTAL_FIELDS), KEYS, partition_by=("cob_dt",), extra=mark)
+
 
 def debt_totals(entities: DataFrame, lines: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
     """Sums of the loan lines per form and business, for entities with a registration number.

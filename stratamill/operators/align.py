@@ -15,7 +15,8 @@ def align(df: DataFrame, target: T.StructType, text_keys: Iterable[str] = ()) ->
     """Columns matched by lower-case name, in the target's order and types.
 
     Columns the input lacks become typed NULLs, columns the target lacks are dropped. Text that does not fit its
-    type becomes NULL; a number that does not fit stops the job. ``text_keys`` (partition columns) are trimmed text. Two input columns that differ only in case are ambiguous and refused.
+    type becomes NULL; a number that does not fit stops the job. ``text_keys`` (partition columns) are trimmed
+    text. Two input columns that differ only in case are ambiguous and refused.
     """
     by_name: dict[str, str] = {}
     for name in df.columns:

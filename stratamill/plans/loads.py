@@ -7,7 +7,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from stratamill.functions.calendar import as_day
 from stratamill.operators import changes, quality, status
 from stratamill.operators.align import empty_text_to_null
 from stratamill.plans.spec import TableSpec
@@ -99,12 +101,20 @@ def keyless(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.where(" OR ".join(f"`{k}` IS NULL" for k in spec.keys))
 
 
+def only_day(df: DataFrame, column: str, as_of: str | dt.date) -> DataFrame:
+    """The frame itself; a row of another day stops the job, as it would replace that day's partition."""
+    same = F.col(column).eqNullSafe(as_day(as_of))
+    other = F.raise_error(F.lit(f"a row of another day than {as_of} in {column}"))
+    return df.withColumn(column, F.when(same, F.col(column)).otherwise(other.cast("date")))
+
+
 def load_master(
     new: DataFrame, spec: TableSpec, as_of: str | dt.date, history: str | None = None
 ) -> dict[str, int]:
     """Type 1 load of a master and, if asked for, its change history. Returns the counts of the rows written.
 
-    With row-level tables only changed rows are merged; otherwise a complete new version is swapped in.
+    With row-level tables only changed rows are merged. A plain table whose partition date is part of the key is
+    compared and rewritten in the partition of the day alone; any other plain table gets a complete new version.
     """
     spark = new.sparkSession
     complete = gate(new, spec)
@@ -113,6 +123,11 @@ def load_master(
     rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts)
     if tables.supports_row_level(spark, spec.name):
         tables.merge_rows(changes.scd1_changes(current, new, **rules), spec.name, spec.keys)
+    elif len(spec.partition_by) == 1 and spec.partition_by[0] in spec.keys:
+        day = spec.partition_by[0]
+        slice_ = changes.change_history(current, as_of, day)
+        result = changes.scd1(slice_, only_day(new, day, as_of), keys_not_null=complete, **rules)
+        tables.overwrite_partitions(result, spec.name)
     else:
         complete = complete and keyless(current, spec).isEmpty()
         tables.swap_table(changes.scd1(current, new, keys_not_null=complete, **rules), spec.name)

@@ -340,3 +340,22 @@ def test_bucketed_master_stays_bucketed_after_a_swap(spark, rows):
         bucket = name.rsplit("_", 1)[1].split(".")[0]
         files_per_bucket[bucket] = files_per_bucket.get(bucket, 0) + 1
     assert len(files_per_bucket) == 4 and set(files_per_bucket.values()) == {1}
+
+
+def test_dated_master_is_rewritten_by_day(spark, rows):
+    columns = (Field("k", "k", "bigint"), Field("v", "v", "string"), Field("cob_dt", "cob_dt", "date"))
+    mark = (Field("-", "change_type", "string"),)
+    spec = TableSpec(fresh("dated_master"), columns, ("k", "cob_dt"), extra=mark, partition_by=("cob_dt",))
+    tables.ensure_table(spark, spec)
+    d1, d2, schema = dt.date(2025, 1, 1), dt.date(2025, 1, 2), "k bigint, v string, cob_dt date"
+    load_master(rows([(1, "a", d1), (2, "b", d1)], schema), spec, d1)
+    first_day = {f for f in spark.table(spec.name).inputFiles()}
+    assert load_master(rows([(1, "a", d2)], schema), spec, d2) == {"inserted": 1, "updated": 0}
+    assert load_master(rows([(1, "z", d2), (3, "c", d2)], schema), spec, d2) == {"inserted": 1, "updated": 1}
+    assert content(spark, spec.name) == [
+        (1, "a", "I", d1), (1, "z", "U", d2), (2, "b", "I", d1), (3, "c", "I", d2),
+    ]
+    assert first_day <= set(spark.table(spec.name).inputFiles())
+    with pytest.raises(PySparkException, match="another day"):
+        load_master(rows([(1, "a", d1)], schema), spec, d2)
+    assert spark.table(spec.name).count() == 4
