@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from checks import changing, curated, standard
 from checks.feeds import COB, COMPANY, REPORT, feed, iso, table, with_feeds
 from checks.registry import ORACLE, register
-from stratamill.jobs import cards, daily, debt, deposits, landing, trade
+from stratamill.jobs import cards, daily, debt, deposits, landing, loans, trade
 from stratamill.operators import status
 from stratamill.operators.align import union_labelled
 from stratamill.plans.loads import Step, load_master, load_snapshot, load_versions, run_steps
@@ -425,6 +425,20 @@ def workforce_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.withColumns({c: F.col(c).cast(f"decimal(15,{s})") for c, s in rounded.items()})
 
 
+@register("loan_details_load", ORACLE["loan_details"])
+def loan_details_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily loads of the stored loan details, the second one twice."""
+    spec = loans.account_details(_name("loan_act_dtls"))
+    _create(spark, spec)
+    feed_table = f"{spec.name}_feed"
+    text = standard.account_feed(spark, sf_dir, spec, (standard.OLD_DAY, standard.NEW_DAY))
+    text.write.partitionBy("cob_dt").saveAsTable(feed_table)
+    for day in (standard.OLD_DAY, standard.NEW_DAY, standard.NEW_DAY):
+        daily.loan_details(spark, feed_table, spec, day)
+    stored = spark.table(spec.name)
+    return stored.withColumns({c: F.col(c).cast("string") for c in ("eff_strt_dt", "eff_end_dt")})
+
+
 _TOTALS = """SELECT e.msphieu, e.mst, CAST(sum(CAST(l.duno_vnd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_vnd,
   CAST(sum(CAST(l.duno_usd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_usd
 FROM entities e JOIN loan_lines l ON e.msphieu = l.msphieu AND e.cob_dt = l.cob_dt WHERE dkkd <> '' GROUP BY ALL"""

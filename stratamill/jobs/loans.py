@@ -184,8 +184,10 @@ def account_history(bank: str, name: str = "std.loan_act_mstr_hist") -> TableSpe
 
 
 def account_details(name: str = "std.loan_act_dtls", buckets: int = 0) -> TableSpec:
+    """Versions, partitioned by their end date: a load touches the open ones and those it closes."""
     return TableSpec(
-        name, fields(DETAIL_FIELDS), ("act_nbr",), empty_to_null=True, buckets=buckets, lead=VALIDITY
+        name, fields(DETAIL_FIELDS), ("act_nbr",), empty_to_null=True, partition_by=("eff_end_dt",), buckets=buckets,
+        lead=VALIDITY,
     )
 
 

@@ -136,16 +136,32 @@ def load_master(
     return {name: int(n) for name, n in counts.get.items()}
 
 
-def load_versions(new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str) -> None:
-    """Type 2 load of a versioned dimension: one result, one write."""
+def load_versions(
+    new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str, end: str = "eff_end_dt"
+) -> None:
+    """Type 2 load of a versioned dimension: one result, one write.
+
+    A dimension partitioned by the end date is read and rewritten in two partitions only, that of the open versions
+    and that of the versions the day closes; versions closed earlier are never touched again.
+    """
     spark = new.sparkSession
     complete = gate(new, spec)
     dimension = spark.table(spec.name)
+    by_end = tuple(spec.partition_by) == (end,)
+    if by_end:
+        dimension = dimension.where((F.col(end) == F.lit(changes.OPEN_END)) | (F.col(end) == as_day(as_of)))
     complete = complete and keyless(dimension, spec).isEmpty()
     result = changes.scd2(
-        dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key, keys_not_null=complete
+        dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key, end=end, keys_not_null=complete
     )
-    tables.replace_all(result, spec.name)
+    if not by_end:
+        tables.replace_all(result, spec.name)
+        return
+    seen = Observation(f"{spec.name} {as_of}")
+    result = result.observe(seen, F.count_if(F.col(end) == as_day(as_of)).alias("closed"))
+    tables.overwrite_partitions(result, spec.name)
+    if not seen.get["closed"]:
+        tables.drop_partition(spark, spec.name, end, as_of)
 
 
 def load_upsert(new: DataFrame, spec: TableSpec) -> None:

@@ -48,15 +48,13 @@ def ensure_table(
 ) -> None:
     """Create the table of a spec if it is absent, with its partition or bucket layout."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
-    layout = ""
-    if spec.partition_by:
-        layout += f" PARTITIONED BY ({', '.join(spec.partition_by)})"
-    if spec.buckets:
-        keys = ", ".join(spec.keys)
-        if using in ROW_LEVEL_PROVIDERS:
-            layout += f" PARTITIONED BY (bucket({spec.buckets}, {keys}))"
-        else:
-            layout += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
+    keys, parts, layout = ", ".join(spec.keys), list(spec.partition_by), ""
+    if spec.buckets and using in ROW_LEVEL_PROVIDERS:
+        parts.append(f"bucket({spec.buckets}, {keys})")
+    if parts:
+        layout += f" PARTITIONED BY ({', '.join(parts)})"
+    if spec.buckets and using not in ROW_LEVEL_PROVIDERS:
+        layout += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) USING {using}{layout}{place}")
 
@@ -121,6 +119,14 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         insert_into(df, table, "overwrite", dynamic=True)
 
 
+def drop_partition(spark: SparkSession, table: str, column: str, day: str | dt.date) -> None:
+    """Remove the rows of one day: an overwrite that has no rows for a partition leaves it as it was."""
+    if supports_row_level(spark, table):
+        spark.sql(f"DELETE FROM {table} WHERE {column} = DATE '{day}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{day}')")
+
+
 def clear(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 

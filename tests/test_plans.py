@@ -16,6 +16,7 @@ QUERIES = entry.queries()
 WRITING = {
     "snapshot_overwrite", "append_rows", "backfill_range", "backfill_partitions", "export_slice", "parquet_copy",
     "staged_fact", "master_load", "master_history", "versions_load", "labelled_union", "landing_publish", "sql_source", "workforce_run", "debt_load", "card_load",
+    "loan_details_load",
 }
 
 

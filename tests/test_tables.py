@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from stratamill.jobs import landing
 from stratamill.operators import align as aligning
 from stratamill.operators import quality, status
-from stratamill.plans.loads import Step, load_master, load_upsert, run_steps
+from stratamill.plans.loads import Step, load_master, load_upsert, load_versions, run_steps
 from stratamill.plans.spec import Field, TableSpec
 from stratamill.sources import files, jdbc, tables
 
@@ -359,3 +359,28 @@ def test_dated_master_is_rewritten_by_day(spark, rows):
     with pytest.raises(PySparkException, match="another day"):
         load_master(rows([(1, "a", d1)], schema), spec, d2)
     assert spark.table(spec.name).count() == 4
+
+
+@pytest.mark.parametrize("partition_by", [(), ("eff_end_dt",)])
+def test_versions_load_and_corrections(spark, rows, partition_by):
+    lead = tuple(
+        Field("-", n, t) for n, t in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+    )
+    columns = (Field("k", "k", "bigint"), Field("v", "v", "string"))
+    spec = TableSpec(fresh("versions"), columns, ("k",), lead=lead, partition_by=partition_by)
+    tables.ensure_table(spark, spec)
+
+    def load(day, *data):
+        load_versions(rows(list(data), "k bigint, v string"), spec, day, "sr_key")
+        chosen = spark.table(spec.name).select("k", "v", "eff_strt_dt", "eff_end_dt", "is_cur")
+        return sorted((r["k"], r["v"], str(r["eff_strt_dt"]), str(r["eff_end_dt"]), r["is_cur"]) for r in chosen.collect())
+
+    end = "9999-12-31"
+    assert load("2025-01-01", (1, "a"), (2, "b")) == [(1, "a", "2025-01-01", end, 1), (2, "b", "2025-01-01", end, 1)]
+    second = [(1, "a", "2025-01-01", "2025-01-02", 0), (1, "x", "2025-01-02", end, 1), (2, "b", "2025-01-01", end, 1)]
+    assert load("2025-01-02", (1, "x")) == second
+    assert load("2025-01-02", (1, "x")) == second
+    assert load("2025-01-02", (1, "a")) == [(1, "a", "2025-01-01", end, 1), (2, "b", "2025-01-01", end, 1)]
+    assert load("2025-01-02", (1, "x")) == second
+    third = load("2025-01-03", (1, "y"), (3, "c"))
+    assert len(third) == 5 and third[0] == second[0] and third[1] == (1, "x", "2025-01-02", "2025-01-03", 0)
