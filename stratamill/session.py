@@ -8,6 +8,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+PARTITION_BYTES = 512 * 1024**2
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """How many partitions a shuffle of that size starts with, so that each one fits a task's memory.
+
+    AQE joins small neighbours afterwards, so the number should suit the largest shuffle of the job.
+    """
+    return max(2 * cores, -(-shuffled_bytes // partition_bytes))
+
+
 def build_session(app_name: str = "stratamill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job relies on; ``conf`` overrides them."""
     settings = {

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratamill.operators.asof import latest_rows
@@ -63,3 +65,37 @@ def test_hot_key_is_split_and_whole(spark):
             spark.conf.unset(key)
         for key, value in old.items():
             spark.conf.set(key, value)
+
+
+job = st.tuples(
+    st.sampled_from([1, 2, None]),
+    st.sampled_from([None, *[dt.date(2024, 12, 30) + dt.timedelta(i) for i in range(4)]]),
+    st.sampled_from([None, 0, 1]),
+    st.sampled_from([None, 0, 1]),
+    st.sampled_from(["P", "S", None]),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(jobs=st.lists(job, max_size=14))
+def test_against_brute_force(spark, jobs):
+    """The correlated maxima written out in Python."""
+    as_of = dt.date(2025, 1, 1)
+
+    def top(values):
+        return max((v for v in values if v is not None), default=None)
+
+    expected = []
+    for row in jobs:
+        key, date, seq, rcd, _ = row
+        mine = [r for r in jobs if key is not None and r[0] == key and r[4] == "P"]
+        last = top(r[1] for r in mine if r[1] is not None and r[1] <= as_of)
+        there = [r for r in mine if r[1] == date and date is not None]
+        if date is not None and date == last and seq is not None and rcd is not None:
+            if seq == top(r[2] for r in there) and rcd == top(r[3] for r in there):
+                expected.append(row)
+    df = spark.createDataFrame(jobs, "emplid int, effdt date, effseq int, empl_rcd int, job_indicator string")
+    got = latest_rows(
+        df, ["emplid"], as_of, sequences=["effseq", "empl_rcd"], among=F.col("job_indicator") == "P"
+    ).select(df.columns)
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, expected))

@@ -126,3 +126,18 @@ def test_code_label_and_blanks(rows):
     assert values(rows, "int", [1, 0, 7, None], lambda c: fn.code_label(c, {1: "a", 0: "b"})) == ["a", "b", None, None]
     assert values(rows, "string", ["", " ", None, "x"], fn.empty_as_null) == [None, " ", None, "x"]
     assert values(rows, "string", [" a ", None], fn.trimmed) == ["a", None]
+
+
+def test_shuffle_partitions():
+    from stratamill.session import shuffle_partitions
+
+    assert shuffle_partitions(10 * 1024**4, 4000) == 20480
+    assert shuffle_partitions(1, 8) == 16
+
+
+def test_scratch_folder_follows_the_session(spark):
+    from stratamill.session import scratch_dir
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two and (root is None or one.startswith(root))
