@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from stratamill.operators.align import align
 from stratamill.plans.spec import TableSpec
 
+# Sub-folders that hold the successive contents of a swapped table.
+VERSION = "_version="
+
 # Table providers that take MERGE, overwritePartitions and other row-level writes.
 ROW_LEVEL_PROVIDERS = {"iceberg", "delta", "hudi", "paimon"}
 
@@ -140,12 +143,12 @@ def swap_table(df: DataFrame, table: str) -> str:
 
     The new content is written beside the old one, then the table's location is switched. Readers see the old
     or the new version; a job that dies before the switch leaves the table untouched. Returns the previous
-    location, which stays until a clean-up of old versions removes it.
+    location, which stays until ``remove_old_versions``.
     """
     spark = df.sparkSession
     previous = location(spark, table)
-    base = previous.rstrip("/").split("/_version=")[0]
-    version = f"{base}/_version={dt.datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    base = previous.rstrip("/").split(f"/{VERSION}")[0]
+    version = f"{base}/{VERSION}{dt.datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     staging = f"{table}__{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {staging} LIKE {table} USING {provider(spark, table)} LOCATION '{version}'")
     try:
@@ -157,6 +160,32 @@ def swap_table(df: DataFrame, table: str) -> str:
     return previous
 
 
+def remove_old_versions(spark: SparkSession, table: str, keep: int = 1) -> list[str]:
+    """Delete the versions that swaps left behind, but for the last ``keep``. Returns what was deleted.
+
+    Only versions older than the current one are looked at, so one that is being written is safe. Keep at least
+    one where readers may still hold the previous location.
+    """
+    base, _, current = location(spark, table).rstrip("/").partition(f"/{VERSION}")
+    if not current:
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    first, older = [], []
+    for entry in store.listStatus(path):
+        name = entry.getPath().getName()
+        if not name.startswith(VERSION):
+            first.append(entry.getPath())
+        elif name < VERSION + current:
+            older.append(entry.getPath())
+    # the files that lie in the base folder itself are the version from before the first swap
+    versions = ([first] if first else []) + [[p] for p in sorted(older, key=lambda p: p.getName())]
+    gone = [p for version in versions[: max(0, len(versions) - keep)] for p in version]
+    for p in gone:
+        store.delete(p, True)
+    return [p.toString() for p in gone]
+
+
 def replace_all(df: DataFrame, table: str) -> None:
     """The whole content of a table in one commit."""
     spark = df.sparkSession

@@ -384,3 +384,19 @@ def test_versions_load_and_corrections(spark, rows, partition_by):
     assert load("2025-01-02", (1, "x")) == second
     third = load("2025-01-03", (1, "y"), (3, "c"))
     assert len(third) == 5 and third[0] == second[0] and third[1] == (1, "x", "2025-01-02", "2025-01-03", 0)
+
+
+def test_old_versions_are_removed_but_for_the_last(spark, rows):
+    spec = TableSpec(fresh("kept"), DATED, ("k",))
+    tables.ensure_table(spark, spec)
+    schema = "k bigint, v string, cob_dt string"
+    tables.append(rows([(0, "a", "d")], schema), spec.name)
+    assert tables.remove_old_versions(spark, spec.name) == []
+    left = [tables.swap_table(rows([(i, "a", "d")], schema), spec.name) for i in (1, 2, 3)]
+    gone = tables.remove_old_versions(spark, spec.name, keep=1)
+    assert left[1] in gone and left[2] not in gone
+    assert content(spark, spec.name) == [(3, "a", "d")]
+    assert [tuple(r) for r in spark.read.parquet(left[2]).collect()] == [(2, "a", "d")]
+    assert tables.remove_old_versions(spark, spec.name, keep=1) == []
+    assert tables.remove_old_versions(spark, spec.name, keep=0) == [left[2]]
+    assert content(spark, spec.name) == [(3, "a", "d")]
