@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import ORACLE, QUERIES
 from checks.verify import compare, duck
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(small):
