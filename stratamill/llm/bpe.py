@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import slices
+from stratamill.llm.shared import map_batches, slices
 from stratamill.llm.tokens import END_OF_TEXT, Encoder, default_json, default_ranks, encoder
 
 #: Bytes the rolling hash looks at, and zero bits it must end in for a cut (chunks of 2**bits bytes on average).
@@ -185,7 +185,7 @@ def encode_documents(
                 [part.column("doc_id"), *(pa.array(columns[n], arrow[kinds[n]]) for n in keep)], names=["doc_id", *keep])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(code, "doc_id long, " + ", ".join(f"{n} {kinds[n]}" for n in keep))
+    return map_batches(chosen, code, "doc_id long, " + ", ".join(f"{n} {kinds[n]}" for n in keep))
 
 
 @register("op9_bpe_chunks")

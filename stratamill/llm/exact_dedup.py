@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import slices, stored
+from stratamill.llm.shared import map_batches, slices, stored
 
 #: Bytes of content that one table may hold.
 TABLE_BYTES = 24 << 20
@@ -163,7 +163,8 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     top = max(1, int(np.ceil(np.log2(max(2, 2 * total / budget)))))
     deep = _depths(sizes, top, budget)
-    records = hashed.select("doc_id", "hash", F.col("content").cast("binary").alias("content")).mapInArrow(_fold, _RECORDS)
+    records = hashed.select("doc_id", "hash", F.col("content").cast("binary").alias("content"))
+    records = map_batches(records, _fold, _RECORDS)
     if deep is None:
         dealt = records.withColumn("bits", F.lit(top))
     else:
@@ -172,7 +173,7 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = dealt.withColumn("bucket", _leading(F.col("bits")))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(2 << 20, 2**top))
     dealt = dealt.repartition(parts, "bits", "bucket").sortWithinPartitions("bits", "bucket")
-    groups = dealt.select("bits", "bucket", *_RECORDS.names).mapInArrow(_groups, _GROUPS)
+    groups = map_batches(dealt.select("bits", "bucket", *_RECORDS.names), _groups, _GROUPS)
     return rows.select("doc_id", "digest"), groups
 
 

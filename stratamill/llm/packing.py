@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import slices, stored
+from stratamill.llm.shared import map_batches, slices, stored
 from stratamill.llm.tokens import default_json, default_ranks, encoder
 
 CAPACITY = 2048
@@ -58,7 +58,7 @@ def pieces(
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(cut, _PIECES_WITH_IDS if with_ids else _PIECES)
+    return map_batches(chosen, cut, _PIECES_WITH_IDS if with_ids else _PIECES)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

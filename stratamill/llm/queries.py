@@ -1,4 +1,4 @@
 """Imports every operator, so that its query is registered."""
 
-from stratamill.llm import bpe, exact_dedup, packing, quality, secrets  # noqa: F401
+from stratamill.llm import bpe, chat, exact_dedup, packing, quality, secrets, toxicity  # noqa: F401
 from stratamill.llm.registry import ORACLE, QUERIES  # noqa: F401

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +25,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with a function of this library, which Spark sends to the executors once per application."""
+    context = df.sparkSession.sparkContext
+    root = Path(__file__).parents[1]
+    if root.is_dir() and getattr(context, "_stratamill_sent", None) is None:
+        archive = Path(tempfile.mkdtemp(), f"{root.name}.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._stratamill_sent = True
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces whose ``text`` holds about ``most_bytes`` (one row at least)."""
     for batch in batches:
