@@ -1,4 +1,4 @@
 """Imports every operator, so that its query is registered."""
 
-from stratamill.llm import bpe, chat, exact_dedup, jaccard, packing, quality, secret_scan, toxicity  # noqa: F401
+from stratamill.llm import bpe, chat, exact_dedup, jaccard, packing, quality, secret_scan, substrings, toxicity  # noqa: F401
 from stratamill.llm.registry import ORACLE, QUERIES  # noqa: F401

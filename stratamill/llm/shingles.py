@@ -65,3 +65,24 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
         np.unique(every[end - n:end - size + 1]) if n >= size else shingle_hashes(words[end - n:end], size)
         for n, end in zip(counts.tolist(), ends.tolist())
     ]
+
+
+def rolling(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of every run of exactly ``size`` words, by differences of running sums; for long runs."""
+    if len(words) < size:
+        return words[:0]
+    powers, back = _powers(_BASE, len(words)), _powers(pow(_BASE, -1, 1 << 64), len(words) - size + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers)])
+    return mixed((sums[size:] - sums[:-size]) * back)
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` neighbours."""
+    if len(values) < width:
+        return values[:0]
+    done, out = 1, values
+    while done < width:
+        step = min(done, width - done)
+        out = np.minimum(out[:len(out) - step], out[step:])
+        done += step
+    return out
