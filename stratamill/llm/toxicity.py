@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratamill.llm.registry import register, table
 from stratamill.llm.shared import map_batches, slices, stored
@@ -35,8 +36,8 @@ PREFIXES = (4, 5, 6)
 LEAST_SHARE, LEAST_DOCS, LEAST_ODDS = 0.005, 3, 2.5
 THRESHOLD = 0.3
 FEATURES = (
-    "density", "hits", "strongest", "weight", "near_second_person", "second_person", "capitals", "exclamations",
-    "punctuation", "hidden", "hidden_hits", "drawn_out",
+    "_density", "_hits", "_strongest", "_weight", "_near_second_person", "_second_person", "_capitals", "_exclamations",
+    "_punctuation", "_hidden", "_hidden_hits", "_drawn_out",
 )
 #: Second-person words of four languages.
 SECOND_PERSON = frozenset(
@@ -134,19 +135,19 @@ def text_features(text: str, marks: Marks) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` and the columns ``FEATURES`` of every row of ``docs`` (column ``text``)."""
+def with_features(docs: DataFrame, lexicon: dict[str, float], text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns ``FEATURES``."""
+    at = docs.columns.index(text_col)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = Marks(lexicon)
-        for part in slices(batches, "text"):
-            rows = [text_features(t or "", marks) for t in part.column("text").to_pylist()]
+        for part in slices(batches, text_col):
+            rows = [text_features(t or "", marks) for t in part.column(at).to_pylist()]
             columns = [pa.array(c, pa.float64()) for c in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *columns], names=[*keep, *FEATURES])
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *FEATURES])
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keep), *(f"{f} double" for f in FEATURES)])
-    return map_batches(docs.select(*keep, "text"), measure, schema)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(f, T.DoubleType()) for f in FEATURES)])
+    return map_batches(docs, measure, schema)
 
 
 def held_out(doc: Column) -> Column:
@@ -154,41 +155,56 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def score_documents(
+def with_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    most_rows: int = MOST_ROWS,
+    score_col: str = "score", most_rows: int = MOST_ROWS,
 ) -> DataFrame:
-    """``doc_id, held_out, score`` of every row of ``docs``; ``labels`` has the identifier and 1 for toxic, 0 for not."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """``docs`` with ``score_col``; ``labels`` has the identifier and 1 for toxic, 0 for not."""
     marks = (
         labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("toxic"))
         .filter("_id is not null and toxic is not null").filter(~held_out(F.col("_id")))
         .groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     )
     marks = stored(marks, "labels")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # The sample is bounded by ``most_rows``, whatever the number of labels.
     sample = stored(texts.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).drop("_id"), "labelled")
     lexicon = learn_lexicon(sample)
     shares = sample.agg(F.avg("toxic"), F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
-    flag = held_out(F.col("doc_id")).alias("held_out")
     if not shares[1] or not shares[2]:
-        return texts.select("doc_id", flag, F.lit(float(shares[0] or 0.0)).alias("score"))
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    fitted = stored(with_features(sample, lexicon, ("doc_id", "toxic")).coalesce(4), "features")
+        return docs.withColumn(score_col, F.lit(float(shares[0] or 0.0)))
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
+    fitted = stored(with_features(sample, lexicon).drop("text").coalesce(4), "features")
     fitted = assembler.transform(fitted).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)))
     fold, rest = fitted.filter("part > 0"), fitted.filter("part = 0")
     if len(fold.select("toxic").distinct().take(2)) < 2 or len(rest.select("toxic").distinct().take(2)) < 2:
         fold = rest = fitted
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="toxic", maxIter=15, maxDepth=3, stepSize=0.2, seed=1, minInstancesPerNode=2).fit(fold)
+    boosting = GBTClassifier(
+        featuresCol="_features", labelCol="toxic", predictionCol="_predicted", maxIter=15, maxDepth=3, stepSize=0.2, seed=1,
+        minInstancesPerNode=2)
+    trees = boosting.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(fold)
 
     def chance(df: DataFrame) -> DataFrame:
-        return trees.transform(df).withColumn("chance", vector_to_array("probability")[1])
+        return trees.transform(df).withColumn("_chance", vector_to_array("_probability")[1])
+
+    curve = IsotonicRegression(featuresCol="_chance", labelCol="toxic", predictionCol="_score").fit(
+        chance(rest).select("_chance", F.col("toxic").cast("double").alias("toxic")))
+    scored = curve.transform(chance(assembler.transform(with_features(docs, lexicon, text_col))))
+    score = F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0))
+    return scored.select(*docs.columns, score.alias(score_col))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    label_col: str = "toxic", most_rows: int = MOST_ROWS) -> DataFrame:
+    """``doc_id, held_out, score`` of every row of ``docs``."""
+    chosen = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
+    scored = with_scores(chosen, labels, id_col, text_col, label_col, "score", most_rows)
+    return scored.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), "score")
+
 
-    curve = IsotonicRegression(featuresCol="chance", labelCol="toxic", predictionCol="score").fit(
-        chance(rest).select("chance", F.col("toxic").cast("double").alias("toxic")))
-    scored = curve.transform(chance(assembler.transform(with_features(texts, lexicon))))
-    return scored.select("doc_id", flag, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    return with_scores(docs, labels, id_col, text_col, score_col="_tox").filter(F.col("_tox") < threshold).select(*docs.columns)
 
 
 @register("op3_toxicity")
