@@ -7,9 +7,9 @@ used is decided by cost: subsets enumerated against list entries and the compari
 from a size histogram and a sketch of shingle counts. The sketch has a fixed size and covers all documents; it only orders
 shingles, so its errors cost time and never links.
 
-Short lists give all their pairs of fitting sizes. Long ones (hot ones are salted) are kept as rows and first compared
-with a few pivots of the list; while a list's members are not yet one component, further pivots and at last
-every pair of different components is compared. So near copies in thousands need few pairs, and no link between components is lost.
+Short lists give all their pairs of fitting sizes. Long ones (hot ones are salted) are kept as rows, and each class is
+first compared with a few pivots of its longest list; while many pairs are left in different components, with further
+pivots, and at last every such pair is compared once. So near copies in thousands need few pairs, and no link is lost.
 Pairs must pass a bound on the symmetric difference from parity bitmaps, and are then verified on the complete sets.
 
 Defined results: null or empty text has no shingles and is linked with nothing. Repeated rows and rows with null identifiers
@@ -27,7 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,8 +42,8 @@ CELLS, BLOCKS = 1 << 22, 64
 MOST_SMALL, PAIR_COST = 16, 4
 #: Members of a list that gives all its pairs at once; members of one salted part of a hot list; pivots of a long list.
 SHORT_LIST, PART_ROWS, PIVOTS = 64, 20_000, 8
-#: Rounds of pivots before the remaining pairs of different components are compared.
-PIVOT_ROUNDS = 3
+#: Pivots are tried again, at most so many times, while more than ``FEW_PAIRS`` pairs per list entry are in different components.
+PIVOT_ROUNDS, FEW_PAIRS = 6, 200
 
 
 def overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -307,31 +307,56 @@ class Join:
         both = both.join(whole.select(F.col("class").alias("b"), F.col("s").alias("s_b")), "b")
         return stored(map_batches(both, compare, "a binary, b binary"), "links")
 
-    def links(self) -> DataFrame:
-        """Verified pairs that connect every component of the linked classes."""
+    def roots(self) -> DataFrame:
+        """``node, root`` of all classes that have a link."""
         percent, short_list = self.percent, self.short_list
         dealt = self.entries().repartition("key", "part").sortWithinPartitions("key", "part", "n", "class")
         met = stored(map_batches(dealt, lambda b: _meet(b, percent, short_list), "key long, n int, a binary, b binary"), "lists")
-        long = met.filter("b is null").select("key", "n", F.col("a").alias("class")).distinct()
-        found = self.verified(met.filter("b is not null").select("a", "b"))
-        for round_no in range(PIVOT_ROUNDS + 1):
-            roots = components(found)
+        long = stored(met.filter("b is null").select("key", "n", F.col("a").alias("class")).distinct(), "long")
+        pairs = met.filter("b is not null").select("a", "b")
+        if long.isEmpty():
+            return components(self.verified(pairs))
+        roots = components(self.verified(pairs.unionByName(self._with_pivots(long, 0))))
+        for round_no in range(1, PIVOT_ROUNDS + 2):
             labelled = long.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
                 "key", "n", "class", F.coalesce("root", "class").alias("root"))
-            open_keys = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-            left = stored(labelled.join(open_keys.select("key"), "key", "left_semi"), "open")
-            if left.isEmpty():
+            parts = labelled.groupBy("key", "root").count().groupBy("key").agg(
+                F.sum("count").alias("members"), F.sum(F.col("count") * F.col("count")).alias("inside"))
+            parts = stored(parts.filter(F.col("members") * F.col("members") > F.col("inside")), "open")
+            members, apart = parts.agg(
+                F.sum("members"), F.sum((F.col("members") * F.col("members") - F.col("inside")) / 2)).first()
+            if not members:
                 break
-            other = left.toDF("key", "n_b", "b", "root_b")
-            if round_no < PIVOT_ROUNDS:
-                order = Window.partitionBy("key").orderBy(F.xxhash64("b", F.lit(round_no)), "b")
-                other = other.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PIVOTS).drop("_place")
-            fits = (F.col("root") != F.col("root_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b"))
-            if round_no == PIVOT_ROUNDS:
-                fits = fits & (F.col("class") < F.col("b"))
-            pairs = left.join(other, "key").filter(fits).select(F.col("class").alias("a"), "b")
-            found = stored(found.unionByName(self.verified(pairs)), "links")
-        return found
+            left = stored(labelled.join(parts.select("key"), "key", "left_semi"), "apart")
+            last = round_no > PIVOT_ROUNDS or apart <= FEW_PAIRS * members
+            pairs = self._apart(left) if last else self._with_pivots(left, round_no)
+            stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(stars.unionByName(self.verified(pairs)))
+            if last:
+                break
+        return roots
+
+    def _fit(self) -> Column:
+        return 100 * F.least("n", "n_b") >= self.percent * F.greatest("n", "n_b")
+
+    def _with_pivots(self, left: DataFrame, round_no: int) -> DataFrame:
+        """Pairs of each class with a few pivots of the longest list it is in."""
+        sizes = left.groupBy("key").agg(F.count("*").alias("size"))
+        own = left.join(sizes, "key").groupBy("class", "n").agg(F.max(F.struct("size", "key")).alias("best"))
+        own = own.select("class", "n", F.col("best.key").alias("key"))
+        order = Window.partitionBy("key").orderBy(F.xxhash64("class", F.lit(round_no)), "class")
+        pivots = left.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PIVOTS)
+        pivots = pivots.select("key", F.col("n").alias("n_b"), F.col("class").alias("b"))
+        return own.join(pivots, "key").filter(self._fit() & (F.col("class") != F.col("b"))).select(F.col("class").alias("a"), "b")
+
+    def _apart(self, left: DataFrame) -> DataFrame:
+        """Every pair of fitting sizes that shares a list and is in two components, in the first list it shares."""
+        keys = left.groupBy("class").agg(F.collect_set("key").alias("keys"))  # fewer than a set has shingles
+        left = stored(left.join(keys, "class"), "apart")
+        other = left.select("key", F.col("n").alias("n_b"), F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("keys").alias("keys_b"))
+        first = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
+        met = (F.col("class") < F.col("b")) & (F.col("root") != F.col("root_b")) & self._fit() & first
+        return left.join(other, "key").filter(met).select(F.col("class").alias("a"), "b")
 
 
 def link_documents(
@@ -341,7 +366,7 @@ def link_documents(
     """Every document's ``n_shingles`` and ``component_id``."""
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     join = Join(chosen, size, percent, short_list)
-    roots = components(join.links()).withColumnRenamed("node", "class")
+    roots = join.roots().withColumnRenamed("node", "class")
     rows = join.rows.join(roots, "class", "left").select("doc_id", "n", F.coalesce("root", "class").alias("root"))
     lowest = rows.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("lowest"))
     return rows.join(lowest, "root", "left").select(
