@@ -163,6 +163,17 @@ def snapshot_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.name)
 
 
+@register("snapshot_emptied_day", with_feeds(monthly=_MONTHLY) + "SELECT * FROM monthly WHERE cob_dt <> '1999-05-31'")
+def snapshot_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load, then a rerun of one day that has no rows any more."""
+    spec = _monthly_spec("emptied")
+    _create(spark, spec)
+    monthly = feed(spark, sf_dir, _MONTHLY)
+    load_snapshot(monthly, spec.name)
+    load_snapshot(monthly.where("cob_dt = '1999-05-31' AND amount < 0"), spec.name, "1999-05-31")
+    return spark.table(spec.name)
+
+
 @register(
     "append_rows",
     with_feeds(monthly=_MONTHLY, corrected=_CORRECTED) + "SELECT * FROM monthly UNION ALL SELECT * FROM corrected",
@@ -223,8 +234,11 @@ def export_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("parquet_copy", "SELECT * FROM supplier")
 def parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a table of the same columns in another order, whose row goes."""
     name = _name("copied")
-    _create(spark, TableSpec(name, (Field("-", "to_be_replaced", "int"),), ()))
+    columns = (("s_nationkey", "int"), ("s_acctbal", "double"), ("s_name", "string"), ("s_suppkey", "bigint"))
+    _create(spark, TableSpec(name, tuple(Field(n, n, k) for n, k in columns), ()))
+    spark.sql(f"INSERT INTO {name} VALUES (0, 0.0, 'old', -1)")
     files.copy_parquet(spark, {f"{sf_dir}/supplier.parquet": name})
     return spark.table(name)
 
@@ -325,6 +339,28 @@ def versions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changing._dates_as_text(spark.table(spec.name))
 
 
+@register("versions_torn_rerun", changing._DIMENSIONS + "SELECT * FROM dim2")
+def versions_torn_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads partitioned by end date; after the last one, the state that a rerun leaves when it dies between its two
+    commits (versions both open and closed), then the rerun."""
+    lead = tuple(
+        Field("-", n, k)
+        for n, k in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+    )
+    columns = (("l_partkey", "bigint"), ("last_ship", "date"), ("open_qty", "decimal(19,2)"), ("largest_return", "int"))
+    spec = TableSpec(
+        _name("torn"), tuple(Field(n, n, k) for n, k in columns), ("l_partkey",), lead=lead, partition_by=("eff_end_dt",))
+    _create(spark, spec)
+    days, pictures = changing.VERSION_DAYS, list(changing.PICTURES.values())
+    for day, picture in zip(days, pictures):
+        load_versions(feed(spark, sf_dir, picture), spec, day, "sr_key")
+    closed = spark.table(spec.name).where(F.col("eff_end_dt") == F.lit(days[-1]).cast("date"))
+    reopened = closed.withColumns({"is_cur": F.lit(1), "eff_end_dt": F.lit("9999-12-31").cast("date")})
+    tables.append(reopened, spec.name)
+    load_versions(feed(spark, sf_dir, pictures[-1]), spec, days[-1], "sr_key")
+    return changing._dates_as_text(spark.table(spec.name))
+
+
 # Labelled feeds.
 _EXPORTS = """SELECT '2001' AS nam, '7' AS thang, CAST(c_custkey AS STRING) AS ma_so_thue, c_name AS ten_dn,
   c_mktsegment AS dia_chi, CAST(c_nationkey AS STRING) AS tinh, '0' AS dien_thoai, 'VN' AS ma_nuoc,

@@ -18,7 +18,7 @@ PACKED_DAY = "yyyyMMdd"
 def as_day(value: Column | str | dt.date) -> Column:
     """A business date given as a Python date, ISO text or a column."""
     if isinstance(value, Column):
-        return value.cast("date")
+        return value.try_cast("date")
     if isinstance(value, str):
         value = dt.date.fromisoformat(value)
     return F.lit(value)

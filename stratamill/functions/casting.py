@@ -1,4 +1,5 @@
-"""Typing of all-text feeds. Malformed text becomes NULL; it never stops a load.
+"""Typing of all-text feeds. Malformed text becomes NULL; it never stops a load. A well-formed number that its type cannot
+hold does: it is cast under Spark's ANSI rules, which ``build_session`` sets and Spark has by default.
 
 Spark's forgiving casts raise and catch an error inside for every text they refuse, which is many times dearer
 than a cast that succeeds. Empty and foreign texts are common in these feeds, so they are sorted out by a
@@ -24,13 +25,13 @@ def _column(value: Column | str) -> Column:
 def whole(text: Column | str, width: str = "int") -> Column:
     """Whole number from text; a fraction is cut off, as a plain (non-ANSI) cast does."""
     text = _column(text)
-    return F.when(text.rlike(WHOLE_TEXT), F.substring_index(text, ".", 1).try_cast(width))
+    return F.when(text.rlike(WHOLE_TEXT), F.substring_index(text, ".", 1).cast(width))
 
 
 def number(text: Column | str, precision: int = 19, scale: int = 2) -> Column:
     """Exact decimal from text."""
     text = _column(text)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast(f"decimal({precision},{scale})"))
+    return F.when(text.rlike(NUMBER_TEXT), text.cast(f"decimal({precision},{scale})"))
 
 
 def trimmed(value: Column | str) -> Column:

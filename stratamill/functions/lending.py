@@ -41,9 +41,13 @@ def days_to_due(due: Column, as_of: Column | str | dt.date) -> Column:
 
 
 def surrogate_key(as_of: Column | str | dt.date, identifier: Column) -> Column:
-    """``yymmdd`` of the business date followed by the identifier, as a long."""
-    prefix = F.date_format(as_day(as_of), "yyMMdd")
-    return F.concat(prefix, identifier.cast("string")).try_cast("bigint")
+    """``yymmdd`` of the business date followed by the identifier, as a long.
+
+    NULL for an identifier that is no whole number; one too long for the key stops the job.
+    """
+    digits = identifier.cast("string")
+    key = F.concat(F.date_format(as_day(as_of), "yyMMdd"), digits)
+    return F.when(digits.rlike(r"^\d+$"), key.cast("bigint"))
 
 
 def is_open_account(

@@ -21,7 +21,7 @@ Typed = Callable[[DataFrame, str, TableSpec], DataFrame]
 
 def card_minutes(spark: SparkSession, log_table: str, target: str, as_of: str) -> None:
     """Card transactions per minute of one day."""
-    load_snapshot(cards.transactions_per_minute(spark.table(log_table), as_of), target)
+    load_snapshot(cards.transactions_per_minute(spark.table(log_table), as_of), target, as_of)
 
 
 def debt_totals(spark: SparkSession, entity_table: str, line_table: str, spec: TableSpec, as_of: str) -> dict[str, int]:
@@ -48,7 +48,7 @@ def deposit_products(spark: SparkSession, feed_table: str, spec: TableSpec, as_o
 
 
 def deposit_balances(spark: SparkSession, feed_table: str, spec: TableSpec, as_of: str) -> None:
-    load_snapshot(deposits.account_balances(spark.table(feed_table), as_of, spec), spec.name)
+    load_snapshot(deposits.account_balances(spark.table(feed_table), as_of, spec), spec.name, as_of)
 
 
 def loan_accounts(
@@ -63,7 +63,7 @@ def loan_details(spark: SparkSession, feed_table: str, spec: TableSpec, as_of: s
 
 
 def loan_balances(spark: SparkSession, feed_table: str, spec: TableSpec, as_of: str) -> None:
-    load_snapshot(loans.account_balances(spark.table(feed_table), as_of, spec), spec.name)
+    load_snapshot(loans.account_balances(spark.table(feed_table), as_of, spec), spec.name, as_of)
 
 
 def reference_table(spark: SparkSession, feed_table: str, spec: TableSpec, as_of: str) -> dict[str, int]:
@@ -106,7 +106,9 @@ def workforce_steps(
     pay_emp, pay_cwr, head_emp, head_cwr, ended, prior, ratings, profile = names
 
     def step(target: str, build: Callable[..., DataFrame]) -> Step:
-        return Step(target, lambda spark, cob_dt: build(lambda name: tables.read_table(spark, name), cob_dt))
+        return Step(
+            target, lambda spark, cob_dt: build(lambda name: tables.read_table(spark, name), cob_dt),
+            date_column="report_date", date=report_dt)
 
     src = sources
     return [

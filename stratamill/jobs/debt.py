@@ -33,21 +33,25 @@ def debt_totals(entities: DataFrame, lines: DataFrame, as_of: str | dt.date | No
     """Sums of the loan lines per form and business, for entities with a registration number.
 
     ``entities`` has msphieu, mst, dkkd, cob_dt and ``lines`` msphieu, cob_dt, duno_vnd, duno_usd, amounts as
-    text. Both sides are summed up to their join key first: a form with very many lines is reduced in every task
-    before the shuffle, and the join meets one row per form.
+    text. The lines are summed per form in every task before their shuffle. The join leaves the rows of a form
+    together, so the sums per business need no shuffle of their own.
     """
-    named = entities.where(F.col("dkkd") != "")
+    named, day, keys = entities.where(F.col("dkkd") != ""), F.col("cob_dt").cast("date"), list(KEYS)
     if as_of is not None:
+        # The date is one constant then, and no part of the keys that rows are dealt by.
         slice_ = F.date_format(as_day(as_of), "yyyy-MM-dd")
         named, lines = named.where(F.col("cob_dt") == slice_), lines.where(F.col("cob_dt") == slice_)
-    owners = named.groupBy(*KEYS, "mst").agg(F.count(F.lit(1)).alias("times"))
-    owed = lines.groupBy(*KEYS).agg(
+        day, keys = as_day(as_of), [k for k in KEYS if k != "cob_dt"]
+    owed = lines.groupBy(*keys).agg(
         F.sum(number("duno_vnd")).alias("vnd"), F.sum(number("duno_usd")).alias("usd")
     )
-    return owners.join(owed, list(KEYS)).select(
+    totals = named.select(*keys, "mst").join(owed, keys).groupBy(*keys, "mst").agg(
+        F.sum("vnd").alias("vnd"), F.sum("usd").alias("usd")
+    )
+    return totals.select(
         "msphieu",
         "mst",
-        F.col("cob_dt").cast("date").alias("cob_dt"),
-        (F.col("vnd") * F.col("times")).cast(TOTAL).alias("sum_duno_vnd"),
-        (F.col("usd") * F.col("times")).cast(TOTAL).alias("sum_duno_usd"),
+        day.alias("cob_dt"),
+        F.col("vnd").cast(TOTAL).alias("sum_duno_vnd"),
+        F.col("usd").cast(TOTAL).alias("sum_duno_usd"),
     )

@@ -2,8 +2,9 @@
 
 Every comparison is one full outer join of the current and the new picture on the business key. Keys are
 expected to be unique on both sides (``quality.duplicate_keys`` tests it before a load), so no key can be hot.
-Rows without a key match nothing. An outer join would still bring all of them to one task, so they go around it;
-``keys_not_null`` says that there are none, which saves the extra look at both inputs.
+Rows without a key match nothing. An outer join would still bring all of them to one task, so a second join column
+spreads them; ``keys_not_null`` says that there are none. A ``bucketed`` side must stay where its buckets are: there such
+rows go around the join, at the price of a second look at both inputs.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ ALL = "all"
 
 _CLASS = "__class"
 _PRESENT = "__present"
+_SPREAD = "__spread"
+_REOPENED = "__reopened"
 
 
 def _counters(kind: Column) -> list[Column]:
@@ -57,6 +60,13 @@ def _present(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(_PRESENT, F.lit(True)).alias(name)
 
 
+def _spread(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """With a second join column that is 0 where the key is there. Rows without a key match nothing; the hash of the whole
+    row deals them over all tasks."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return _present(df.withColumn(_SPREAD, F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(row)), name)
+
+
 def _paired(
     current: DataFrame,
     new: DataFrame,
@@ -64,26 +74,31 @@ def _paired(
     compare: Sequence[str] | str,
     ignore: Iterable[str],
     keys_not_null: bool,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Both pictures side by side, as the structs ``old`` and ``new``, with the class of each pair."""
     columns = compared_columns(current, new, keys, compare, ignore)
-    sides = {"old": current, "new": new}
-    keyed = sides if keys_not_null else {name: df.where(_has_key(keys)) for name, df in sides.items()}
     kind = (
         F.when(F.col(f"old.{_PRESENT}").isNull(), INSERT)
         .when(F.col(f"new.{_PRESENT}").isNull(), GONE)
         .when(_differs(columns), UPDATE)
         .otherwise(SAME)
     )
-    old, fresh = (_present(df, name) for name, df in keyed.items())
+    around = bucketed and not keys_not_null
+    sides = {"old": current, "new": new}
+    keyed = {name: df.where(_has_key(keys)) for name, df in sides.items()} if around else sides
+    same = _same_key(keys)
+    if keys_not_null or bucketed:
+        old, fresh = (_present(df, name) for name, df in keyed.items())
+    else:
+        old, fresh = (_spread(df, keys, name) for name, df in sides.items())
+        same = same & F.expr(f"old.{_SPREAD} = new.{_SPREAD}")
 
     def struct(df: DataFrame, name: str) -> Column:
         return F.struct(*[F.col(f"{name}.`{c}`") for c in df.columns]).alias(name)
 
-    pairs = old.join(fresh, _same_key(keys), "full_outer").select(
-        struct(current, "old"), struct(new, "new"), kind.alias(_CLASS)
-    )
-    if keys_not_null:
+    pairs = old.join(fresh, same, "full_outer").select(struct(current, "old"), struct(new, "new"), kind.alias(_CLASS))
+    if not around:
         return pairs
     types = {f.name: f.dataType for f in pairs.schema.fields}
     for name, kind_of_side in (("old", GONE), ("new", INSERT)):
@@ -120,13 +135,14 @@ def scd1(
     mark: str = "change_type",
     keys_not_null: bool = False,
     counts: Observation | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """The master after a load: changed rows overwritten and marked U, new rows added and marked I.
 
     Unchanged rows keep their date and mark, and so do rows whose key left the source. Columns follow the
     current master. ``counts`` is filled while the result is written.
     """
-    pairs = _paired(current, new, keys, compare, ignore, keys_not_null)
+    pairs = _paired(current, new, keys, compare, ignore, keys_not_null, bucketed)
     if counts is not None:
         pairs = pairs.observe(counts, *_counters(F.col(_CLASS)))
     offered = {*new.columns}
@@ -211,13 +227,20 @@ def scd2(
     end: str = "eff_end_dt",
     flag: str = "is_cur",
     keys_not_null: bool = False,
+    identifier: str | None = None,
+    touched_only: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """The versioned dimension after a load.
 
     A changed key gets a new version from ``as_of`` on, and its old version ends there (half-open). New keys get
     a first version; keys that left the source stay open. A rerun for the same date first takes back what the
-    earlier run of that date did. Versions that start after ``as_of`` stop the job.
+    earlier run of that date did. Versions that start after ``as_of`` stop the job. The version key is made of
+    ``identifier``, which a compound key has to name. ``touched_only`` gives the rows to merge instead: versions
+    opened, closed, or opened again because the earlier run had closed them.
     """
+    if identifier is None and len(keys) > 1:
+        raise ValueError("a compound key needs the column that identifies its versions")
     day = as_day(as_of)
     validity = {version_key, start, end, flag}
     late = F.raise_error(F.concat(F.lit("a version starts after the load date: "), F.col(start).cast("string")))
@@ -225,10 +248,14 @@ def scd2(
     is_open = (F.col(flag) == 1) | F.col(end).eqNullSafe(day)
     settled = before.where(~F.coalesce(is_open, F.lit(False)))
     current = before.where(is_open).withColumns(
-        {flag: F.when(F.col(start) > day, late.cast("int")).otherwise(F.lit(1)), end: F.lit(OPEN_END)}
+        {
+            _REOPENED: F.col(end).eqNullSafe(day),
+            flag: F.when(F.col(start) > day, late.cast("int")).otherwise(F.lit(1)),
+            end: F.lit(OPEN_END),
+        }
     )
-    fresh = align(with_validity(new, as_of, keys[0], version_key, start, end, flag), dimension.schema)
-    pairs = _paired(current, fresh, keys, compare, {*ignore, *validity}, keys_not_null)
+    fresh = align(with_validity(new, as_of, identifier or keys[0], version_key, start, end, flag), dimension.schema)
+    pairs = _paired(current, fresh, keys, compare, {*ignore, *validity}, keys_not_null, bucketed)
 
     def version(side: str, **changed: Column) -> Column:
         return F.struct(*[changed.get(c, F.col(f"{side}.{c}")).alias(c) for c in dimension.columns])
@@ -241,8 +268,10 @@ def scd2(
         .when(F.col(_CLASS) == INSERT, F.array(opened))
         .otherwise(F.array(kept))
     )
+    if touched_only:
+        pairs = pairs.where(F.col(_CLASS).isin(INSERT, UPDATE) | F.col(f"old.{_REOPENED}"))
     moved = pairs.select(F.explode(versions).alias("v")).select("v.*")
-    return settled.unionByName(moved)
+    return moved if touched_only else settled.unionByName(moved)
 
 
 def current_versions(dimension: DataFrame, flag: str = "is_cur") -> DataFrame:

@@ -54,12 +54,12 @@ def load_status(
     """
     if as_of is not None:
         day = as_day(as_of)
-        rows = df if date_column is None else df.where(F.col(date_column).cast("date") == day)
+        rows = df if date_column is None else df.where(F.col(date_column).try_cast("date") == day)
         counted = rows.agg(F.count(F.lit(1)).alias("n"))
         return counted.select(*_log_row(table, F.date_format(day, ISO_DAY), F.col("n"), _moment(finished)))
     if date_column is None:
         raise ValueError("an undated table needs as_of")
-    counted = df.groupBy(F.col(date_column).cast("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.groupBy(F.col(date_column).try_cast("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(*_log_row(table, F.date_format("d", ISO_DAY), F.col("n"), _moment(finished)))
 
 
@@ -102,7 +102,7 @@ def next_load_date(
 ) -> DataFrame:
     """Per table the day after its last success, or ``default`` when there is none."""
     last = lookup(status).groupBy("TBL_NAME").agg(F.max("COB_DT").alias("last_dt"))
-    following = F.date_format(F.date_add(F.col("last_dt").cast("date"), 1), ISO_DAY)
+    following = F.date_format(F.date_add(F.col("last_dt").try_cast("date"), 1), ISO_DAY)
     known = tables.select(F.col(table_column).alias("TBL_NAME")).distinct()
     return known.join(last, "TBL_NAME", "left").select(
         "TBL_NAME", F.coalesce(following, F.lit(default)).alias("next_dt")

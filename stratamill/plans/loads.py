@@ -13,6 +13,7 @@ from stratamill.functions.calendar import as_day
 from stratamill.operators import changes, quality, status
 from stratamill.operators.align import empty_text_to_null
 from stratamill.plans.spec import TableSpec
+from stratamill.session import scratch_dir
 from stratamill.sources import tables
 
 Query = str | Callable[[SparkSession, str], DataFrame]
@@ -23,7 +24,8 @@ class Step:
     """One write of a staged build.
 
     ``query`` is SQL with the parameter ``:cob_dt``, or a function of the session and the date. ``before`` is a
-    statement run first, such as a TRUNCATE; leave it out when there is none.
+    statement run first, such as a TRUNCATE; leave it out when there is none. ``date_column`` (``cob_dt`` if the target
+    has it) and ``date`` (the date of the run if not given) say which rows of the target the status row counts.
     """
 
     table: str
@@ -31,6 +33,8 @@ class Step:
     before: str | None = None
     mode: str = "overwrite"
     files: int | None = None
+    date_column: str | None = None
+    date: str | None = None
 
     def frame(self, spark: SparkSession, as_of: str) -> DataFrame:
         if callable(self.query):
@@ -65,19 +69,26 @@ def run_steps(
         if step.files:
             frame = tables.repartition_for_write(frame, step.files)
         if step.mode == "overwrite":
-            tables.overwrite_partitions(frame, step.table)
+            tables.overwrite_partitions(frame, step.table, balance=not step.files)
         else:
-            tables.append(frame, step.table)
+            tables.append(frame, step.table, balance=not step.files)
         if log is not None:
             target = spark.table(step.table)
-            date_column = "cob_dt" if "cob_dt" in target.columns else None
-            tables.append(status.load_status(target, step.table, date_column, as_of), log)
+            column = step.date_column or ("cob_dt" if "cob_dt" in target.columns else None)
+            if column is not None:
+                target = target.where(F.col(column).try_cast("date") == as_day(step.date or as_of))
+            tables.append(status.load_status(target, step.table, None, as_of), log)
         written.append(step.table)
     return written
 
 
-def load_snapshot(df: DataFrame, table: str) -> None:
-    """A balance snapshot: the day's slice is replaced, so a rerun leaves one copy."""
+def load_snapshot(df: DataFrame, table: str, as_of: str | dt.date | None = None, date_column: str = "cob_dt") -> None:
+    """A balance snapshot: the day's slice is replaced, so a rerun leaves one copy.
+
+    With ``as_of`` a day that has become empty is emptied in the table too.
+    """
+    if as_of is not None and df.where(F.col(date_column).try_cast("date") == as_day(as_of)).isEmpty():
+        tables.drop_partition(df.sparkSession, table, date_column, as_of)
     tables.overwrite_partitions(df, table)
 
 
@@ -96,6 +107,13 @@ def gate(new: DataFrame, spec: TableSpec) -> bool:
     return not found["keyless_rows"]
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A change set written to the shared scratch folder, so that what is merged is computed once."""
+    path = scratch_dir(df.sparkSession, "changes")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def keyless(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that lack a key; on stored tables the files' own null counts answer this almost alone."""
     return df.where(" OR ".join(f"`{k}` IS NULL" for k in spec.keys))
@@ -109,12 +127,13 @@ def only_day(df: DataFrame, column: str, as_of: str | dt.date) -> DataFrame:
 
 
 def load_master(
-    new: DataFrame, spec: TableSpec, as_of: str | dt.date, history: str | None = None
+    new: DataFrame, spec: TableSpec, as_of: str | dt.date, history: str | None = None, keep: int = 1
 ) -> dict[str, int]:
     """Type 1 load of a master and, if asked for, its change history. Returns the counts of the rows written.
 
-    With row-level tables only changed rows are merged. A plain table whose partition date is part of the key is
-    compared and rewritten in the partition of the day alone; any other plain table gets a complete new version.
+    With row-level tables only changed rows are merged, from a change set that is written and counted first. A plain
+    table whose partition date is part of the key is compared and rewritten in the partition of the day alone; any other
+    plain table has to be unpartitioned and gets a complete new version, of which the last ``keep`` old ones stay.
     """
     spark = new.sparkSession
     complete = gate(new, spec)
@@ -122,7 +141,8 @@ def load_master(
     counts = Observation(f"{spec.name} {as_of}")
     rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts)
     if tables.supports_row_level(spark, spec.name):
-        tables.merge_rows(changes.scd1_changes(current, new, **rules), spec.name, spec.keys)
+        written = _stored(changes.scd1_changes(current, new, **rules))
+        tables.merge_rows(written, spec.name, spec.keys)
     elif len(spec.partition_by) == 1 and spec.partition_by[0] in spec.keys:
         day = spec.partition_by[0]
         slice_ = changes.change_history(current, as_of, day)
@@ -130,30 +150,50 @@ def load_master(
         tables.overwrite_partitions(result, spec.name)
     else:
         complete = complete and keyless(current, spec).isEmpty()
-        tables.swap_table(changes.scd1(current, new, keys_not_null=complete, **rules), spec.name)
+        master = changes.scd1(current, new, keys_not_null=complete, bucketed=bool(spec.buckets), **rules)
+        tables.swap_table(master, spec.name)
+        tables.remove_old_versions(spark, spec.name, keep)
     if history:
         tables.overwrite_partitions(changes.change_history(spark.table(spec.name), as_of), history)
     return {name: int(n) for name, n in counts.get.items()}
 
 
 def load_versions(
-    new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str, end: str = "eff_end_dt"
+    new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str, start: str = "eff_strt_dt",
+    end: str = "eff_end_dt", identifier: str | None = None,
 ) -> None:
-    """Type 2 load of a versioned dimension: one result, one write.
+    """Type 2 load of a versioned dimension.
 
-    A dimension partitioned by the end date is read and rewritten in two partitions only, that of the open versions
-    and that of the versions the day closes; versions closed earlier are never touched again.
+    On row-level tables the versions that the day opened before are deleted and the changed ones merged, from a written
+    change set. A plain dimension partitioned by the end date is read and rewritten in two partitions only, that of the
+    open versions and that of the versions the day closes; versions closed earlier are never touched again. Either way a
+    load that dies half way is mended by running it again. Any other plain dimension has to be unpartitioned.
     """
     spark = new.sparkSession
     complete = gate(new, spec)
     dimension = spark.table(spec.name)
     by_end = tuple(spec.partition_by) == (end,)
+    rules = dict(
+        keys=spec.keys, as_of=as_of, compare=spec.compared, ignore=spec.ignore, version_key=version_key, start=start, end=end,
+        identifier=identifier, bucketed=bool(spec.buckets))
+    if tables.supports_row_level(spark, spec.name):
+        complete = complete and keyless(dimension, spec).isEmpty()
+        moved = _stored(changes.scd2(dimension, new, keys_not_null=complete, touched_only=True, **rules))
+        tables.drop_partition(spark, spec.name, start, as_of)
+        tables.merge_rows(moved, spec.name, [*spec.keys, start])
+        return
     if by_end:
-        dimension = dimension.where((F.col(end) == F.lit(changes.OPEN_END)) | (F.col(end) == as_day(as_of)))
+        closed_now = F.col(end) == as_day(as_of)
+        closed = dimension.where(closed_now)
+        if not closed.isEmpty():
+            # A rerun that died between its two commits leaves reopened versions closed as well: the open copy counts.
+            version = [*spec.keys, start]
+            reopened = dimension.where(F.col(end) == F.lit(changes.OPEN_END)).select(*version)
+            twice = reopened.join(closed.select(*version), version, "left_semi")
+            closed = closed.join(twice, version, "left_anti").select(*dimension.columns)
+        dimension = dimension.where(F.col(end) == F.lit(changes.OPEN_END)).unionByName(closed)
     complete = complete and keyless(dimension, spec).isEmpty()
-    result = changes.scd2(
-        dimension, new, spec.keys, as_of, spec.compared, spec.ignore, version_key, end=end, keys_not_null=complete
-    )
+    result = changes.scd2(dimension, new, keys_not_null=complete, **rules)
     if not by_end:
         tables.replace_all(result, spec.name)
         return

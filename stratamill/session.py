@@ -23,6 +23,8 @@ def build_session(app_name: str = "stratamill", master: str | None = None, **con
     """A session with the settings every job relies on; ``conf`` overrides them."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        # A number that does not fit its type stops a load instead of becoming NULL.
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a skewed join even where the next operator then needs one more shuffle.

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from stratamill.functions.calendar import ISO_DAY, as_day
 from stratamill.operators.align import union_labelled
+from stratamill.sources import tables
 
 
 def date_range(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -20,6 +21,22 @@ def date_range(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("day")).select(F.date_format("day", ISO_DAY).alias("cob_dt"))
 
 
+def _day_folders(
+    spark: SparkSession, root: str, start: str | None, end: str | None, dates: Sequence[str] | None, date_folder: str
+) -> list[str]:
+    """Folders of the wanted days that exist below ``root``, from one listing of ``root`` itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for entry in store.listStatus(path):
+        name, _, day = entry.getPath().getName().partition("=")
+        if not entry.isDirectory() or name.lower() != date_folder.lower():
+            continue
+        if (start is None or day >= start) and (end is None or day < end) and (dates is None or day in dates):
+            found.append(entry.getPath().toString())
+    return found
+
+
 def read_orc_dates(
     spark: SparkSession,
     root: str,
@@ -32,24 +49,21 @@ def read_orc_dates(
 ) -> DataFrame:
     """Date folders below ``root`` in one read, with the folder's date as the text column ``cob_dt``.
 
-    Give a half-open range, a list of dates, or neither for the whole table. The condition is on the partition
-    column, so only folders that match are opened and absent dates are simply not there; any real read error
-    is raised. ``schema`` (the target's) lets columns that some days lack come back as NULL; without one,
-    ``merge_schema`` reads every file's columns. Folder names may be ``cob_dt=...`` or ``COB_DT=...``.
+    Give a half-open range, a list of dates, or neither for the whole table. Only the folders of those days are listed;
+    absent dates are simply not there, and any real read error is raised. ``schema`` (the target's) lets columns that
+    some days lack come back as NULL; without one, ``merge_schema`` reads every file's columns. Folder names may be
+    ``cob_dt=...`` or ``COB_DT=...``.
     """
     reader = spark.read.option("basePath", root).option("mergeSchema", merge_schema)
     if schema is not None:
         wanted = [f for f in schema.fields if f.name.lower() != date_folder.lower()]
         reader = reader.schema(T.StructType([*wanted, T.StructField(date_folder, T.StringType())]))
-    rows = reader.orc(root)
-    day = F.col(date_folder)
-    if start is not None:
-        rows = rows.where(day >= start)
-    if end is not None:
-        rows = rows.where(day < end)
-    if dates is not None:
-        rows = rows.where(day.isin(*dates))
-    return rows.withColumn("__day", day.cast("string")).drop(date_folder).withColumnRenamed("__day", "cob_dt")
+    if start is None and end is None and dates is None:
+        rows = reader.orc(root)
+    else:
+        folders = _day_folders(spark, root, start, end, dates, date_folder)
+        rows = reader.orc(folders) if folders else reader.orc(root).where("false")
+    return rows.withColumn("__day", F.col(date_folder).cast("string")).drop(date_folder).withColumnRenamed("__day", "cob_dt")
 
 
 def partition_values(spark: SparkSession, table: str, column: str = "cob_dt") -> list[str]:
@@ -61,9 +75,15 @@ def partition_values(spark: SparkSession, table: str, column: str = "cob_dt") ->
 
 
 def copy_parquet(spark: SparkSession, pairs: Mapping[str, str]) -> None:
-    """Copy Parquet folders to tables, replacing each table's content."""
+    """Copy Parquet folders to tables, replacing each table's content. An existing table keeps its layout and columns."""
     for folder, table in pairs.items():
-        spark.read.parquet(folder).write.mode("overwrite").saveAsTable(table)
+        rows = spark.read.parquet(folder)
+        if not spark.catalog.tableExists(table):
+            rows.write.saveAsTable(table)
+        elif tables.partition_columns(spark, table) and not tables.supports_row_level(spark, table):
+            tables.insert_into(rows, table, "overwrite")
+        else:
+            tables.replace_all(rows, table)
 
 
 def label_feeds(
@@ -99,5 +119,5 @@ def export_day(
     The slice's folder is replaced as a whole, so a day that has become empty also empties the slice.
     """
     day = as_of if isinstance(as_of, str) else as_of.isoformat()
-    rows = df.where(F.col("cob_dt").cast("date") == as_day(as_of)).select(*[c for c in columns if c != "cob_dt"])
+    rows = df.where(F.col("cob_dt").try_cast("date") == as_day(as_of)).select(*[c for c in columns if c != "cob_dt"])
     rows.write.mode("overwrite").format(file_format).save(f"{path.rstrip('/')}/cob_dt={day}")

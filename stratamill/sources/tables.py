@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from stratamill.operators.align import align
 from stratamill.plans.spec import TableSpec
 
-# Sub-folders that hold the successive contents of a swapped table.
-VERSION = "_version="
+# The folder beside a swapped table's own that holds its later contents. It lies outside the table, where no reader looks
+# before the table's location points into it.
+VERSIONS = "__versions/"
 
 # Table providers that take MERGE, overwritePartitions and other row-level writes.
 ROW_LEVEL_PROVIDERS = {"iceberg", "delta", "hudi", "paimon"}
@@ -92,20 +93,26 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def append(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, balance: bool = True) -> None:
     """Append by column name."""
     spark = df.sparkSession
     if supports_row_level(spark, table):
         df.writeTo(table).append()
     else:
-        insert_into(df, table, "append")
+        insert_into(df, table, "append", balance=balance)
 
 
-def insert_into(df: DataFrame, table: str, mode: str = "append", dynamic: bool = False) -> None:
-    """Insert after aligning with the table: the writer itself goes by position."""
+def insert_into(df: DataFrame, table: str, mode: str = "append", dynamic: bool = False, balance: bool = True) -> None:
+    """Insert after aligning with the table: the writer itself goes by position.
+
+    Rows of a partitioned table are first brought together by partition, so that not every task opens a file in every
+    one; a large partition is still written by several tasks. ``balance=False`` leaves the caller's own layout.
+    """
     spark = df.sparkSession
     require_table(spark, table)
     aligned = align(df, spark.table(table).schema)
+    if balance and (parts := partition_columns(spark, table)):
+        aligned = repartition_for_write(aligned, by=parts)
     if mode == "overwrite":
         with _overwrite_mode(spark, "dynamic" if dynamic else "static"):
             aligned.write.mode(mode).insertInto(table)
@@ -113,21 +120,21 @@ def insert_into(df: DataFrame, table: str, mode: str = "append", dynamic: bool =
         aligned.write.mode(mode).insertInto(table)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
+def overwrite_partitions(df: DataFrame, table: str, balance: bool = True) -> None:
     """Replace only the partitions that ``df`` has rows for. Running it twice gives the same table."""
     spark = df.sparkSession
     if supports_row_level(spark, table):
         align(df, spark.table(table).schema).writeTo(table).overwritePartitions()
     else:
-        insert_into(df, table, "overwrite", dynamic=True)
+        insert_into(df, table, "overwrite", dynamic=True, balance=balance)
 
 
 def drop_partition(spark: SparkSession, table: str, column: str, day: str | dt.date) -> None:
     """Remove the rows of one day: an overwrite that has no rows for a partition leaves it as it was."""
     if supports_row_level(spark, table):
-        spark.sql(f"DELETE FROM {table} WHERE {column} = DATE '{day}'")
+        spark.sql(f"DELETE FROM {table} WHERE {column} = '{day}'")
     else:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = DATE '{day}')")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{day}')")
 
 
 def clear(spark: SparkSession, table: str) -> None:
@@ -138,17 +145,24 @@ def location(spark: SparkSession, table: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()["data_type"]
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def swap_table(df: DataFrame, table: str) -> str:
     """Replace an unpartitioned table by ``df`` in one step; ``df`` may read the table itself.
 
-    The new content is written beside the old one, then the table's location is switched. Readers see the old
-    or the new version; a job that dies before the switch leaves the table untouched. Returns the previous
-    location, which stays until ``remove_old_versions``.
+    The new content is written to a folder beside the table's own, then the table's location is switched. Readers see
+    the old or the new version; a job that dies before the switch leaves the table untouched. A partitioned table is
+    refused, as its catalog partitions would not follow. Returns the previous location, which stays until
+    ``remove_old_versions``.
     """
     spark = df.sparkSession
+    if parts := partition_columns(spark, table):
+        raise ValueError(f"{table} is partitioned by {', '.join(parts)}: replace its partitions, it cannot be swapped whole")
     previous = location(spark, table)
-    base = previous.rstrip("/").split(f"/{VERSION}")[0]
-    version = f"{base}/{VERSION}{dt.datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    base = previous.rstrip("/").split(VERSIONS)[0]
+    version = f"{base}{VERSIONS}{dt.datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     staging = f"{table}__{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {staging} LIKE {table} USING {provider(spark, table)} LOCATION '{version}'")
     try:
@@ -166,20 +180,16 @@ def remove_old_versions(spark: SparkSession, table: str, keep: int = 1) -> list[
     Only versions older than the current one are looked at, so one that is being written is safe. Keep at least
     one where readers may still hold the previous location.
     """
-    base, _, current = location(spark, table).rstrip("/").partition(f"/{VERSION}")
+    base, _, current = location(spark, table).rstrip("/").partition(VERSIONS)
     if not current:
         return []
-    path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    first, older = [], []
-    for entry in store.listStatus(path):
-        name = entry.getPath().getName()
-        if not name.startswith(VERSION):
-            first.append(entry.getPath())
-        elif name < VERSION + current:
-            older.append(entry.getPath())
-    # the files that lie in the base folder itself are the version from before the first swap
-    versions = ([first] if first else []) + [[p] for p in sorted(older, key=lambda p: p.getName())]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    first = path(base)
+    store = first.getFileSystem(spark._jsc.hadoopConfiguration())
+    # the table's own folder holds the version from before the first swap
+    versions = [[e.getPath() for e in store.listStatus(first)]] if store.exists(first) else []
+    older = [e.getPath() for e in store.listStatus(path(f"{base}{VERSIONS}")) if e.getPath().getName() < current]
+    versions = [v for v in versions if v] + [[p] for p in sorted(older, key=lambda p: p.getName())]
     gone = [p for version in versions[: max(0, len(versions) - keep)] for p in version]
     for p in gone:
         store.delete(p, True)

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratamill import functions as fn
@@ -19,17 +20,29 @@ def test_term_months(rows):
 
 
 def test_whole_number_text(rows):
-    texts = ["12", " 12 ", "-3", "12.9", "-0.5", "", None, "n/a", "99999999999", "1.2.3"]
-    assert values(rows, "string", texts, fn.whole) == [12, 12, -3, 12, 0, None, None, None, None, None]
+    texts = ["12", " 12 ", "-3", "12.9", "-0.5", "", None, "n/a", "1.2.3"]
+    assert values(rows, "string", texts, fn.whole) == [12, 12, -3, 12, 0, None, None, None, None]
     assert values(rows, "string", ["99999999999"], lambda c: fn.whole(c, "bigint")) == [99999999999]
 
 
 def test_decimal_text(rows):
-    texts = ["12.345", ".5", "1e3", "-7", "", "x", None, "123456789012345678901"]
-    expected = [Decimal("12.35"), Decimal("0.50"), Decimal("1000.00"), Decimal("-7.00"), None, None, None, None]
+    texts = ["12.345", ".5", "1e3", "-7", "", "x", None]
+    expected = [Decimal("12.35"), Decimal("0.50"), Decimal("1000.00"), Decimal("-7.00"), None, None, None]
     assert values(rows, "string", texts, fn.number) == expected
 
 
+@pytest.mark.parametrize(
+    "text, rule",
+    [
+        ("3000000000", fn.whole), ("9" * 20, lambda c: fn.whole(c, "bigint")), ("123456789012345678.00", fn.number),
+        ("12345678901234", lambda c: fn.surrogate_key("2025-01-15", c)),
+    ],
+)
+def test_numbers_too_large_stop_the_job(rows, text, rule):
+    with pytest.raises(PySparkException):
+        values(rows, "string", [text], rule)
+
+
 def test_day_first_dates(rows):
     texts = ["31/01/2025", "31/02/2024", "29/02/2024", "", "1/2/2024", "2024-01-31", None, "31/01/2025 "]
     good = [dt.date(2025, 1, 31), None, dt.date(2024, 2, 29), None, None, None, None, None]
@@ -102,6 +115,7 @@ def test_started_this_month(rows):
 
 def test_surrogate_key(rows):
     assert values(rows, "bigint", [42, None], lambda c: fn.surrogate_key("2025-01-15", c)) == [25011542, None]
+    assert values(rows, "string", ["7", "x7", ""], lambda c: fn.surrogate_key("2025-01-15", c)) == [2501157, None, None]
 
 
 def test_open_accounts(rows):

@@ -16,7 +16,7 @@ QUERIES = entry.queries()
 WRITING = {
     "snapshot_overwrite", "append_rows", "backfill_range", "backfill_partitions", "export_slice", "parquet_copy",
     "staged_fact", "master_load", "master_history", "versions_load", "labelled_union", "landing_publish", "sql_source", "workforce_run", "debt_load", "card_load",
-    "loan_details_load",
+    "loan_details_load", "snapshot_emptied_day", "versions_torn_rerun", "workforce_log", "landing_absent_columns",
 }
 
 
@@ -51,12 +51,11 @@ def no_broadcast(spark):
         spark.conf.unset(key)
 
 
-def test_both_sides_of_the_debt_join_are_summed_first(spark, small, no_broadcast):
+def test_debt_totals_need_two_exchanges(spark, small, no_broadcast):
     text = plan(QUERIES["debt_totals"](spark, small))
-    assert text.count("FileScan") == 2
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning") == 2
     assert {"l_orderkey", "l_extendedprice", "l_quantity"} in scan_columns(text)
-    join = text.index("Join")
-    assert text[join:].count("partial_sum") >= 1 and text[join:].count("partial_count") >= 1
+    assert text[text.index("Join"):].count("partial_sum") >= 1
 
 
 def test_maxima_are_hash_aggregated_before_the_shuffle(spark, small, no_broadcast):
@@ -72,11 +71,12 @@ def test_history_needs_one_join(spark, small, no_broadcast):
     assert text.count("FullOuter") == 1 and text.count("FileScan") == 2
 
 
-def test_search_for_keyless_rows_is_pushed_to_the_scan(spark, small, no_broadcast):
+def test_each_side_is_read_once(spark, small, no_broadcast):
     current, new = changing._pictures(spark, small)
     text = plan(changes.scd1(current, new, ["o_custkey"]))
-    assert text.count("FullOuter") == 1 and text.count("FileScan") == 4
-    assert len(re.findall(r"DataFilters: \[[^\]]*isnull\(o_custkey#\d+L?\)", text)) == 2
+    assert text.count("FullOuter") == 1 and text.count("FileScan") == 2
+    for name in ("deposit_master", "loan_master", "loan_details"):
+        assert plan(QUERIES[name](spark, small)).count("FileScan") == 2, name
 
 
 def test_upsert_shuffles_only_the_keys_of_the_new_rows(spark, small, no_broadcast):
@@ -99,7 +99,7 @@ def test_bucketed_master_is_not_shuffled(spark, no_broadcast):
     tables.append(changes.first_load(rows), spec.name)
     text = plan(changes.scd1(spark.table(spec.name), rows, ["k"], keys_not_null=True))
     assert text.count("Exchange hashpartitioning") == 1
-    text = plan(changes.scd1(spark.table(spec.name), rows, ["k"]))
+    text = plan(changes.scd1(spark.table(spec.name), rows, ["k"], bucketed=True))
     assert text.count("Exchange hashpartitioning") == 1
 
 
@@ -113,7 +113,7 @@ def test_null_keys_are_spread(spark, no_broadcast):
     try:
         spread = changes.scd1(current, third, ["k"]).where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in spread) == 60_000
-        assert max(r["count"] for r in spread) < 10_000 and len(spread) >= 12
+        assert max(r["count"] for r in spread) < 10_000 and len(spread) == 8  # as many as there are shuffle partitions
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
@@ -125,7 +125,7 @@ def test_date_folders_are_pruned(spark, tmp_path):
     days = spark.range(30).select(F.col("id").alias("k"), F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("cob_dt"))
     days.write.partitionBy("cob_dt").orc(root)
     df = read_orc_dates(spark, root, "2025-01-10", "2025-01-13")
-    text = plan(df)
-    assert re.search(r"PartitionFilters: \[[^\]]*2025-01-10", text) and df.count() == 3
-    scan = df._jdf.queryExecution().sparkPlan().toString()
-    assert "PartitionFilters: []" not in scan
+    assert df.count() == 3
+    listed = re.search(r"Location: InMemoryFileIndex\((\d+) paths\)", plan(df))
+    assert listed and listed[1] == "3"  # no other day's folder is listed
+    assert read_orc_dates(spark, root, dates=["2031-01-01"]).count() == 0

@@ -52,7 +52,9 @@ def test_align_stops_on_numbers_that_do_not_fit(rows):
     narrow = T.StructType([T.StructField("a", T.IntegerType())])
     with pytest.raises(PySparkException):
         aligning.align(rows([(2**40,)], "a bigint"), narrow).collect()
-    assert aligning.align(rows([("1099511627776",)], "a string"), narrow).first()["a"] is None
+    with pytest.raises(PySparkException):
+        aligning.align(rows([("1099511627776",)], "a string"), narrow).collect()
+    assert aligning.align(rows([("x1",)], "a string"), narrow).first()["a"] is None
 
 
 def test_labelled_union_takes_columns_by_name(rows):
@@ -400,3 +402,135 @@ def test_old_versions_are_removed_but_for_the_last(spark, rows):
     assert tables.remove_old_versions(spark, spec.name, keep=1) == []
     assert tables.remove_old_versions(spark, spec.name, keep=0) == [left[2]]
     assert content(spark, spec.name) == [(3, "a", "d")]
+
+
+@pytest.mark.parametrize("load", ["master", "upsert", "versions"])
+def test_partitioned_targets_are_refused_by_whole_table_loads(spark, rows, load):
+    columns = (Field("k", "k", "bigint"), Field("v", "v", "string"), Field("cob_dt", "cob_dt", "date"))
+    lead = tuple(
+        Field("-", n, t) for n, t in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+    )
+    versions = dict(lead=lead, partition_by=("is_cur",))
+    spec = TableSpec(fresh("parted"), columns, ("k",), **(versions if load == "versions" else {"partition_by": ("cob_dt",)}))
+    tables.ensure_table(spark, spec)
+    day = dt.date(2025, 1, 1)
+    stored = [c for c in spark.table(spec.name).columns]
+    first = rows([(1, "a", day)], "k bigint, v string, cob_dt date")
+    tables.append(first, spec.name)
+    before = content(spark, spec.name)
+    new = rows([(2, "b", day)], "k bigint, v string, cob_dt date")
+    with pytest.raises(ValueError, match="partitioned"):
+        if load == "master":
+            load_master(new, spec, day)
+        elif load == "upsert":
+            load_upsert(new, spec)
+        else:
+            load_versions(new, spec, day, "sr_key")
+    assert content(spark, spec.name) == before and spark.table(spec.name).columns == stored
+
+
+def test_first_swap_is_unseen_until_the_switch(spark, rows, monkeypatch):
+    spec = TableSpec(fresh("first_swap"), DATED, ("k",))
+    tables.ensure_table(spark, spec)
+    tables.append(rows([(1, "a", "d")], "k bigint, v string, cob_dt string"), spec.name)
+    seen, insert = [], tables.insert_into
+
+    def insert_and_look(df, table, *args, **kwargs):
+        insert(df, table, *args, **kwargs)
+        spark.catalog.refreshTable(spec.name)
+        seen.append((content(spark, spec.name), spark.read.parquet(tables.location(spark, spec.name)).columns))
+        raise RuntimeError("dies before the switch")
+
+    monkeypatch.setattr(tables, "insert_into", insert_and_look)
+    with pytest.raises(RuntimeError, match="dies"):
+        tables.swap_table(rows([(2, "b", "d")], "k bigint, v string, cob_dt string"), spec.name)
+    assert seen == [([(1, "a", "d")], ["k", "v", "cob_dt"])]
+    assert content(spark, spec.name) == [(1, "a", "d")]
+
+
+def test_masters_keep_the_asked_versions(spark, rows):
+    columns = (Field("k", "k", "bigint"), Field("v", "v", "string"))
+    spec = TableSpec(fresh("few"), columns, ("k",), extra=(Field("-", "change_type", "string"),))
+    tables.ensure_table(spark, spec)
+    places = []
+    for i in range(4):
+        load_master(rows([(1, str(i))], "k bigint, v string"), spec, f"2025-01-0{i + 1}", keep=1)
+        places.append(tables.location(spark, spec.name))
+    assert [tuple(r) for r in spark.read.parquet(places[2]).collect()] == [(1, "2", "U")]
+    with pytest.raises(PySparkException):
+        spark.read.parquet(places[1]).collect()
+
+
+def test_torn_versions_load_is_mended(spark, rows, monkeypatch):
+    lead = tuple(
+        Field("-", n, t) for n, t in (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+    )
+    spec = TableSpec(fresh("torn"), (Field("k", "k", "bigint"), Field("v", "v", "string")), ("k",), lead=lead, partition_by=("eff_end_dt",))
+    tables.ensure_table(spark, spec)
+    load = lambda day, *data: load_versions(rows(list(data), "k bigint, v string"), spec, day, "sr_key")
+    load("2025-01-01", (1, "a"), (2, "b"))
+    load("2025-01-02", (1, "x"))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "drop_partition", lambda *a: (_ for _ in ()).throw(RuntimeError("dies")))
+        with pytest.raises(RuntimeError):
+            load("2025-01-02", (1, "a"))
+    load("2025-01-02", (1, "a"))
+    got = sorted((r["k"], r["v"], str(r["eff_strt_dt"]), str(r["eff_end_dt"]), r["is_cur"]) for r in spark.table(spec.name).collect())
+    assert got == [(1, "a", "2025-01-01", "9999-12-31", 1), (2, "b", "2025-01-01", "9999-12-31", 1)]
+
+
+def test_compound_keys_need_an_identifier(spark, rows):
+    from stratamill.operators import changes
+
+    dimension = rows([], "sr_key bigint, a bigint, b bigint, v string, eff_strt_dt date, eff_end_dt date, is_cur int")
+    new = rows([(7, 1, "x"), (7, 2, "y")], "a bigint, b bigint, v string")
+    with pytest.raises(ValueError, match="compound"):
+        changes.scd2(dimension, new, ["a", "b"], "2025-01-01")
+    got = changes.scd2(dimension, new, ["a", "b"], "2025-01-01", identifier="b").collect()
+    assert sorted(r["sr_key"] for r in got) == [2501011, 2501012]
+
+
+def test_touched_versions_are_enough_for_a_merge(rows):
+    from stratamill.operators import changes
+
+    schema = "sr_key bigint, k bigint, v string, eff_strt_dt date, eff_end_dt date, is_cur int"
+    d1, d2, end = dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(9999, 12, 31)
+    dimension = rows([(1, 1, "a", d1, d2, 0), (2, 1, "x", d2, end, 1), (3, 2, "b", d1, end, 1), (4, 3, "c", d1, end, 1)], schema)
+    new = rows([(1, "a"), (2, "z")], "k bigint, v string")
+    touched = changes.scd2(dimension, new, ["k"], d2, touched_only=True)
+    assert touched.columns == dimension.columns
+    kept = {(r.k, r.eff_strt_dt): tuple(r) for r in dimension.collect() if r.eff_strt_dt != d2}
+    kept.update({(r.k, r.eff_strt_dt): tuple(r) for r in touched.collect()})
+    whole = changes.scd2(dimension, new, ["k"], d2).collect()
+    assert sorted(kept.values()) == sorted(map(tuple, whole)) and touched.count() < len(whole)
+
+
+def test_emptied_snapshot_day(spark, rows, dated):
+    from stratamill.plans.loads import load_snapshot
+
+    schema = "k bigint, v string, cob_dt string"
+    load_snapshot(rows([(1, "a", "2025-01-01"), (2, "b", "2025-01-02")], schema), dated)
+    load_snapshot(rows([], schema), dated, "2025-01-01")
+    assert content(spark, dated) == [(2, "b", "2025-01-02")]
+
+
+def test_status_counts_the_slice_of_the_report(spark, rows):
+    target = TableSpec(fresh("report"), (Field("k", "k", "bigint"), Field("r", "report_date", "string")), ("k",), partition_by=("report_date",))
+    log = TableSpec(fresh("log"), tuple(Field("-", c, "string") for c in status.STATUS_COLUMNS), ())
+    tables.ensure_table(spark, target)
+    tables.ensure_table(spark, log)
+    for day, n in (("2025-01-31", 5), ("2025-02-28", 3)):
+        frame = rows([(i, day) for i in range(n)], "k bigint, report_date string")
+        run_steps(spark, [Step(target.name, lambda *_, f=frame: f, date_column="report_date", date=day)], day, log.name)
+    assert sorted((r["COB_DT"], r["PROCESS_ROW"]) for r in spark.table(log.name).collect()) == [("2025-01-31", "5"), ("2025-02-28", "3")]
+
+
+def test_copy_keeps_the_targets_layout(spark, rows, dated, tmp_path):
+    folder = str(tmp_path / "new")
+    rows([("2025-01-01", 1, "a")], "cob_dt string, k bigint, v string").write.parquet(folder)
+    tables.append(rows([(9, "z", "2024-01-01")], "k bigint, v string, cob_dt string"), dated)
+    name = fresh("copied")
+    files.copy_parquet(spark, {folder: dated})
+    files.copy_parquet(spark, {folder: name})
+    assert content(spark, dated) == [(1, "a", "2025-01-01")] and tables.partition_columns(spark, dated) == ["cob_dt"]
+    assert spark.table(name).count() == 1
