@@ -418,6 +418,25 @@ def landing_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(spec.name)
 
 
+@register(
+    "landing_absent_columns",
+    with_feeds(monthly=_MONTHLY)
+    + """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_orderpriority, amount, cob_dt FROM monthly, range(2)
+WHERE cob_dt IN ('1999-05-31', '1999-06-30')""",
+)
+def landing_absent_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source without one of the target's columns, read by the feed's own query text and appended twice."""
+    spec, source = _monthly_spec("absent"), f"source_{uuid.uuid4().hex[:8]}"
+    _create(spark, spec)
+    feed(spark, sf_dir, _MONTHLY).drop("o_orderpriority").createOrReplaceTempView(source)
+    declared = landing.LandingFeed(source, spec.name, columns=("O_ORDERKEY", "amount", "cob_dt"), mode="append")
+    for _ in range(2):
+        for day in ("1999-05-31", "1999-06-30"):
+            rows = spark.sql(landing.feed_query(declared, spark.table(spec.name).columns, day))
+            landing.publish(rows, spec.name, mode=declared.mode)
+    return spark.table(spec.name)
+
+
 @register(
     "sql_source",
     with_feeds(monthly=_MONTHLY)
@@ -461,6 +480,43 @@ def workforce_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.withColumns({c: F.col(c).cast(f"decimal(15,{s})") for c, s in rounded.items()})
 
 
+_EARLIER = "2001-06-30"
+_LOGGED = {
+    "dim_ps_job_dsnv_daily_emp": curated._EMPLOYEES, "dim_prior_exp": curated._EXPERIENCE,
+    "dim_review_rating_yr_empl": curated._RATINGS,
+}
+
+
+def _counted(name: str, sql: str, report: str) -> str:
+    sql = sql.replace(REPORT, report).replace(curated._MONTH, f"{report[:8]}01")
+    return f"""SELECT '{name}' AS "TBL_NAME", '{COB}' AS "COB_DT", CAST(count(*) AS VARCHAR) AS "PROCESS_ROW" FROM ({sql})"""
+
+
+@register(
+    "workforce_log",
+    with_feeds("jobs", "past_jobs", "reviews")
+    + " UNION ALL ".join(_counted(name, sql, day) for name, sql in _LOGGED.items() for day in (_EARLIER, REPORT)),
+)
+def workforce_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of two reports into the same tables; the second run is repeated with resume, which adds none."""
+    schema = _name("x").partition(".")[0]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
+    names = [f.name for f in dataclasses.fields(daily.WorkforceSources)]
+    for name in ("jobs", "past_jobs", "reviews"):
+        feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+    log = f"{schema}.load_log"
+    tables.ensure_table(spark, TableSpec(log, tuple(Field(c, c, "string") for c in status.STATUS_COLUMNS), ()))
+    sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})
+    for report, resume in ((_EARLIER, False), (REPORT, False), (REPORT, True)):
+        steps = daily.workforce_steps(sources, schema, report, COMPANY, curated._FIRST_YEAR)
+        steps = [s for s in steps if s.table.partition(".")[2] in _LOGGED]
+        for step in steps:
+            shape = tuple(Field(f.name, f.name, f.dataType.simpleString()) for f in step.frame(spark, COB).schema)
+            tables.ensure_table(spark, TableSpec(step.table, shape, (), partition_by=("report_date",)))
+        run_steps(spark, steps, COB, log, resume)
+    return spark.table(log).select(F.substring_index("TBL_NAME", ".", -1).alias("TBL_NAME"), "COB_DT", "PROCESS_ROW")
+
+
 @register("loan_details_load", ORACLE["loan_details"])
 def loan_details_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily loads of the stored loan details, the second one twice."""

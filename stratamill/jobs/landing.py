@@ -1,6 +1,7 @@
 """Landing loads: a database query or an ORC folder into a table that already exists.
 
-The target table's schema names the columns, so a feed is declared by its source and target alone.
+The target table's schema names the columns, so a feed is declared by its source and target. Where the source lacks some of
+them the feed lists the columns it has, and the others are NULL in the target.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ DATE_COLUMN = "cob_dt"
 class LandingFeed:
     """One source table. ``packed_column`` holds the moment as packed text when the source has no business date.
 
-    ``expressions`` replace single columns by a source expression, such as TRIM(kundnr).
+    ``expressions`` replace single columns by a source expression, such as TRIM(kundnr). ``columns`` are those that the
+    source has (the target's if not given). ``mode`` is 'overwrite', which replaces the date's partition, or 'append'.
     """
 
     source: str
@@ -33,6 +35,8 @@ class LandingFeed:
     partition_column: str | None = None
     num_partitions: int | None = None
     files: int | None = None
+    columns: tuple[str, ...] | None = None
+    mode: str = "overwrite"
 
 
 # Tables and columns of the database feeds.
@@ -79,6 +83,9 @@ def feed_query(feed: LandingFeed, columns: list[str], as_of: str) -> str:
     order is that of time, so that the database can use an index.
     """
     date = dt.date.fromisoformat(as_of)
+    if feed.columns is not None:
+        offered = {name.lower() for name in feed.columns} | ({DATE_COLUMN} if feed.packed_column else set())
+        columns = [name for name in columns if name.lower() in offered]
     day, following = date.isoformat(), date + dt.timedelta(days=1)
     chosen = []
     for name in columns:
@@ -102,11 +109,13 @@ def land(spark: SparkSession, conn: Mapping[str, str], feed: LandingFeed, as_of:
     rows = jdbc.read_jdbc(
         spark, conn, query, partition_column=feed.partition_column, num_partitions=feed.num_partitions
     )
-    publish(rows, feed.target, feed.files)
+    publish(rows, feed.target, feed.files, feed.mode)
 
 
-def publish(rows: DataFrame, target: str, files_out: int | None = None) -> None:
-    """Align with the target and replace the partitions the rows belong to."""
+def publish(rows: DataFrame, target: str, files_out: int | None = None, mode: str = "overwrite") -> None:
+    """Align with the target and replace the partitions the rows belong to, or append to the target."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark = rows.sparkSession
     tables.require_table(spark, target)
     schema = spark.table(target).schema
@@ -114,7 +123,8 @@ def publish(rows: DataFrame, target: str, files_out: int | None = None) -> None:
     aligned = align(rows, schema, text_keys)
     if files_out:
         aligned = tables.repartition_for_write(aligned, files_out)
-    tables.overwrite_partitions(aligned, target)
+    write = tables.append if mode == "append" else tables.overwrite_partitions
+    write(aligned, target, balance=not files_out)
 
 
 def packed_day(column: Column | str, as_of: str | dt.date) -> Column:

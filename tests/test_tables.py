@@ -196,6 +196,8 @@ def test_landing_queries():
     )
     assert [f.target for f in landing.card_interest_feeds("s", "t")][-1] == "t.nii_card_rpt_summy"
     assert landing.finance_feeds("s", "t")[0].source == "s.bod_overall_report_db"
+    some = landing.LandingFeed("src", "t", packed_column="CREATE_TIME", columns=("MSG_KEY",))
+    assert landing.feed_query(some, ["msg_key", "absent", "cob_dt"], "2025-01-31").startswith("SELECT msg_key, '2025-01-31' cob_dt FROM src")
     with pytest.raises(ValueError):
         landing.feed_query(risk, ["cob_dt"], "2025-01-15' OR '1'='1")
 
