@@ -2,7 +2,8 @@
 
 A line of length l is split into ``distance + 1`` segments of nearly equal length. Two lines within the distance share one
 segment of the shorter line, at places that length difference and segment number confine; so every different line is put into an
-index under its segments, and probes the index with those of its substrings. What meets is verified by a banded bit-parallel edit distance:
+index under its segments, and probes the index with those of its substrings. What meets, and does not differ in too many
+words, is verified by a banded bit-parallel edit distance:
 a column of the band is a few bits of one integer, and each character moves it by a handful of bit operations.
 
 A line is dropped if it is equal to an earlier line, or within the distance of one (lines are judged on the input, so a
@@ -61,6 +62,14 @@ def keys_of(line: str, distance: int = DISTANCE) -> Column:
     return F.array(*found)
 
 
+def word_parities(line: str) -> Column:
+    """One bit for each of 64 kinds of words between blanks: is their number odd? An edit changes three of a line's words at
+    most (a blank that goes joins two), so the bits of lines within a distance differ in three times as many places at most."""
+    kinds = F.transform(F.split(F.col(line), " "), lambda w: F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))
+    zero = F.lit(0).cast("long")
+    return F.aggregate(kinds, zero, lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+
+
 def within(a: str, b: str, distance: int = DISTANCE) -> Column:
     """Is the edit distance of the columns ``a`` and ``b`` (more than ``distance`` characters each) at most ``distance``?"""
     k, width = distance, 2 * distance + 1
@@ -84,11 +93,11 @@ def within(a: str, b: str, distance: int = DISTANCE) -> Column:
 def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANCE, many: int = MANY) -> DataFrame:
     """``ref, place`` of lines that are near an earlier one.
 
-    ``different`` has each line once (``ref``, its hash, ``place`` and ``keys``), ``every`` all lines with their text.
+    ``different`` has each line once (``ref``, its hash, ``place``, ``words`` and ``keys``), ``every`` all lines with their text.
     """
     parts = distance + 1
-    index = different.select("ref", F.explode(F.slice("keys", 1, parts)).alias("key")).filter("key is not null")
-    probes = different.select("ref", F.explode(F.slice("keys", parts + 1, 1 << 20)).alias("key")).filter("key is not null")
+    index = different.select("ref", "words", F.explode(F.slice("keys", 1, parts)).alias("key")).filter("key is not null")
+    probes = different.select("ref", "words", F.explode(F.slice("keys", parts + 1, 1 << 20)).alias("key")).filter("key is not null")
     hot = stored(index.groupBy("key").count().filter(F.col("count") > many).select("key"), "hot")
     some_hot = not hot.isEmpty()
 
@@ -106,11 +115,14 @@ def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANC
         later = later.otherwise(F.struct(F.col("ref_b").alias("ref"), F.col("place_b").alias("place")))
         return close.select(later.alias("l")).select("l.*").distinct()
 
+    alike = F.bit_count(F.col("words_a").bitwiseXOR(F.col("words_b"))) <= 3 * distance
+
     def cold(rows: DataFrame) -> DataFrame:
         return rows.join(hot, "key", "left_anti") if some_hot else rows
 
-    met = cold(index).withColumnRenamed("ref", "ref_a").join(cold(probes).withColumnRenamed("ref", "ref_b"), "key")
-    pairs = met.filter("ref_a <> ref_b").select("ref_a", "ref_b")
+    met = cold(index).withColumnsRenamed({"ref": "ref_a", "words": "words_a"}).join(
+        cold(probes).withColumnsRenamed({"ref": "ref_b", "words": "words_b"}), "key")
+    pairs = met.filter((F.col("ref_a") != F.col("ref_b")) & alike).select("ref_a", "ref_b")
     if not some_hot:
         return stored(verified(pairs), "near")
     place = different.select("ref", "place")
@@ -120,7 +132,7 @@ def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANC
     def meeting(left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs of an earlier and a later line of which one probes the other's segment."""
         a, b = left.toDF(*[f"{c}_a" for c in left.columns]), right.toDF(*[f"{c}_b" for c in right.columns])
-        return a.join(b, F.col("key_a") == F.col("key_b")).filter("place_a < place_b and probes_a <> probes_b").select("ref_a", "ref_b")
+        return a.join(b, F.col("key_a") == F.col("key_b")).filter(F.expr("place_a < place_b and probes_a <> probes_b") & alike).select("ref_a", "ref_b")
 
     order = Window.partitionBy("key", "probes").orderBy("place")
     first = lots.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= FIRST).drop("_nth")
@@ -137,7 +149,7 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     different = stored(
         every.filter(compared).groupBy("line").agg(F.min("place").alias("place")).select(
             F.xxhash64("line").alias("ref"), "place", F.md5(F.col("line").cast("binary")).alias("digest"),
-            keys_of("line", distance).alias("keys")), "lines")
+            word_parities("line").alias("words"), keys_of("line", distance).alias("keys")), "lines")
     near = near_earlier(different, every.filter(compared), distance, many).withColumn("near", F.lit(True))
     firsts = different.select("ref", "digest", "place").join(near, ["ref", "place"], "left").select(
         "digest", F.col("place").alias("first"), "near")
