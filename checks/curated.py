@@ -44,8 +44,8 @@ SELECT e.msphieu, e.mst, CAST(l.cob_dt AS DATE) AS cob_dt,
        CAST(sum(CAST(duno_vnd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_vnd,
        CAST(sum(CAST(duno_usd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_usd
 FROM entities e JOIN loan_lines l ON e.msphieu = l.msphieu AND e.cob_dt = l.cob_dt
-WHERE dkkd <> '' GROUP BY ALL
-""",
+WHERE dkkd <> '' AND e.cob_dt = '%s' GROUP BY ALL
+""" % COB,
 )
 def debt_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debt.debt_totals(feed(spark, sf_dir, "entities"), feed(spark, sf_dir, "loan_lines"), COB)

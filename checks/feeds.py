@@ -26,7 +26,8 @@ def money(expression: str, scale: int = 2) -> str:
     return f"CAST(CAST({expression} AS DECIMAL(19,{scale})) AS STRING)"
 
 
-COB = "2001-08-01"
+# The business date of the checks, and that of a second slice which they must leave out.
+COB, EARLIER = "2001-08-01", "2001-07-01"
 REPORT = "2001-07-31"
 COMPANY = "HQ"
 
@@ -48,12 +49,13 @@ FEEDS["entities"] = f"""
 SELECT CAST(o_orderkey AS STRING) AS msphieu,
        'M' || CAST(o_custkey AS STRING) AS mst,
        CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END AS dkkd,
-       '{COB}' AS cob_dt
+       CASE WHEN o_orderkey % 4 = 0 THEN '{EARLIER}' ELSE '{COB}' END AS cob_dt
 FROM {{orders}}
 """
 
 FEEDS["loan_lines"] = f"""
-SELECT CAST(l_orderkey AS STRING) AS msphieu, '{COB}' AS cob_dt,
+SELECT CAST(l_orderkey AS STRING) AS msphieu,
+       CASE WHEN l_orderkey % 4 = 0 OR l_linenumber = 2 THEN '{EARLIER}' ELSE '{COB}' END AS cob_dt,
        {money('l_extendedprice')} AS duno_vnd, {money('l_quantity')} AS duno_usd
 FROM {{lineitem}}
 """

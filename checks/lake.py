@@ -37,6 +37,12 @@ def _create(spark: SparkSession, spec: TableSpec, using: str = "parquet") -> Non
     tables.ensure_table(spark, spec, using)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the schemas that checks made, with their tables and files, once their results have been read."""
+    for row in spark.sql("SHOW SCHEMAS LIKE 'scratch_*'").collect():
+        spark.sql(f"DROP SCHEMA IF EXISTS {row[0]} CASCADE")
+
+
 # Load status.
 _DATED = {
     "events": "SELECT CAST(ts AS DATE) AS cob_dt FROM {events}",
@@ -533,7 +539,7 @@ def loan_details_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TOTALS = """SELECT e.msphieu, e.mst, CAST(sum(CAST(l.duno_vnd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_vnd,
   CAST(sum(CAST(l.duno_usd AS DECIMAL(19,2))) AS DECIMAL(38,2)) AS sum_duno_usd
-FROM entities e JOIN loan_lines l ON e.msphieu = l.msphieu AND e.cob_dt = l.cob_dt WHERE dkkd <> '' GROUP BY ALL"""
+FROM entities e JOIN loan_lines l ON e.msphieu = l.msphieu AND e.cob_dt = l.cob_dt WHERE dkkd <> '' AND e.cob_dt = '%s' GROUP BY ALL""" % COB
 
 
 @register(

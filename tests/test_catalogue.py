@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.registry import ORACLE, QUERIES
+from checks.lake import drop_scratch
 from checks.verify import compare, duck
 
 
@@ -16,6 +17,7 @@ def con(small):
 def test_query(spark, small, con, name):
     assert name in ORACLE
     assert compare(QUERIES[name](spark, small), con, ORACLE[name]) == []
+    drop_scratch(spark)
 
 
 def test_entry(spark):
