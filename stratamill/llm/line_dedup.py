@@ -10,8 +10,10 @@ A line is dropped if it is equal to an earlier line, or within the distance of o
 dropped line also drops others). Earlier is by identifier, then place. Where very many lines share a segment they are
 compared with the earliest few first; only lines that this does not drop are compared with all earlier ones.
 
-Defined results: lines end at ``\\n``; lines of fewer than ``least`` characters are not compared and stay. Null text has no
-lines. A null identifier is later than all others. Repeated rows have the same places, none of which is earlier, and are treated alike.
+Defined results: lines end at ``\\n``. Equal lines are found whatever their length; only blank lines of fewer than ``least``
+characters stay, as they part paragraphs. The edit distance is for lines of ``least`` characters or more on both sides: in
+shorter ones the distance would be too large a part of the line. Null text has no lines. A null identifier is later than
+all others. Repeated rows have the same places, none of which is earlier, and are treated alike.
 """
 
 from __future__ import annotations
@@ -145,12 +147,13 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 many: int = MANY) -> DataFrame:
     """``doc_id, at, chars, dropped`` for every line: ``dropped`` is null, 'equal' or 'near'."""
     every = lines_of(docs, id_col, text_col)
-    compared = F.char_length("line") >= least
+    long = F.char_length("line") >= least
+    compared = long | F.col("line").rlike(r"[^\x20\x09-\x0D]")
     different = stored(
         every.filter(compared).groupBy("line").agg(F.min("place").alias("place")).select(
             F.xxhash64("line").alias("ref"), "place", F.md5(F.col("line").cast("binary")).alias("digest"),
-            word_parities("line").alias("words"), keys_of("line", distance).alias("keys")), "lines")
-    near = near_earlier(different, every.filter(compared), distance, many).withColumn("near", F.lit(True))
+            long.alias("long"), word_parities("line").alias("words"), keys_of("line", distance).alias("keys")), "lines")
+    near = near_earlier(different.filter("long"), every.filter(long), distance, many).withColumn("near", F.lit(True))
     firsts = different.select("ref", "digest", "place").join(near, ["ref", "place"], "left").select(
         "digest", F.col("place").alias("first"), "near")
     narrow = every.select(

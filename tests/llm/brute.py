@@ -81,6 +81,19 @@ def judge_lines(rows, most=2, least=20):
     return out
 
 
+def judge_every_line(rows, most=2, near_from=20):
+    """As ``judge_lines``, but equal lines of any length count; ``near_from`` is for the edit distance alone."""
+    seen: list[str] = []
+    out = {}
+    for doc, text in sorted(rows):
+        for at, line in enumerate(text.split("\n") if text is not None else []):
+            near = len(line) >= near_from and any(
+                len(x) >= near_from and abs(len(x) - len(line)) <= most and distance(x, line) <= most for x in seen)
+            out[doc, at] = None if not words(line) else "equal" if line in seen else "near" if near else None
+            seen.append(line)
+    return out
+
+
 def quality_counts(text: str | None):
     w = words(text)
     text = text or ""

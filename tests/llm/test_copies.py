@@ -166,6 +166,17 @@ def test_lines_taken_out(docs):
     assert line_dedup.dedup_lines(df).columns == df.columns
 
 
+def test_short_lines_repeat(docs):
+    rng = random.Random(6)
+    base = ["".join(rng.choices("abc ", k=k)) for k in (*range(1, 20), 20, 21, 24)] + ["Les.", "Read more", " ", "", "\t"]
+    pairs = [(i, "\n".join("a" * rng.randrange(2) + x for x in rng.choices(base, k=rng.randrange(6)))) for i in range(60)]
+    pairs += [(100, None), (101, "Read more\nRead more"), (102, "Les.\n\n\nLes.")]
+    got = {(r.doc_id, r["at"]): r.dropped for r in line_dedup.judge_lines(docs(pairs)).collect()}
+    assert got == brute.judge_every_line(pairs)
+    df = docs([(1, "Read more\n\nx"), (2, "y\n\nRead more")])
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == {1: "Read more\n\nx", 2: "y\n"}
+
+
 def test_line_query_covers_all(spark, small, documents):
     got = queries.QUERIES["op8_line_dedup"](spark, small)
     assert got.count() == documents.count()
