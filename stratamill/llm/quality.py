@@ -1,11 +1,12 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Every rule compares one rate of a document with a cutoff of its stratum. Labelled documents are split in two: one half
-proposes cutoffs (high quantiles of the good documents' rates) and measures their use, the other half, the holdout,
-certifies them. A cutoff is certified when the exact binomial test rejects "it loses more than the allowed share of good
-documents" at the level left by Bonferroni's correction over all tests made; the allowed share is split evenly over the
-rules, so all rules together stay within it per stratum with the stated confidence. Of the certified cutoffs of a rule the
-one that turns away most more bad than good documents is used; without one the rule rejects nothing.
+Every rule compares one rate of a document with a cutoff of its stratum. Labelled documents are split in two. One half
+proposes joint cutoffs of all rules (high quantiles of the good documents' rates, without the rules that do more harm than
+good there) and orders them by the good documents they lose, the fewest first. The other half, the holdout, certifies them in
+this order (fixed-sequence testing): one is certified when the exact binomial test rejects "the rules together lose more than
+the allowed share of good documents", and the first that is not ends the sequence, so no test needs a correction for the ones
+before; the risk is divided by the number of strata only. Of the certified joint cutoffs the one that turns away most more bad than
+good documents in the proposing half is used; a stratum without one rejects nothing.
 
 Defined results: null text has no words and fails the base rule. Rows are judged each, repeated rows too; labels that
 are null or whose document is missing are not used, of repeated labels the lowest counts. A null stratum is a stratum.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratamill.llm.registry import register, table
 from stratamill.llm.shared import stored
@@ -99,33 +101,46 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def certified_cutoffs(
     labelled: DataFrame, most_lost: float = MOST_LOST, risk: float = RISK, quantiles: tuple[float, ...] = QUANTILES,
 ) -> DataFrame:
-    """Per stratum and rule the chosen cutoff with its counts; ``labelled`` has ``features`` and ``good`` (boolean)."""
-    rates = labelled.select(
+    """Per stratum and rule the chosen cutoff with the counts of the stratum's rules together; ``labelled`` has ``features`` and ``good`` (boolean)."""
+    rules = list(RULES)
+    rated = labelled.select(
         "stratum", "good", (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 1).alias("held_out"),
-        F.inline(_rates()))
-    key = ["stratum", "rule"]
-    proposed = (
-        rates.filter("good and not held_out").groupBy(*key)
-        .agg(F.array_distinct(F.percentile_approx("rate", list(quantiles), 10_000)).alias("cutoffs"))
-        .withColumnsRenamed({"stratum": "_stratum", "rule": "_rule"})
+        F.transform(_rates(), lambda r: r["rate"]).alias("rates"))
+    each = [F.percentile_approx(F.col("rates")[i], list(quantiles), 10_000) for i in range(len(rules))]
+    proposed = rated.filter("good and not held_out").groupBy("stratum").agg(F.arrays_zip(*[
+        e.alias(f"r{i}") for i, e in enumerate(each)]).alias("joint"))
+    proposed = proposed.select(
+        F.col("stratum").alias("_stratum"), F.posexplode("joint").alias("_nth", "joint")).select(
+        "_stratum", "_nth", F.array(*[F.col("joint")[f"r{i}"] for i in range(len(rules))]).alias("cuts"))
+
+    def met(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(cuts), F.col("stratum").eqNullSafe(F.col("_stratum")))
+
+    # A rule stays in a joint cutoff if it turns away more bad than good documents of the proposing half by itself.
+    alone = met(rated.filter("not held_out"), proposed).groupBy("_stratum", "_nth", "cuts").agg(F.array(*[
+        F.sum(F.when(F.col("rates")[i] > F.col("cuts")[i], F.when(F.col("good"), -1).otherwise(1)).otherwise(0))
+        for i in range(len(rules))]).alias("gains"))
+    joint = stored(alone.select(
+        "_stratum", "_nth", F.transform("cuts", lambda c, i: F.when(F.get("gains", i) > 0, c)).alias("cuts")
+    ).filter(F.exists("cuts", lambda c: c.isNotNull())), "joint")  # a few rows per stratum
+    # A cutoff that is null rejects nothing.
+    rejected = F.exists(F.arrays_zip("rates", "cuts"), lambda x: F.coalesce(x["rates"] > x["cuts"], F.lit(False)))
+    tested = met(rated, joint).withColumn("rejected", rejected).groupBy("stratum", "_nth", "cuts").agg(
+        F.count_if(F.expr("good and held_out")).alias("n_good"),
+        F.count_if(F.expr("good and held_out and rejected")).alias("n_lost"),
+        F.count_if(F.expr("good and not held_out and rejected")).alias("cost"),
+        F.count_if(F.expr("not good and not held_out and rejected")).alias("caught"),
     )
-    tested = (
-        rates.join(proposed, F.col("stratum").eqNullSafe(F.col("_stratum")) & (F.col("rule") == F.col("_rule")))
-        .select("stratum", "rule", "good", "held_out", "rate", F.explode("cutoffs").alias("cutoff"))
-        .withColumn("rejected", F.col("rate") > F.col("cutoff"))
-        .groupBy(*key, "cutoff").agg(
-            F.count_if(F.expr("good and held_out")).alias("n_good"),
-            F.count_if(F.expr("good and held_out and rejected")).alias("n_lost"),
-            (F.count_if(F.expr("not good and not held_out and rejected"))
-             - F.count_if(F.expr("good and not held_out and rejected"))).alias("gain"),
-        )
-    )
-    tested = stored(tested, "tests")  # a few rows per stratum and rule
-    level = risk / max(1, tested.count())
-    passed = tested.withColumn("p_value", binomial_tail(F.col("n_lost"), F.col("n_good"), most_lost / len(RULES)))
-    passed = passed.filter((F.col("p_value") <= level) & (F.col("gain") > 0))
-    best = F.max(F.struct("gain", "cutoff", "n_good", "n_lost", "p_value")).alias("best")
-    return passed.groupBy(*key).agg(best).select(*key, "best.*")
+    level = risk / max(1, joint.select("_stratum").distinct().count())
+    order = Window.partitionBy("stratum").orderBy("cost", F.desc("_nth"))
+    passed = tested.withColumn("p_value", binomial_tail(F.col("n_lost"), F.col("n_good"), most_lost))
+    passed = passed.withColumn("certified", F.min(F.col("p_value") <= level).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    best = F.max(F.struct((F.col("caught") - F.col("cost")).alias("gain"), "_nth", "cuts", "n_good", "n_lost", "p_value")).alias("best")
+    chosen = passed.filter(F.col("certified") & (F.col("caught") > F.col("cost"))).groupBy("stratum").agg(best)
+    named = F.arrays_zip(F.array(*map(F.lit, rules)).alias("rule"), F.col("best.cuts").alias("cutoff"))
+    return chosen.select("stratum", "best.gain", F.inline(named), "best.n_good", "best.n_lost", "best.p_value").toDF(
+        "stratum", "gain", "rule", "cutoff", "n_good", "n_lost", "p_value").filter("cutoff is not null").select(
+        "stratum", "rule", "gain", "cutoff", "n_good", "n_lost", "p_value")
 
 
 def judge(feats: DataFrame, cutoffs: DataFrame) -> DataFrame:

@@ -65,6 +65,25 @@ def test_cutoffs_are_certified(spark):
     assert quality.certified_cutoffs(df.limit(100)).count() == 0  # too few to certify anything
 
 
+def test_small_strata_are_certified(spark):
+    rng = random.Random(8)
+    rows = []
+    for i, doc in enumerate(rng.sample(range(10**6), 2000)):
+        good = i % 2 > 0
+        noisy, loud = (not good and rng.random() < 0.6 for _ in range(2))
+        rows.append((doc, ("es", "de", None, "fr")[i // 2 % 4], 100, 500, 80 if noisy else 0, 0, 0, 4, 0, 50 if loud else 0, good))
+    df = spark.createDataFrame(rows, "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                                     "n_repeat_words long, n_lines long, n_capitals long, n_exclamations long, good boolean")
+    cutoffs = quality.certified_cutoffs(df)
+    found = cutoffs.collect()
+    assert {(r.stratum, r.rule) for r in found} == {(s, r) for s in ("es", "de", None, "fr") for r in ("symbols", "exclamations")}
+    for r in found:
+        tail = sum(math.comb(r.n_good, j) * 0.05**j * 0.95 ** (r.n_good - j) for j in range(r.n_lost + 1))
+        assert r.n_good < 170 and r.p_value == pytest.approx(tail) and tail <= 0.05 / 4
+    judged = {r.doc_id: r.kept for r in quality.judge(df.drop("good"), cutoffs).collect()}
+    assert all(judged[r[0]] == (not r[4] and not r[9]) for r in rows)
+
+
 def test_quality_query(spark, small, documents):
     assert queries.QUERIES["op2_quality_rules"](spark, small).count() == documents.count()
 
