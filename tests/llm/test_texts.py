@@ -252,6 +252,26 @@ def test_nested_secrets():
         assert secret_scan.scan(secret_scan.redact(text))[1] == [], name
 
 
+def folded(text, width, end="\n"):
+    return end.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def test_wrapped_secrets():
+    rng = random.Random(3)
+    filler = "".join(rng.choices("bcdghxyz .,\n", k=2000))
+    long = filler + "\n" + SECRET + "\n" + filler[:300]
+    for width in (20, 64, 76):
+        for name, raw in {"plain": ("some words, then " * 5 + SECRET).encode(), "gzip": gzip.compress(long.encode()),
+                          "zlib": zlib.compress(long.encode()), "bz2": bz2.compress(long.encode())}.items():
+            for end in ("\n", "\r\n", "\n    "):
+                inner = folded(base64.b64encode(raw).decode(), width, end)
+                again = folded(base64.b64encode(("x\n" + inner + "\n").encode()).decode(), 76)
+                for text in (inner, f"Hello\n{inner}\nBye", f"data: {inner} end", f"-----BEGIN X-----\n{inner}\n-----END X-----\n", again):
+                    found = secret_scan.scan(text)[1]
+                    assert any(kind == "assign" for kind, _, _ in found), (name, width, end, text[:20])
+                    assert secret_scan.scan(secret_scan.redact(text))[1] == [], (name, width, end, text[:20])
+
+
 def test_base_secrets(texts):
     rng = random.Random(8)
     parts = ["token", "=", " ", "'", "PassWord", ":", "abc", "AKIA", "0" * 9, "DEF", "f00d" * 7, "\n", "%20", "secret", "é", "K"]
