@@ -272,6 +272,31 @@ def test_wrapped_secrets():
                     assert secret_scan.scan(secret_scan.redact(text))[1] == [], (name, width, end, text[:20])
 
 
+def test_whole_layers_are_searched():
+    rng = random.Random(4)
+    lines = "\n".join("".join(rng.choices("ghxyz .,", k=60)) for _ in range(300)).encode()
+    deep = folded(base64.b64encode(b"x" * 200 + SECRET.encode() + b"y" * 200).decode(), 76).encode()
+    secret = b"\n" + SECRET.encode() + b"\n"
+    for pack in (gzip.compress, bz2.compress, zlib.compress):
+        for name, raw, cut in [
+            ("large", pack(lines + secret + lines), 0), ("deep", pack(lines + b"\n" + deep + b"\n" + lines), 0),
+            ("members", pack(lines) + pack(b"a") + pack(secret), 0), ("behind", pack(lines) + secret, 0),
+            ("damaged", pack(secret + lines)[:-9] if pack is not bz2.compress else pack(secret), 0),
+            ("twice", pack(gzip.compress(secret)), 0), ("latin", pack("é".encode("latin-1") * 90 + secret), 0),
+            ("one line", pack(b"z " * 3000 + SECRET.encode() + b" z" * 3000), 1),
+        ]:
+            text = f"a {base64.b64encode(raw).decode()} b"
+            _, found, unopened = secret_scan.scan(text, most_bytes=1000)
+            assert [s[0] for s in found] == ["assign"] and (unopened > 0) == bool(cut), (pack, name)
+            assert secret_scan.redact(text, most_bytes=1000) in ("a [assign] b", "a [unopened] b"), (pack, name)
+    plain = "a " + base64.b64encode("é à ü".encode("latin-1") * 9 + SECRET.encode()).decode()
+    assert [s[0] for s in secret_scan.scan(plain)[1]] == ["assign"]
+    odd = "a " + base64.b64encode(b"\x01\x02" * 40 + secret).decode()
+    assert [s[0] for s in secret_scan.scan(odd)[1]] == ["assign"]
+    split = base64.b64encode(gzip.compress(b"z " * 3000 + base64.b64encode(b"q" * 3000 + secret))).decode()
+    assert secret_scan.redact(f"a {split} b", most_bytes=1000) in ("a [assign] b", "a [unopened] b")
+
+
 def test_base_secrets(texts):
     rng = random.Random(8)
     parts = ["token", "=", " ", "'", "PassWord", ":", "abc", "AKIA", "0" * 9, "DEF", "f00d" * 7, "\n", "%20", "secret", "é", "K"]
