@@ -1,4 +1,5 @@
 """Imports every operator, so that its query is registered."""
 
-from stratamill.llm import bpe, chat, exact_dedup, jaccard, line_dedup, packing, quality, secret_scan, substrings, toxicity  # noqa: F401
+from stratamill.llm import bpe, chat, exact_dedup, jaccard, lexical_search, line_dedup, packing, quality, recurrent_lm  # noqa: F401
+from stratamill.llm import secret_scan, substrings, toxicity, turn_trie  # noqa: F401
 from stratamill.llm.registry import ORACLE, QUERIES  # noqa: F401
