@@ -32,7 +32,9 @@ from stratamill.llm.shared import map_batches, slices
 
 K = 10
 #: Cells of a sketch for each different term of its document, at least; bytes of text in a block.
-SPARE, BLOCK_BYTES = 8, 4 << 20
+SPARE, BLOCK_BYTES = 16, 4 << 20
+#: Documents scored exactly at a time, at first and at most.
+FIRST, MOST = 16, 256
 #: Queries whose terms are looked up in one pass over the documents.
 QUERIES_AT_ONCE = 500
 #: Separators become blanks, A to Z become lower case; all other bytes, those of non-ASCII characters included, are terms.
@@ -91,7 +93,7 @@ class Block:
         self.used = np.flatnonzero(different)
         self.width = np.where(different > 0, 1 << np.ceil(np.log2(np.maximum(1, SPARE * different))).astype(np.int64), 0)
         self.start = np.cumsum(self.width) - self.width
-        self.sketch = np.zeros(int(self.width.sum()), np.int64)
+        self.sketch = np.zeros(int(self.width.sum()), np.int32)
         hashes = np.fromiter(map(hash, code), np.int64, len(code))
         np.maximum.at(self.sketch, self.start[doc] + (hashes[self.postings % self.n_terms] & (self.width[doc] - 1)), self.impacts)
 
@@ -102,16 +104,15 @@ class Block:
             rows = np.flatnonzero(self.width[self.used] == width)
             cells = hashes & (width - 1)
             for some in np.array_split(rows, max(1, len(rows) * len(hashes) >> 20)):
-                found = self.sketch[self.start[self.used[some]][:, None] + cells]
-                found *= weights
+                found = self.sketch[self.start[self.used[some]][:, None] + cells] * weights
                 out[some] = np.add.reduceat(found, cuts, axis=1)
         return out
 
-    def exact(self, doc: int, codes: np.ndarray, weights: np.ndarray) -> int:
-        """The score of one document for the query terms that the block holds."""
-        wanted = doc * self.n_terms + codes
+    def exact(self, docs: np.ndarray, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The scores of some documents for those query terms that the block holds."""
+        wanted = docs[:, None] * self.n_terms + codes
         at = np.minimum(np.searchsorted(self.postings, wanted), len(self.postings) - 1)
-        return int((weights * self.impacts[at])[self.postings[at] == wanted].sum())
+        return np.where(self.postings[at] == wanted, weights * self.impacts[at], 0).sum(1)
 
 
 def _search(queries: list[list[bytes]], weight: dict[bytes, int], documents: int, terms: int, k: int):
@@ -137,20 +138,24 @@ def _search(queries: list[list[bytes]], weight: dict[bytes, int], documents: int
                 codes = np.array([block.code.get(t, -1) for t in lists[j]])
                 known = codes >= 0
                 codes, own = codes[known], weights[cuts[j]:cuts[j] + sizes[j]][known]
+                if not len(codes):
+                    continue
                 column = bound[:, j]
-                least = heap[0][0] if len(heap) == k else 1
-                open_ = np.flatnonzero(column >= max(1, least)) if len(codes) else ()
-                for row in open_[np.argsort(-column[open_], kind="stable")] if len(open_) else ():
-                    if len(heap) == k and column[row] < heap[0][0]:
-                        break
-                    doc = int(block.used[row])
-                    score = block.exact(doc, codes, own)
-                    if score > 0:
+                open_ = np.flatnonzero(column >= (heap[0][0] if len(heap) == k else 1))
+                open_ = open_[np.argsort(-column[open_], kind="stable")]
+                at, some = 0, FIRST
+                # In descending order of the bounds, a few and then more at a time, until they fall below the k-th best.
+                while at < len(open_) and (len(heap) < k or column[open_[at]] >= heap[0][0]):
+                    docs = block.used[open_[at:at + some]]
+                    scores = block.exact(docs, codes, own)
+                    for i in np.flatnonzero(scores >= (heap[0][0] if len(heap) == k else 1)):
+                        doc, score = int(docs[i]), int(scores[i])
                         entry = (score, rank[doc], names[doc])
                         if len(heap) < k:
                             heapq.heappush(heap, entry)
                         elif entry[:2] > heap[0][:2]:
                             heapq.heapreplace(heap, entry)
+                    at, some = at + some, min(2 * some, MOST)
         rows = [(asked[j], doc, score) for j, heap in enumerate(best) for score, _, doc in heap]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["query", "doc_id", "score"])
