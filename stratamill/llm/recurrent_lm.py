@@ -1,20 +1,20 @@
 """Gated recurrent language model: trained and applied in tasks with NumPy, by truncated backpropagation.
 
 **Text.** Texts are dictionary-encoded in blocks of about ``BLOCK_BYTES`` (whole documents; each block carries its own
-words, their training counts, and the texts as codes) and stored. The counts of all words are added up over all blocks, so
-the unigram base and the model's rare words know the whole corpus, however large.
+words, their training counts, and the texts as codes) and stored. The counts of all words are added up over all blocks in one
+shuffle, so the unigram base and the model's rare words know the whole corpus, however large.
 
 **Model.** Outputs are factored by class: the ``WORDS`` most frequent words (and the end of a text) form classes of equal mass,
 and P(word) = P(class | state) P(word | class, state). All other words, known or not, are dealt to ``RARE`` further classes by
 their ending, within which a word has its smoothed corpus count: every text has a probability, and they add up to one.
 
-**Training.** Every block's training documents run once through a gated recurrent unit, in lanes side by side; gradients
-are cut after ``STEPS`` tokens, the state is carried on. Tasks train on their own blocks from common weights, which are averaged
+**Training.** Every block's training documents run once through a gated recurrent unit (one gate, which sees input and state and
+weighs the old state against the candidate), in lanes side by side; gradients are cut after ``STEPS`` tokens, the state is carried on. Tasks train on their own blocks from common weights, which are averaged
 by tokens (in slices, in tasks) after each of ``ROUNDS`` rounds; each round takes other blocks. What the driver gets has the
 fixed size of the model.
 
 **Scoring.** Lanes again; the state is carried through each document from its first token to its end, and set back
-between documents. A block needs only its own words' counts, which are joined to it.
+between documents. A block needs only its own words' counts, with which it is grouped.
 
 Defined results: null or empty text is its end token alone. Rows without an identifier are learnt from; rows that repeat are
 learnt from and returned each. Without any training text all counts are 0 and the untrained model scores. Ties in
@@ -26,30 +26,30 @@ from __future__ import annotations
 import hashlib
 import heapq
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import map_batches, stored
+from stratamill.llm.shared import map_batches, send_code, slices, stored
 
 #: Frequent words with weights of their own, classes they form, classes of the other words, size of the state.
-WORDS, CLASSES, RARE, SIZE = 1000, 20, 32, 24
+WORDS, CLASSES, RARE, SIZE = 500, 8, 40, 16
 #: Documents trained side by side, tokens after which gradients are cut, rounds between which weights are averaged.
 LANES, STEPS, ROUNDS = 128, 24, 4
 SCORED_LANES = 256
 RATE = 0.02
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 #: Longer words are counted under their digest (behind a blank, which no word holds).
 LONGEST = 100
 SLICES = 8
 END = ""
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BLOCK = "docs array<bigint>, held array<boolean>, lengths array<bigint>, codes binary, words array<string>, counts array<bigint>"
 _PART = "slice int, tokens double, weights binary"
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -60,8 +60,8 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc.cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
 
-def _key(word: bytes) -> str:
-    return word.decode() if len(word) <= LONGEST else " " + hashlib.sha256(word).hexdigest()
+def _key(word: str) -> str:
+    return " " + hashlib.sha256(word.encode()).hexdigest()
 
 
 def ending(key: str) -> int:
@@ -78,35 +78,38 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()),
         ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
-    def fresh():
-        code: defaultdict = defaultdict()
-        code.default_factory = code.__len__
-        code[END.encode()]
-        return code, [], [], [], 0
-
-    def block():
-        lengths = np.array([len(p) for p in pieces])
-        flat = np.concatenate(pieces)
-        learnt = np.bincount(flat[np.repeat(~np.array(held), lengths)], minlength=len(code))
-        row = [docs, held, lengths.tolist(), pa.compress(flat.tobytes(), "zstd", asbytes=True), [_key(w) for w in code], learnt.tolist()]
+    def block(docs: list, held: list, texts: list):
+        """Lower case, words and their codes, all in Arrow; an end behind the words of each text."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        words = pc.list_flatten(lists)
+        full = pc.not_equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        if not full.all():  # white space at a text's ends gives empty words
+            of = np.repeat(np.arange(len(counts)), counts)[full]
+            counts, words = np.bincount(of, minlength=len(counts)), words.filter(pa.array(full))
+        coded = words.dictionary_encode()
+        lengths = counts + 1
+        flat = np.zeros(int(lengths.sum()), np.uint32)
+        real = np.ones(len(flat), bool)
+        real[np.cumsum(lengths) - 1] = False
+        flat[real] = coded.indices.to_numpy().astype(np.uint32) + 1
+        learnt = np.bincount(flat[np.repeat(~np.array(held), lengths)], minlength=len(coded.dictionary) + 1)
+        names = [END] + [w if len(w) <= LONGEST else _key(w) for w in coded.dictionary.to_pylist()]
+        row = [docs, held, lengths.tolist(), pa.compress(flat.tobytes(), "zstd", asbytes=True), names, learnt.tolist()]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
-    code, docs, held, pieces, size = fresh()
-    for batch in batches:
-        for i in range(batch.num_rows):
-            text = (batch.column(2)[i].as_py() or "").encode().translate(_LOWER)
-            words = text.split()
-            piece = np.zeros(len(words) + 1, np.uint32)
-            piece[:-1] = np.fromiter(map(code.__getitem__, words), np.uint32, len(words))
-            docs.append(batch.column(0)[i].as_py())
-            held.append(batch.column(1)[i].as_py())
-            pieces.append(piece)
-            size += len(text) + 16
-            if size >= BLOCK_BYTES:
-                yield block()
-                code, docs, held, pieces, size = fresh()
-    if docs:
-        yield block()
+    columns: list[list] = [[], [], []]
+    size = 0
+    for part in slices(batches, "text", BLOCK_BYTES):
+        texts = ["" if t is None else t for t in part.column("text").to_pylist()]
+        for column, more in zip(columns, (part.column("doc_id").to_pylist(), part.column("held").to_pylist(), texts)):
+            column.extend(more)
+        size += sum(map(len, texts)) + 16 * len(texts)
+        if size >= BLOCK_BYTES // 2:
+            yield block(*columns)
+            columns, size = [[], [], []], 0
+    if columns[0]:
+        yield block(*columns)
 
 
 @dataclass
@@ -134,14 +137,15 @@ class Vocabulary:
 
 
 class Model:
-    """The weights: ``inputs`` (a word's share of the three gates), ``state``, and the two output layers with their biases."""
+    """The weights: ``inputs`` (a word's share of the gate's and the candidate's sums), ``state`` (the state's share of both), and
+    the two output layers with their biases."""
 
     NAMES = ("inputs", "state", "classes", "class_bias", "outputs", "bias")
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None):
         self.vocabulary = vocabulary
         n, c = len(vocabulary.words), vocabulary.frequent + RARE
-        self.shapes = [(n + RARE, 3 * SIZE), (SIZE, 3 * SIZE), (c, SIZE), (c,), (n, SIZE), (n,)]
+        self.shapes = [(n + RARE, 2 * SIZE), (SIZE, 2 * SIZE), (c, SIZE), (c,), (n, SIZE), (n,)]
         if flat is None:
             draw = np.random.default_rng(1).normal
             parts = [draw(0, 0.1, s) if len(s) > 1 else np.zeros(s) for s in self.shapes]
@@ -149,6 +153,8 @@ class Model:
             weight = np.concatenate([np.array(vocabulary.counts), np.array(vocabulary.rare)]) + 1.0
             parts[3][:] = np.log(np.bincount(vocabulary.class_of, weight, c))
             parts[5][:] = np.log(weight[:n])
+            parts[3] -= parts[3].max()
+            parts[5] -= parts[5].max(initial=0)
             flat = np.concatenate([p.ravel() for p in parts])
         self.flat = flat.astype(np.float32)
         self._share()
@@ -162,85 +168,89 @@ class Model:
     def _share(self):
         self.w = self._views(self.flat)
 
-    def run(self, before: np.ndarray, keep: np.ndarray, h: np.ndarray):
+    def run(self, before: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States after each step of a window. ``before`` (steps x lanes) has the preceding tokens, ``keep`` is 0 where a
-        document begins."""
-        x, u, trace = self.w["inputs"][before], self.w["state"], []
-        out = np.empty((*before.shape, SIZE), np.float32)
+        document begins. Sums of the gate are stored negated and those of the candidate doubled, so that one exponential gives
+        the sigmoid 1 / (1 + e^s) and the hyperbolic tangent 1 - 2 / (1 + e^s)."""
+        x, u = self.w["inputs"][before], self.w["state"]
+        out = np.empty((*before.shape, SIZE), x.dtype)
         for t in range(len(before)):
             h = h * keep[t][:, None]
-            hu = h @ u
-            gates = 0.5 + 0.5 * np.tanh(0.5 * (x[t, :, :2 * SIZE] + hu[:, :2 * SIZE]))
-            r, z = gates[:, :SIZE], gates[:, SIZE:]
-            n = np.tanh(x[t, :, 2 * SIZE:] + r * hu[:, 2 * SIZE:])
-            trace.append((h, hu, r, z, n))
-            h = n + z * (h - n)
+            s = h @ u
+            s += x[t]
+            np.exp(np.minimum(s, 80, out=s), out=s)
+            s += 1
+            np.reciprocal(s, out=s)
+            n = s[:, SIZE:]
+            n *= -2
+            n += 1
+            if trace is not None:
+                trace.append((h, s))
+            h = h - n
+            h *= s[:, :SIZE]
+            h += n
             out[t] = h
-        return out, h, trace
+        return out, h
 
     def log_chance(self, states: np.ndarray, target: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray | None]:
         """Log-probability of each target after its state; with ``learn`` also adds up gradients and gives the states'."""
-        w, g, first = self.w, self.g, self.vocabulary.first
-        kind = self.vocabulary.class_of[target]
-        logits = states @ w["classes"].T + w["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        chance = np.exp(logits)
-        total = chance.sum(1, keepdims=True)
-        at = np.arange(len(target))
-        found = logits[at, kind] - np.log(total[:, 0])
-        back = None
-        if learn:
-            chance /= total
-            chance[at, kind] -= 1
-            g["classes"] += chance.T @ states
-            g["class_bias"] += chance.sum(0)
-            back = chance @ w["classes"]
+        w, g, vocabulary = self.w, self.g, self.vocabulary
+        kind = vocabulary.class_of[target]
         order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(self.vocabulary.frequent + 1))
-        for c in range(self.vocabulary.frequent):
-            low, high = first[c], first[c + 1]
+        cuts = np.searchsorted(kind[order], np.arange(vocabulary.frequent + 1))
+        found, back = self._layer(states, kind, "classes", "class_bias", slice(None), learn)
+        for c in range(vocabulary.frequent):
+            low, high = vocabulary.first[c], vocabulary.first[c + 1]
             rows = order[cuts[c]:cuts[c + 1]]
-            if high - low < 2 or not len(rows):
-                continue
-            some = states[rows]
-            logits = some @ w["outputs"][low:high].T + w["bias"][low:high]
-            logits -= logits.max(1, keepdims=True)
-            chance = np.exp(logits)
-            total = chance.sum(1, keepdims=True)
-            at, own = np.arange(len(rows)), target[rows] - low
-            found[rows] += logits[at, own] - np.log(total[:, 0])
-            if learn:
-                chance /= total
-                chance[at, own] -= 1
-                g["outputs"][low:high] += chance.T @ some
-                g["bias"][low:high] += chance.sum(0)
-                back[rows] += chance @ w["outputs"][low:high]
+            if high - low > 1 and len(rows):
+                within, more = self._layer(states[rows], target[rows] - low, "outputs", "bias", slice(low, high), learn)
+                found[rows] += within
+                if learn:
+                    back[rows] += more
         return found, back
 
-    def back(self, before: np.ndarray, keep: np.ndarray, trace: list, d_out: np.ndarray):
+    def _layer(self, states: np.ndarray, own: np.ndarray, matrix: str, bias: str, part: slice, learn: bool):
+        """Log-probabilities of the outputs ``own`` in one softmax; with ``learn`` its gradients, added up, and the states'."""
+        w, at = self.w[matrix][part], np.arange(len(own))
+        logits = states @ w.T
+        logits += self.w[bias][part]
+        if logits.max(initial=0) > 60:
+            logits -= logits.max(1, keepdims=True)
+        found = logits[at, own]
+        np.exp(logits, out=logits)
+        total = logits @ np.ones(logits.shape[1], logits.dtype)
+        found -= np.log(total)
+        if not learn:
+            return found, None
+        chance = np.divide(logits, total[:, None], out=logits)
+        chance[at, own] -= 1
+        self.g[matrix][part] += chance.T @ states
+        self.g[bias][part] += np.ones(len(at), chance.dtype) @ chance
+        return found, chance @ w
+
+    def back(self, before: np.ndarray, keep: np.ndarray, trace: list, d_out: np.ndarray) -> None:
         """Gradients through a window's steps, last to first; they end at its beginning."""
-        u = self.w["state"]
-        dx = np.empty((*before.shape, 3 * SIZE), np.float32)
-        du = np.zeros_like(u)
+        u = self.w["state"].T.copy()
+        h, s = (np.stack(part) for part in zip(*trace))
+        z, n = s[..., :SIZE], s[..., SIZE:]
+        # How each step's new state moves with the two sums.
+        slope = np.empty_like(s)
+        slope[..., :SIZE] = (n - h) * z * (1 - z)
+        slope[..., SIZE:] = (1 - z) * (1 - n * n) * 0.5
+        dx = np.empty_like(s)
         dh = np.zeros_like(d_out[0])
-        dhu = np.empty((before.shape[1], 3 * SIZE), np.float32)
         for t in range(len(before) - 1, -1, -1):
-            h, hu, r, z, n = trace[t]
             dh += d_out[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dr = dn * hu[:, 2 * SIZE:] * r * (1 - r)
-            dz = dh * (h - n) * z * (1 - z)
-            dx[t, :, :SIZE] = dhu[:, :SIZE] = dr
-            dx[t, :, SIZE:2 * SIZE] = dhu[:, SIZE:2 * SIZE] = dz
-            dx[t, :, 2 * SIZE:] = dn
-            dhu[:, 2 * SIZE:] = dn * r
-            du += h.T @ dhu
-            dh = (dh * z + dhu @ u.T) * keep[t][:, None]
-        self.g["state"] += du
+            np.multiply(dh, slope[t, :, :SIZE], out=dx[t, :, :SIZE])
+            np.multiply(dh, slope[t, :, SIZE:], out=dx[t, :, SIZE:])
+            dh *= z[t]
+            dh += dx[t] @ u
+            dh *= keep[t][:, None]
+        self.g["state"] += h.reshape(-1, SIZE).T @ dx.reshape(-1, 2 * SIZE)
         ids = before.ravel()
         order = np.argsort(ids, kind="stable")
         places = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        self.g["inputs"][ids[order][places]] += np.add.reduceat(dx.reshape(-1, 3 * SIZE)[order], places)
+        self.g["inputs"][ids[order][places]] += np.add.reduceat(dx.reshape(-1, 2 * SIZE)[order], places)
 
 
 class Lanes:
@@ -288,11 +298,15 @@ class Trainer:
         model = self.model
         h = np.zeros((LANES, SIZE), np.float32)
         for _, before, target, keep, real in Lanes(flat, lengths, chosen, LANES).windows(STEPS):
-            states, h, trace = model.run(before, keep, h[:before.shape[1]])
+            trace: list = []
+            states, h = model.run(before, keep, h[:before.shape[1]], trace)
             model.grad[:] = 0
-            d_out = np.zeros_like(states)
-            d_out[real] = model.log_chance(states[real], target[real], True)[1]
-            model.back(before, keep, trace, d_out)
+            if real.all():
+                back = model.log_chance(states.reshape(-1, SIZE), target.ravel(), True)[1].reshape(states.shape)
+            else:
+                back = np.zeros_like(states)
+                back[real] = model.log_chance(states[real], target[real], True)[1]
+            model.back(before, keep, trace, back)
             n = int(real.sum())
             self.tokens += n
             # Where few lanes still run, a window has little to say and moves the weights little.
@@ -315,7 +329,7 @@ def score_tokens(model: Model, flat: np.ndarray, lengths: np.ndarray) -> np.ndar
     out = np.zeros(len(flat))
     h = np.zeros((SCORED_LANES, SIZE), np.float32)
     for places, before, target, keep, real in Lanes(flat, lengths, np.arange(len(lengths)), SCORED_LANES).windows(STEPS):
-        states, h, _ = model.run(before, keep, h[:before.shape[1]])
+        states, h = model.run(before, keep, h[:before.shape[1]])
         out[places[real]] = model.log_chance(states[real], target[real], False)[0]
     return out
 
@@ -371,12 +385,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chosen = chosen.select("doc_id", held_out(F.col("doc_id")).alias("held"), "text")
     blocks = stored(map_batches(chosen, _encode, _BLOCK).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    # Every word of every block with its count in the whole corpus: one shuffle. A word has a row for each block at most, however
+    # often it occurs.
     each = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     each = each.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    totals = stored(each.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    order = Window.partitionBy("word").orderBy("block")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = stored(each.select(
+        "block", "at", "word", F.sum("n").over(whole).alias("c"), (F.row_number().over(order) == 1).alias("first")), "counts")
+    totals = counted.filter("first and c > 0")
     n, v = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = totals.orderBy(F.desc("c"), "word").limit(words).collect()
-    ends = totals.filter(F.col("word") == END).first()
+    top = totals.select("word", "c").orderBy(F.desc("c"), "word").limit(words).collect()
+    ends = totals.filter(F.col("word") == END).select("c").first()
     known = {END: ends["c"] if ends else 0} | {r["word"]: r["c"] for r in top}
     ordered = [END] + sorted((w for w in known if w != END), key=lambda w: (-known[w], w))
     mass = {r["e"]: r["m"] for r in totals.groupBy(_ending("word").alias("e")).agg(F.sum(F.col("c") + 1).alias("m")).collect()}
@@ -386,37 +406,34 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     vocabulary = Vocabulary(ordered, [known[w] for w in ordered], [int(mass.get(e, 0)) for e in range(RARE)])
     weights = train(blocks, vocabulary, rounds)
 
-    # Counts of the words outside the model, for every block that holds them. The model's words (a fixed number) do not move.
-    listed = docs.sparkSession.createDataFrame([(w,) for w in ordered], "word string")
-    rare = each.select("block", "at", "word").join(F.broadcast(listed), "word", "left_anti").join(totals, "word")
-    rare = rare.groupBy("block").agg(F.collect_list(F.struct("at", "c")).alias("r"))
-    rare = rare.select("block", F.col("r.at").alias("at"), F.col("r.c").alias("c"))
-    ready = blocks.select("block", "docs", "held", "lengths", "codes", "words").join(rare, "block", "left")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(vocabulary, weights)
-        own = np.array(vocabulary.counts, np.int64)
+    # The model's words, a fixed number, meet the blocks' words in every task; the others are known by their endings.
+    listed = docs.sparkSession.createDataFrame(list(enumerate(ordered)), "id int, word string")
+    numbers = counted.join(F.broadcast(listed), "word", "left").select(
+        "block", "at", F.coalesce("id", F.lit(len(ordered)) + _ending("word")).alias("id"), "c")
+
+    def score(numbers: pa.Table, block: pa.Table) -> pa.Table:
+        ids, count = (np.zeros(numbers.num_rows, np.int64) for _ in range(2))
+        at = numbers.column("at").to_numpy()
+        ids[at], count[at] = numbers.column("id").to_numpy(), numbers.column("c").to_numpy()
+        lengths = block.column("lengths").combine_chunks().values.to_numpy().astype(np.int64)
+        flat = _flat({"lengths": lengths, "codes": block.column("codes")[0].as_py()})
+        other = ids >= len(ordered)
         beyond = np.log(np.array(vocabulary.rare, np.float64) + 1)
-        for row in _rows(batches):
-            lengths, flat = np.array(row["lengths"], np.int64), _flat(row)
-            ids = vocabulary.encode(row["words"])
-            other = ids >= len(own)
-            count = np.where(other, 0, own[np.minimum(ids, len(own) - 1)])
-            if row["at"]:
-                count[np.array(row["at"])] = row["c"]
-            within = np.zeros(len(ids))
-            within[other] = np.log(count[other] + 1.0) - beyond[ids[other] - len(own)]
-            starts = np.cumsum(lengths) - lengths
-            chance = score_tokens(model, ids[flat], lengths) + within[flat]
-            base = np.log10((count + 1.0) / (n + v + 1.0))
-            columns = [row["docs"], row["held"], lengths, np.add.reduceat((count > 0).astype(np.int64)[flat], starts),
-                       np.add.reduceat(base[flat], starts), np.add.reduceat(chance, starts) / np.log(10)]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    scored = map_batches(ready.select("docs", "held", "lengths", "codes", "words", "at", "c"), score, _SCORED)
+        within = np.zeros(len(ids))
+        within[other] = np.log(count[other] + 1.0) - beyond[ids[other] - len(ordered)]
+        base = np.log10((count + 1.0) / (n + v + 1.0))
+        starts = np.cumsum(lengths) - lengths
+        chance = score_tokens(Model(vocabulary, weights), ids[flat], lengths)
+        chance += within[flat]
+        return pa.table({
+            "doc_id": block.column("docs").combine_chunks().values, "held_out": block.column("held").combine_chunks().values,
+            "n_tokens": pa.array(lengths), "n_known": pa.array(np.add.reduceat((count > 0)[flat].astype(np.int64), starts)),
+            "base_score": pa.array(np.add.reduceat(base[flat], starts)), "score": pa.array(np.add.reduceat(chance, starts) / np.log(10))})
+
+    send_code(docs.sparkSession)
+    texts = blocks.select("block", "docs", "held", "lengths", "codes")
+    # Block by block: a task never holds more than one with its words' counts.
+    scored = numbers.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(score, _SCORED)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

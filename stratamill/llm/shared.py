@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.session import scratch_dir
@@ -25,9 +25,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with a function of this library, which Spark sends to the executors once per application."""
-    context = df.sparkSession.sparkContext
+def send_code(spark: SparkSession) -> None:
+    """This library for the executors' Python, once per application."""
+    context = spark.sparkContext
     root = Path(__file__).parents[1]
     if root.is_dir() and getattr(context, "_stratamill_sent", None) is None:
         archive = Path(tempfile.mkdtemp(), f"{root.name}.zip")
@@ -36,6 +36,11 @@ def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
                 out.write(path, path.relative_to(root.parent))
         context.addPyFile(str(archive))
         context._stratamill_sent = True
+
+
+def map_batches(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with a function of this library."""
+    send_code(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
