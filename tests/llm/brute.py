@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -65,24 +67,8 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def judge_lines(rows, most=2, least=20):
-    """(doc_id, line number) -> None, 'equal' or 'near'."""
-    seen: list[str] = []
-    out = {}
-    for doc, text in sorted(rows):
-        for at, line in enumerate(text.split("\n") if text is not None else []):
-            out[doc, at] = None
-            if len(line) >= least:
-                if line in seen:
-                    out[doc, at] = "equal"
-                elif any(abs(len(x) - len(line)) <= most and distance(x, line) <= most for x in seen):
-                    out[doc, at] = "near"
-                seen.append(line)
-    return out
-
-
 def judge_every_line(rows, most=2, near_from=20):
-    """As ``judge_lines``, but equal lines of any length count; ``near_from`` is for the edit distance alone."""
+    """(doc_id, line number) -> None, 'equal' or 'near'; ``near_from`` is for the edit distance alone."""
     seen: list[str] = []
     out = {}
     for doc, text in sorted(rows):
@@ -127,3 +113,58 @@ def best_fit(histogram, capacity):
             opened += at >= len(free) and room == capacity
             bisect.insort(free, room - length)
     return opened
+
+
+def unigram_scores(rows):
+    """doc_id -> (tokens, known tokens, training tokens, score) of texts under smoothed counts of the training texts."""
+    texts = [(doc, [x.translate(UPPER) for x in words(text)] + [None]) for doc, text in rows]
+    counts = Counter(t for doc, tokens in texts if zlib.crc32(str(doc).encode()) % 7 != 2 for t in tokens)
+    total = sum(counts.values())
+    chance = {t: math.log10((counts[t] + 1) / (total + len(counts) + 1)) for _, tokens in texts for t in tokens}
+    return {doc: (len(tokens), sum(counts[t] > 0 for t in tokens), total, sum(chance[t] for t in tokens)) for doc, tokens in texts}
+
+
+def ranked(rows, items, k=10):
+    """(item, rank) -> (document, score)."""
+    terms = lambda text: re.findall(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").encode().translate(UPPER))
+    docs = [(doc, Counter(terms(text))) for doc, text in rows]
+    n = sum(bool(c) for _, c in docs)
+    total = sum(sum(c.values()) for _, c in docs)
+    held = Counter(t for _, c in docs for t in c)
+    out = {}
+    for item, text in items:
+        scores = []
+        for at, (doc, c) in enumerate(docs):
+            score = 0
+            for t in set(terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n + 2) / (2 * held[t] + 1)))
+                score += w * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * (10 + (90 * sum(c.values()) * n) // total)))
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, at))
+        for rank, (score, no_id, doc, _) in enumerate(sorted(scores)[:k], 1):
+            out[item, rank] = None if no_id else doc, -score
+    return out
+
+
+def trie(rows):
+    """Every node's columns as a tuple, as a list."""
+    own: dict = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {conv: [t[2:] for t in sorted(turns)] for conv, turns in own.items()}
+    members: dict = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 9
+        said = tuple(own.get(conv - int(math.fmod(conv, 5)), [])[:h] + turns[h:])
+        for d in range(len(said) + 1):
+            members.setdefault(said[:d], []).append((conv, len(said) == d))
+    children = Counter(key[:-1] for key in members if key)
+    saved = {key: (len(m) - 1) * len(key[-1][1].encode()) if key else 0 for key, m in members.items()}
+    out = []
+    for key, m in members.items():
+        below = [x for x in members if x[:len(key)] == key]
+        ends = ",".join(str(c) for c, last in sorted(m) if last)
+        out.append((min(m)[0], len(key), min(members[key[:-1]])[0] if key else None, len(m), children[key],
+                    sum(not children[x] for x in below), sum(saved[x] for x in below), hashlib.sha256(ends.encode()).hexdigest()))
+    return out

@@ -306,9 +306,11 @@ def test_base_secrets(texts):
 
 
 def test_secret_limits(docs):
-    bomb = base64.b64encode(zlib.compress(b"a" * 5000)).decode()
-    base, found, unopened = secret_scan.scan(f"x {bomb} y", most_bytes=1000)
-    assert (found, unopened) == ([], 1)
+    for filler, finds in ((b"a", [("hex", 2, 42)]), (b"-", [])):
+        bomb = base64.b64encode(zlib.compress(filler * 5000)).decode()
+        base, found, unopened = secret_scan.scan(f"x {bomb} y", most_bytes=1000)
+        # What was expanded before the limit is searched: a run of "a" is hexadecimal.
+        assert (base, [(k, a, min(b, 42)) for k, a, b in found], unopened) == ([], finds, 1)
     df = docs([(1, None), (2, ""), (3, f"a {SECRET} b"), (3, f"a {SECRET} b"), (None, "c")])
     rows = secret_scan.redact_documents(df).collect()
     assert [(r.doc_id, r.text, r.n_chars) for r in rows] == [
