@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.feeds import feed, with_feeds
 from checks.registry import register
-from stratamill.operators import changes, quality
+from stratamill.operators import changes, quality, ranges
 from stratamill.operators.align import empty_text_to_null
 
 OLD_DAY, NEW_DAY = "2001-06-30", "2001-08-01"
@@ -174,6 +174,33 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dates_as_text(changes.versions_as_of(_dimension(spark, sf_dir), "2001-10-10"))
 
 
+@register("versions_from_range", _DIMENSIONS + "SELECT * FROM dim2")
+def versions_from_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second and third picture as one range of slices, upon the dimension that the first one filled."""
+    pictures = [feed(spark, sf_dir, text) for text in PICTURES.values()]
+    names = ["sr_key", "eff_strt_dt", "eff_end_dt", "is_cur", *pictures[0].columns]
+    dimension = changes.with_validity(pictures[0], VERSION_DAYS[0], "l_partkey").select(*names)
+    slices = [p.withColumn("cob_dt", F.lit(day).cast("date")) for day, p in zip(VERSION_DAYS[1:], pictures[1:])]
+    return _dates_as_text(ranges.versions_from_range(
+        dimension, slices[0].unionByName(slices[1]), ["l_partkey"], VERSION_DAYS[1], VERSION_DAYS[2]))
+
+
+_SHIPPED = "SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS shipped FROM {lineitem}"
+
+
+@register(
+    "balances_with_versions",
+    _DIMENSIONS.rstrip().removesuffix(",") + f", shipped AS ({_SHIPPED.format(lineitem='lineitem')}) "
+    + """SELECT l_orderkey, l_linenumber, s.l_partkey, shipped, sr_key, open_qty, largest_return
+FROM shipped s JOIN dim2 d ON s.l_partkey = d.l_partkey AND CAST(eff_strt_dt AS DATE) <= shipped
+  AND shipped < CAST(CASE WHEN is_cur = 1 THEN '2999-12-31' ELSE eff_end_dt END AS DATE)""",
+)
+def balances_with_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with the version of its part that was valid when it was shipped."""
+    found = ranges.rows_with_versions(feed(spark, sf_dir, _SHIPPED), _dimension(spark, sf_dir), ["l_partkey"], "shipped")
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "shipped", "sr_key", "open_qty", "largest_return")
+
+
 _SETTLED = """
 SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(19,2)) AS amount, o_orderstatus AS state
 FROM {orders} WHERE o_orderstatus <> 'P'

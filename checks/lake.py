@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from checks import changing, curated, standard
 from checks.feeds import COB, COMPANY, REPORT, feed, iso, table, with_feeds
 from checks.registry import ORACLE, register
 from stratamill.jobs import cards, daily, debt, deposits, landing, loans, trade
-from stratamill.operators import status
+from stratamill.operators import quality, status
 from stratamill.operators.align import union_labelled
-from stratamill.plans.loads import Step, load_master, load_snapshot, load_versions, run_steps
-from stratamill.plans.spec import Field, TableSpec
+from stratamill.plans.loads import Step, load_master, load_snapshot, load_upsert, load_version_range, load_versions, run_steps
+from stratamill.plans.spec import BUCKET, Field, TableSpec
 from stratamill.session import scratch_dir
 from stratamill.sources import files, jdbc, tables
 
@@ -326,6 +327,59 @@ def master_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(history.name)
 
 
+@register("master_load_buckets", standard._account_master_sql(standard.DEPOSITS) + standard.master_sql(standard.DEPOSITS))
+def master_load_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two loads of ``master_load`` into a master laid out by a hash of its key, the second one repeated."""
+    name = _name("depst_act_mstr")
+    spec = dataclasses.replace(deposits.account_master(standard.BANK, name), hash_buckets=16)
+    history = deposits.account_history(standard.BANK, f"{name}_hist")
+    _create(spark, spec)
+    _create(spark, history)
+    text = standard.account_feed(spark, sf_dir, spec, (standard.OLD_DAY, standard.NEW_DAY))
+    for day in (standard.OLD_DAY, standard.NEW_DAY, standard.NEW_DAY):
+        load_master(deposits.accounts(text, day, spec), spec, day, history.name)
+    return spark.table(name).drop(BUCKET)
+
+
+_ORDER_COLUMNS = (("o_orderkey", "bigint"), ("o_orderpriority", "string"), ("amount", "decimal(19,2)"), ("state", "string"))
+_UPSERTED = """SELECT o_orderkey, nullif(o_orderpriority, '') AS o_orderpriority, amount, state FROM incoming
+UNION ALL SELECT * FROM settled s WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.o_orderkey = s.o_orderkey)"""
+
+
+def _orders_spec(purpose: str, **layout) -> TableSpec:
+    return TableSpec(_name(purpose), tuple(Field(n, n, k) for n, k in _ORDER_COLUMNS), ("o_orderkey",), **layout)
+
+
+@register("upsert_load_buckets", with_feeds(settled=changing._SETTLED, incoming=changing._INCOMING) + _UPSERTED)
+def upsert_load_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _orders_spec("upserted", hash_buckets=16)
+    _create(spark, spec)
+    for rows in (changing._SETTLED, changing._INCOMING, changing._INCOMING):
+        load_upsert(feed(spark, sf_dir, rows), spec)
+    return spark.table(spec.name).drop(BUCKET)
+
+
+@register(
+    "audited_load",
+    with_feeds(settled=changing._SETTLED)
+    + "SELECT *, 'I' AS change_type, 2 AS refused, (SELECT count(*) FROM settled) AS inserted FROM settled",
+)
+def audited_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that passes its audit, then one with repeated keys and one with NULLs, which are refused and change nothing."""
+    spec = _orders_spec("audited", required=("o_orderpriority",), extra=(Field("-", "change_type", "string"),))
+    _create(spark, spec)
+    good = feed(spark, sf_dir, changing._SETTLED)
+    counts = load_master(good, spec, COB)
+    refused = 0
+    other = good.withColumn("state", F.lit("X"))
+    for bad in (other.unionByName(good), other.withColumn("o_orderpriority", F.lit(None).cast("string"))):
+        try:
+            load_master(bad, spec, COB)
+        except quality.QualityError:
+            refused += 1
+    return spark.table(spec.name).withColumns({"refused": F.lit(refused), "inserted": F.lit(counts["inserted"]).cast("long")})
+
+
 @register("versions_load", changing._DIMENSIONS + "SELECT * FROM dim2")
 def versions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three monthly loads of a stored versioned dimension, the last one twice."""
@@ -367,6 +421,86 @@ def versions_torn_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changing._dates_as_text(spark.table(spec.name))
 
 
+def _versions_spec(purpose: str, **layout) -> TableSpec:
+    lead = (("sr_key", "bigint"), ("eff_strt_dt", "date"), ("eff_end_dt", "date"), ("is_cur", "int"))
+    columns = (("l_partkey", "bigint"), ("last_ship", "date"), ("open_qty", "decimal(19,2)"), ("largest_return", "int"))
+    return TableSpec(
+        _name(purpose), tuple(Field(n, n, k) for n, k in columns), ("l_partkey",),
+        lead=tuple(Field("-", n, k) for n, k in lead), partition_by=("eff_end_dt",), **layout)
+
+
+@register("versions_load_buckets", changing._DIMENSIONS + "SELECT * FROM dim2")
+def versions_load_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads by end date and hash of the key; the last day is first loaded with another month's picture."""
+    spec = _versions_spec("versions", hash_buckets=8)
+    _create(spark, spec)
+    days, pictures = changing.VERSION_DAYS, list(changing.PICTURES.values())
+    for day, picture in [*zip(days[:2], pictures), (days[2], pictures[0]), (days[2], pictures[2]), (days[2], pictures[2])]:
+        load_versions(feed(spark, sf_dir, picture), spec, day, "sr_key")
+    return changing._dates_as_text(spark.table(spec.name).drop(BUCKET))
+
+
+@register("versions_range_load", changing._DIMENSIONS + "SELECT * FROM dim2")
+def versions_range_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORC date folders of a range, read and loaded as versions in one pass, twice."""
+    spec = _versions_spec("ranged")
+    _create(spark, spec)
+    days, pictures = changing.VERSION_DAYS, list(changing.PICTURES.values())
+    root = scratch_dir(spark, "orc")
+    for day, picture in zip(days, pictures):
+        feed(spark, sf_dir, picture).withColumn("cob_dt", F.lit(day)).write.partitionBy("cob_dt").mode("append").orc(root)
+    for _ in range(2):
+        load_version_range(files.read_orc_dates(spark, root), spec, days[0], days[-1], "sr_key")
+    return changing._dates_as_text(spark.table(spec.name))
+
+
+# Even slices and compaction.
+_SKEWED = """SELECT l_orderkey, l_linenumber, l_extendedprice, CASE WHEN l_orderkey % 50 = 1 THEN NULL WHEN l_orderkey % 3 = 0 THEN 7
+  ELSE CAST(sqrt(l_partkey) * l_quantity AS INT) END AS k FROM {lineitem}"""
+
+
+@register(
+    "slice_predicates",
+    with_feeds(skewed=_SKEWED)
+    + """SELECT count(*) AS n_rows, count(*) AS in_one_slice, count(k) AS keyed, true AS even, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM skewed""",
+)
+def slice_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A skewed, partly NULL column cut at its quantiles into 16 slices: each row lies in one, and none of keyed rows has more than
+    1.5 times a sixteenth of them. A third of the rows share a value."""
+    query = "SELECT * FROM skewed_lines"
+    lines = feed(spark, sf_dir, _SKEWED)
+    lines.createOrReplaceTempView("skewed_lines")
+    cuts = spark.sql(jdbc.quantile_query(query, "k", 16)).first()
+    predicates = jdbc.slice_predicates("k", list(cuts), spread="l_orderkey")
+    hits = [F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates]
+    total = F.count(F.lit(1)).cast("bigint")
+    largest = F.greatest(*[F.sum(h) for h in hits[1:]])
+    result = lines.agg(
+        total.alias("n_rows"), F.count_if(functools.reduce(lambda a, b: a + b, hits) == 1).alias("in_one_slice"), F.count("k").alias("keyed"),
+        (largest <= 1.5 * F.count("k") / 16).alias("even"),
+        F.sum("l_orderkey").alias("keys"))
+    return result
+
+
+@register(
+    "compacted_log",
+    with_feeds(monthly=_MONTHLY) + "SELECT m.*, 1 AS rewritten, 1 AS files FROM monthly m WHERE cob_dt IN ('1999-05-31', '1999-06-30')",
+)
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months, one written at once and one in many small appends; only the second is rewritten, into one file."""
+    spec = _monthly_spec("compacted")
+    _create(spark, spec)
+    monthly = feed(spark, sf_dir, _MONTHLY)
+    tables.append(monthly.where("cob_dt = '1999-05-31'").coalesce(1), spec.name, balance=False)
+    small = monthly.where("cob_dt = '1999-06-30'")
+    for part in range(12):
+        tables.append(small.where(f"o_orderkey % 12 = {part}").coalesce(1), spec.name, balance=False)
+    rewritten = tables.compact(spark, spec.name)
+    held = tables.small_files(spark, spec.name).select("cob_dt", F.col("files").cast("int").alias("files"))
+    return spark.table(spec.name).join(held, "cob_dt").select(
+        "o_orderkey", "o_orderpriority", "amount", "cob_dt", F.lit(rewritten).alias("rewritten"), "files")
+
+
 # Labelled feeds.
 _EXPORTS = """SELECT '2001' AS nam, '7' AS thang, CAST(c_custkey AS STRING) AS ma_so_thue, c_name AS ten_dn,
   c_mktsegment AS dia_chi, CAST(c_nationkey AS STRING) AS tinh, '0' AS dien_thoai, 'VN' AS ma_nuoc,
@@ -464,13 +598,14 @@ def sql_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The workforce report as one resumable run over stored tables.
 @register("workforce_run", ORACLE["employee_profile"])
 def workforce_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All eight workforce tables in order; returns the daily profile."""
+    """The picks and all eight workforce tables in order; returns the daily profile."""
     schema = _name("x").partition(".")[0]
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
     names = [f.name for f in dataclasses.fields(daily.WorkforceSources)]
     for name in names:
         feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
     sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})
+    daily.ensure_pick_tables(spark, sources, schema, 4)
     steps = daily.workforce_steps(sources, schema, REPORT, COMPANY, curated._FIRST_YEAR)
     for step in steps:
         # an empty target of the step's own shape
@@ -513,14 +648,16 @@ def workforce_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = f"{schema}.load_log"
     tables.ensure_table(spark, TableSpec(log, tuple(Field(c, c, "string") for c in status.STATUS_COLUMNS), ()))
     sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})
+    daily.ensure_pick_tables(spark, sources, schema, 4)
     for report, resume in ((_EARLIER, False), (REPORT, False), (REPORT, True)):
         steps = daily.workforce_steps(sources, schema, report, COMPANY, curated._FIRST_YEAR)
-        steps = [s for s in steps if s.table.partition(".")[2] in _LOGGED]
-        for step in steps:
+        steps = [s for s in steps if s.table.partition(".")[2] in {*_LOGGED, *daily.PICK_TABLES}]
+        for step in steps[len(daily.PICK_TABLES):]:
             shape = tuple(Field(f.name, f.name, f.dataType.simpleString()) for f in step.frame(spark, COB).schema)
             tables.ensure_table(spark, TableSpec(step.table, shape, (), partition_by=("report_date",)))
         run_steps(spark, steps, COB, log, resume)
-    return spark.table(log).select(F.substring_index("TBL_NAME", ".", -1).alias("TBL_NAME"), "COB_DT", "PROCESS_ROW")
+    logged = spark.table(log).select(F.substring_index("TBL_NAME", ".", -1).alias("TBL_NAME"), "COB_DT", "PROCESS_ROW")
+    return logged.where(F.col("TBL_NAME").isin(*_LOGGED))
 
 
 @register("loan_details_load", ORACLE["loan_details"])

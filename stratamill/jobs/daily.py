@@ -10,11 +10,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamill.jobs import cards, debt, deposits, loans, people, reference
+from stratamill.jobs.landing_columns import DEPARTMENTS
 from stratamill.plans.loads import Step, load_master, load_snapshot, load_versions
-from stratamill.plans.spec import TableSpec
-from stratamill.sources import tables
+from stratamill.plans.spec import Field, TableSpec
+from stratamill.sources import files, tables
 
 Typed = Callable[[DataFrame, str, TableSpec], DataFrame]
 
@@ -70,6 +72,11 @@ def reference_table(spark: SparkSession, feed_table: str, spec: TableSpec, as_of
     return master(spark, feed_table, reference.rows, spec, as_of)
 
 
+def export_departments(spark: SparkSession, table: str, path: str, as_of: str) -> None:
+    """One day of the department dimension as Parquet below ``path``, for a store that loads files."""
+    files.export_day(spark.table(table), path, as_of, DEPARTMENTS.split(), file_format="parquet")
+
+
 @dataclass(frozen=True)
 class WorkforceSources:
     """Names of the tables the workforce report reads."""
@@ -91,6 +98,19 @@ WORKFORCE_TABLES = (
 )
 
 
+#: Job rows picked once for a report; five of the tables are made of them.
+PICK_TABLES = ("picked_persons", "picked_records")
+
+
+def ensure_pick_tables(spark: SparkSession, sources: WorkforceSources, schema: str, buckets: int) -> None:
+    """Create the tables of picked rows: by report, in buckets of the person, so that reports join them where they lie."""
+    columns = [f for f in spark.table(sources.jobs).schema.fields if f.name != "report_date"]
+    chosen = (*(Field(f.name, f.name, f.dataType.simpleString()) for f in columns), Field("-", "report_date", "string"))
+    for name in PICK_TABLES:
+        tables.ensure_table(
+            spark, TableSpec(f"{schema}.{name}", chosen, ("emplid",), partition_by=("report_date",), buckets=buckets))
+
+
 def workforce_steps(
     sources: WorkforceSources,
     schema: str,
@@ -100,23 +120,33 @@ def workforce_steps(
 ) -> list[Step]:
     """The workforce report as steps for ``run_steps``, to be run for the date of the slices.
 
-    Later steps read the tables that earlier ones wrote, so a run that resumes finds them in place.
+    The first two pick the job rows in force (``ensure_pick_tables`` creates their tables), so that the jobs are read
+    once for each kind of pick. Later steps read the tables that earlier ones wrote; a run that resumes finds them in place.
     """
     names = [f"{schema}.{table}" for table in WORKFORCE_TABLES]
     pay_emp, pay_cwr, head_emp, head_cwr, ended, prior, ratings, profile = names
+    persons, records = (f"{schema}.{table}" for table in PICK_TABLES)
 
     def step(target: str, build: Callable[..., DataFrame]) -> Step:
         return Step(
             target, lambda spark, cob_dt: build(lambda name: tables.read_table(spark, name), cob_dt),
             date_column="report_date", date=report_dt)
 
+    def picked(t: Callable[[str], DataFrame], name: str) -> DataFrame:
+        return t(name).where(F.col("report_date") == report_dt)
+
+    def dated(df: DataFrame) -> DataFrame:
+        return df.withColumn("report_date", F.lit(report_dt))
+
     src = sources
     return [
-        step(pay_emp, lambda t, d: people.employee_pay(t(src.jobs), t(src.pay), d, report_dt, company)),
-        step(pay_cwr, lambda t, d: people.contractor_pay(t(src.jobs), t(src.pay), d, report_dt, company)),
-        step(head_emp, lambda t, d: people.employee_headcount(t(src.jobs), d, report_dt, company)),
-        step(head_cwr, lambda t, d: people.contractor_headcount(t(src.jobs), t(src.quits), d, report_dt, company)),
-        step(ended, lambda t, d: people.contractors_terminated(t(src.jobs), t(head_cwr), d, report_dt, company)),
+        step(persons, lambda t, d: dated(people.person_picks(t(src.jobs), d, report_dt))),
+        step(records, lambda t, d: dated(people.record_picks(t(src.jobs), d, report_dt))),
+        step(pay_emp, lambda t, d: people.employee_pay_of(picked(t, persons), t(src.pay), d, report_dt, company)),
+        step(pay_cwr, lambda t, d: people.contractor_pay_of(picked(t, records), t(src.pay), d, report_dt, company)),
+        step(head_emp, lambda t, d: people.employee_headcount_of(picked(t, records), report_dt, company)),
+        step(head_cwr, lambda t, d: people.contractor_headcount_of(picked(t, records), t(src.quits), report_dt, company)),
+        step(ended, lambda t, d: people.contractors_terminated_of(picked(t, records), t(head_cwr), report_dt, company)),
         step(prior, lambda t, d: people.prior_experience(t(src.past_jobs), d, report_dt)),
         step(ratings, lambda t, d: people.yearly_ratings(t(src.reviews), d, report_dt, first_rated_year)),
         step(

@@ -1,20 +1,22 @@
 """Landing loads: a database query or an ORC folder into a table that already exists.
 
-The target table's schema names the columns, so a feed is declared by its source and target. Where the source lacks some of
-them the feed lists the columns it has, and the others are NULL in the target.
+A feed is declared by its source, its target and the columns the source has; the target's schema says how they are stored.
+Columns that only the target has are NULL there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.functions.calendar import as_day, moment_from_text
+from stratamill.jobs import landing_columns as lists_of
 from stratamill.operators.align import align
+from stratamill.plans.spec import Field, TableSpec
 from stratamill.sources import files, jdbc, tables
 
 DATE_COLUMN = "cob_dt"
@@ -39,41 +41,35 @@ class LandingFeed:
     mode: str = "overwrite"
 
 
-# Tables and columns of the database feeds.
+# Expressions and the packed moment of the database feeds. Their columns are in ``landing_columns``.
 RISK_EXPRESSIONS = {"kundnr": "TRIM(kundnr)"}
-PAYMENT_TABLES = (
-    "tbltransactionmsg_org_fcout", "tbltransactionmsg_org_fcin", "tbltransactionmsg_org_in",
-    "tbltransactionmsg_org_out",
-)
 PAYMENT_MOMENT = "CREATE_TIME"
-CARD_INTEREST_TABLES = (
-    "nii_card_rpt", "nii_card_rpt_all_dly", "nii_card_rpt_dly", "nii_card_intrst_incas_dly", "nii_card_rpt_summy",
-)
-FINANCE_TABLES = ("bod_overall_report_db",)
 
 
-def _feeds(names: Sequence[str], source: str, target: str, **settings: object) -> list[LandingFeed]:
-    return [LandingFeed(f"{source}.{name}", f"{target}.{name}", **settings) for name in names]
+def _feeds(lists: Mapping[str, str], source: str, target: str, **settings: object) -> list[LandingFeed]:
+    return [
+        LandingFeed(f"{source}.{name}", f"{target}.{name}", columns=tuple(columns.split()), **settings) for name, columns in lists.items()]
 
 
 def payment_feeds(source: str, target: str) -> list[LandingFeed]:
     """Payment messages, four tables; ``source`` and ``target`` are schemas."""
-    return _feeds(PAYMENT_TABLES, source, target, packed_column=PAYMENT_MOMENT)
+    lists = {name: lists_of.PAYMENT_COMMON + rest for name, rest in lists_of.PAYMENT_REST.items()}
+    return _feeds(lists, source, target, packed_column=PAYMENT_MOMENT)
 
 
 def card_interest_feeds(source: str, target: str) -> list[LandingFeed]:
     """Net interest of cards, five tables."""
-    return _feeds(CARD_INTEREST_TABLES, source, target)
+    return _feeds(lists_of.CARD_INTEREST, source, target)
 
 
 def finance_feeds(source: str, target: str) -> list[LandingFeed]:
     """Management overview figures."""
-    return _feeds(FINANCE_TABLES, source, target)
+    return _feeds(lists_of.FINANCE, source, target)
 
 
 def risk_feed(source_table: str, target_table: str) -> LandingFeed:
     """Customer risk levels; the identifier comes padded with blanks."""
-    return LandingFeed(source_table, target_table, expressions=RISK_EXPRESSIONS)
+    return LandingFeed(source_table, target_table, expressions=RISK_EXPRESSIONS, columns=tuple(lists_of.RISK.split()))
 
 
 def feed_query(feed: LandingFeed, columns: list[str], as_of: str) -> str:
@@ -102,6 +98,12 @@ def feed_query(feed: LandingFeed, columns: list[str], as_of: str) -> str:
     return f"SELECT {', '.join(chosen)} FROM {feed.source} WHERE {condition}"
 
 
+def landing_spec(feed: LandingFeed) -> TableSpec:
+    """A target for a feed with a column list: all text, as landed, partitioned by the business date."""
+    columns = [name for name in feed.columns or () if name != DATE_COLUMN]
+    return TableSpec(feed.target, tuple(Field(n, n, "string") for n in (*columns, DATE_COLUMN)), (), partition_by=(DATE_COLUMN,))
+
+
 def land(spark: SparkSession, conn: Mapping[str, str], feed: LandingFeed, as_of: str) -> None:
     """Read one business date of a feed and replace that date in the target."""
     tables.require_table(spark, feed.target)

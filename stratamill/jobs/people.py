@@ -55,20 +55,26 @@ def _pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, prefixes: Sequence[str])
     return jobs.alias("a").join(paid.alias("c"), ["emplid", "empl_rcd", "effdt", "effseq"])
 
 
-def employee_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
-    """Pay and band of employees: primary jobs at the last effective date of the person.
+def person_picks(jobs: DataFrame, cob_dt: str, report_dt: str) -> DataFrame:
+    """Primary job rows at the last effective date of the person.
 
     Sequence and record number are taken at that date as separate maxima.
     """
     primary = F.col("job_indicator") == PRIMARY_JOB
-    chosen = latest_rows(
-        _slice(jobs, cob_dt),
-        ["emplid"],
-        report_dt,
-        sequences=["effseq", "empl_rcd"],
-        among=primary,
-        keep=primary & (F.col("company") == company) & (F.col("per_org") == EMPLOYEE),
-    )
+    return latest_rows(
+        _slice(jobs, cob_dt), ["emplid"], report_dt, sequences=["effseq", "empl_rcd"], among=primary, keep=primary)
+
+
+def record_picks(jobs: DataFrame, cob_dt: str, report_dt: str) -> DataFrame:
+    """Primary job rows among those at the last effective date and sequence of the person's record."""
+    return latest_rows(
+        _slice(jobs, cob_dt), ["emplid", "empl_rcd"], report_dt, sequences=["effseq"], keep=F.col("job_indicator") == PRIMARY_JOB)
+
+
+# The reports: each takes picked rows, which may be computed or stored ones.
+def employee_pay_of(picked: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
+    """Pay and band of employees, from ``person_picks``."""
+    chosen = picked.where((F.col("company") == company) & (F.col("per_org") == EMPLOYEE))
     return _pay(chosen.select("emplid", "empl_rcd", "effdt", "effseq"), pay, cob_dt, EMPLOYEE_RATES).select(
         "emplid", "empl_rcd", "effdt", "effseq", "comp_effseq", "comp_ratecd", "convert_comprt", "currency_cd",
         pay_band(F.col("convert_comprt")).alias("salary_band"),
@@ -76,18 +82,10 @@ def employee_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, c
     )
 
 
-def contractor_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
-    """Pay and band of active contractors, per person and record number."""
-    chosen = latest_rows(
-        _slice(jobs, cob_dt),
-        ["emplid", "empl_rcd"],
-        report_dt,
-        sequences=["effseq"],
-        keep=(F.col("job_indicator") == PRIMARY_JOB)
-        & (F.col("company") == company)
-        & (F.col("per_org") == CONTRACTOR)
-        & (F.col("hr_status") == ACTIVE),
-    )
+def contractor_pay_of(picked: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
+    """Pay and band of active contractors, per person and record number, from ``record_picks``."""
+    chosen = picked.where(
+        (F.col("company") == company) & (F.col("per_org") == CONTRACTOR) & (F.col("hr_status") == ACTIVE))
     chosen = chosen.select("emplid", "empl_rcd", "effdt", "effseq", "currency_cd", "action")
     return _pay(chosen, pay, cob_dt, CONTRACTOR_RATES).select(
         "emplid", "empl_rcd", "effdt", "effseq", "comp_effseq", "comp_ratecd", "convert_comprt",
@@ -97,17 +95,8 @@ def contractor_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str,
     )
 
 
-def _headcount(jobs: DataFrame, cob_dt: str, report_dt: str, company: str, keep: Column) -> DataFrame:
-    chosen = latest_rows(
-        _slice(jobs, cob_dt),
-        ["emplid", "empl_rcd"],
-        report_dt,
-        sequences=["effseq"],
-        keep=(F.col("job_indicator") == PRIMARY_JOB)
-        & (F.col("company") == company)
-        & F.col("setid_jobcode").isin(*UNIT_SETS)
-        & keep,
-    )
+def _headcount(picked: DataFrame, report_dt: str, company: str, keep: Column) -> DataFrame:
+    chosen = picked.where((F.col("company") == company) & F.col("setid_jobcode").isin(*UNIT_SETS) & keep)
     return chosen.select(
         *HEADCOUNT_COLUMNS,
         started_this_month(F.col("hire_dt"), F.col("last_hire_dt"), report_dt).alias("new_hires"),
@@ -115,15 +104,13 @@ def _headcount(jobs: DataFrame, cob_dt: str, report_dt: str, company: str, keep:
     )
 
 
-def employee_headcount(jobs: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
-    return _headcount(jobs, cob_dt, report_dt, company, F.col("per_org") == EMPLOYEE)
+def employee_headcount_of(picked: DataFrame, report_dt: str, company: str) -> DataFrame:
+    return _headcount(picked, report_dt, company, F.col("per_org") == EMPLOYEE)
 
 
-def contractor_headcount(
-    jobs: DataFrame, quits: DataFrame, cob_dt: str, report_dt: str, company: str
-) -> DataFrame:
+def contractor_headcount_of(picked: DataFrame, quits: DataFrame, report_dt: str, company: str) -> DataFrame:
     """Active contractors, and those whose last action of the day was to quit."""
-    people = _headcount(jobs, cob_dt, report_dt, company, F.col("per_org") == CONTRACTOR)
+    people = _headcount(picked, report_dt, company, F.col("per_org") == CONTRACTOR)
     gone = quits.where(F.col("report_date") == report_dt).select("emplid", F.lit(True).alias("quit"))
     return (
         people.join(gone, "emplid", "left")
@@ -132,13 +119,10 @@ def contractor_headcount(
     )
 
 
-def contractors_terminated(
-    jobs: DataFrame, listed: DataFrame, cob_dt: str, report_dt: str, company: str
-) -> DataFrame:
+def contractors_terminated_of(picked: DataFrame, listed: DataFrame, report_dt: str, company: str) -> DataFrame:
     """Contractors whose termination falls in the month or later and who are not in the contractor headcount."""
     ended = _headcount(
-        jobs,
-        cob_dt,
+        picked,
         report_dt,
         company,
         (F.col("per_org") == CONTRACTOR)
@@ -149,6 +133,31 @@ def contractors_terminated(
     return ended.join(present, "emplid", "left_anti").select(*ended.columns)
 
 
+# The same from the job rows themselves.
+def employee_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
+    return employee_pay_of(person_picks(jobs, cob_dt, report_dt), pay, cob_dt, report_dt, company)
+
+
+def contractor_pay(jobs: DataFrame, pay: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
+    return contractor_pay_of(record_picks(jobs, cob_dt, report_dt), pay, cob_dt, report_dt, company)
+
+
+def employee_headcount(jobs: DataFrame, cob_dt: str, report_dt: str, company: str) -> DataFrame:
+    return employee_headcount_of(record_picks(jobs, cob_dt, report_dt), report_dt, company)
+
+
+def contractor_headcount(
+    jobs: DataFrame, quits: DataFrame, cob_dt: str, report_dt: str, company: str
+) -> DataFrame:
+    return contractor_headcount_of(record_picks(jobs, cob_dt, report_dt), quits, report_dt, company)
+
+
+def contractors_terminated(
+    jobs: DataFrame, listed: DataFrame, cob_dt: str, report_dt: str, company: str
+) -> DataFrame:
+    return contractors_terminated_of(record_picks(jobs, cob_dt, report_dt), listed, report_dt, company)
+
+
 def prior_experience(past_jobs: DataFrame, cob_dt: str, report_dt: str) -> DataFrame:
     """Number of earlier employers per person."""
     counted = _slice(past_jobs, cob_dt).groupBy("emplid").agg(F.count(F.lit(1)).alias("nb_prior_work"))

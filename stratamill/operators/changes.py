@@ -60,10 +60,10 @@ def _present(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(_PRESENT, F.lit(True)).alias(name)
 
 
-def _spread(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """With a second join column that is 0 where the key is there. Rows without a key match nothing; the hash of the whole
-    row deals them over all tasks."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def _spread(df: DataFrame, keys: Sequence[str], compared: Sequence[str], name: str) -> DataFrame:
+    """With a second join column that is 0 where the key is there. Rows without a key match nothing; the hash of what is read of
+    them in any case deals them over all tasks."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in (*keys, *compared)])
     return _present(df.withColumn(_SPREAD, F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(row)), name)
 
 
@@ -91,7 +91,7 @@ def _paired(
     if keys_not_null or bucketed:
         old, fresh = (_present(df, name) for name, df in keyed.items())
     else:
-        old, fresh = (_spread(df, keys, name) for name, df in sides.items())
+        old, fresh = (_spread(df, keys, columns, name) for name, df in sides.items())
         same = same & F.expr(f"old.{_SPREAD} = new.{_SPREAD}")
 
     def struct(df: DataFrame, name: str) -> Column:

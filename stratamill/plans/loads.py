@@ -1,4 +1,4 @@
-"""Loads: gate the input, compute the new state, write it once, log it."""
+"""Loads: stage and audit the input, compute the change, write it once, log it."""
 
 from __future__ import annotations
 
@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.functions.calendar import as_day
-from stratamill.operators import changes, quality, status
+from stratamill.operators import changes, ranges, status
 from stratamill.operators.align import empty_text_to_null
-from stratamill.plans.spec import TableSpec
-from stratamill.session import scratch_dir
+from stratamill.plans import audit, fingerprint
+from stratamill.plans.spec import BUCKET, TableSpec
+from stratamill.session import observed, scratch_space
 from stratamill.sources import tables
 
 Query = str | Callable[[SparkSession, str], DataFrame]
@@ -48,11 +49,14 @@ def run_steps(
     as_of: str,
     log: str | None = None,
     resume: bool = False,
+    fingerprints: str | None = None,
 ) -> list[str]:
     """Run a staged build in order and return the tables it wrote.
 
     Later steps read what earlier ones wrote. With ``log`` every finished step gets a success row in that
-    status table; with ``resume`` steps that already have one for the date are skipped. An error stops the run.
+    status table; with ``resume`` steps that already have one for the date are skipped. With ``fingerprints`` (a table of
+    ``fingerprint.log_spec``) a step is skipped only if its query and the files it reads are those of the last time, so a
+    changed step runs again, and with it the steps that read what it wrote. An error stops the run.
     """
     done: set[str] = set()
     if resume:
@@ -61,11 +65,15 @@ def run_steps(
         done = status.finished_tables(spark.table(log), [s.table for s in steps], as_of)
     written = []
     for step in steps:
-        if step.table in done:
+        if step.table in done and fingerprints is None:
+            continue
+        frame = step.frame(spark, as_of)
+        print_ = fingerprint.fingerprint(frame) if fingerprints else None
+        if step.table in done and print_ == fingerprint.last_recorded(spark, fingerprints, step.table, as_of):
             continue
         if step.before:
             spark.sql(step.before)
-        frame = step.frame(spark, as_of)
+            frame = step.frame(spark, as_of)
         if step.files:
             frame = tables.repartition_for_write(frame, step.files)
         if step.mode == "overwrite":
@@ -78,6 +86,8 @@ def run_steps(
             if column is not None:
                 target = target.where(F.col(column).try_cast("date") == as_day(step.date or as_of))
             tables.append(status.load_status(target, step.table, None, as_of), log)
+        if fingerprints is not None:
+            fingerprint.record(spark, fingerprints, step.table, as_of, print_)
         written.append(step.table)
     return written
 
@@ -92,24 +102,9 @@ def load_snapshot(df: DataFrame, table: str, as_of: str | dt.date | None = None,
     tables.overwrite_partitions(df, table)
 
 
-def gate(new: DataFrame, spec: TableSpec) -> bool:
-    """Stop before anything is written when required columns are NULL or keys repeat.
-
-    Returns whether all keys are there. Rows without a key match nothing: they are added by every load, so they
-    are not held to be repeated.
-    """
-    found = quality.load_summary(new, spec.keys, spec.required).first()
-    failed = {c: found["nulls"][c] for c in spec.required if found["nulls"][c]}
-    if failed:
-        raise quality.QualityError(f"NULL found in required columns: {failed}")
-    if found["repeated_keys"]:
-        quality.require_unique(new.dropna(subset=list(spec.keys)), spec.keys)
-    return not found["keyless_rows"]
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    """A change set written to the shared scratch folder, so that what is merged is computed once."""
-    path = scratch_dir(df.sparkSession, "changes")
+def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """A change set written to the run's scratch folder, so that what is merged is computed once."""
+    path = f"{folder}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -119,6 +114,16 @@ def keyless(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.where(" OR ".join(f"`{k}` IS NULL" for k in spec.keys))
 
 
+def buckets_of(df: DataFrame) -> list[int]:
+    """The buckets that ``df`` has rows in: at most as many numbers as the table has buckets."""
+    return sorted(r[BUCKET] for r in df.select(BUCKET).distinct().collect())
+
+
+def in_buckets(df: DataFrame, buckets: Sequence[int]) -> DataFrame:
+    """Only those buckets; on a stored table the others are not read."""
+    return df.where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False))
+
+
 def only_day(df: DataFrame, column: str, as_of: str | dt.date) -> DataFrame:
     """The frame itself; a row of another day stops the job, as it would replace that day's partition."""
     same = F.col(column).eqNullSafe(as_day(as_of))
@@ -131,85 +136,186 @@ def load_master(
 ) -> dict[str, int]:
     """Type 1 load of a master and, if asked for, its change history. Returns the counts of the rows written.
 
-    With row-level tables only changed rows are merged, from a change set that is written and counted first. A plain
-    table whose partition date is part of the key is compared and rewritten in the partition of the day alone; any other
-    plain table has to be unpartitioned and gets a complete new version, of which the last ``keep`` old ones stay.
+    The input is staged and audited, compared with the master once, and the change set is stored: it feeds the day's slice of
+    the history first and then the master, so that a load that dies in between is mended by running it again. Row-level
+    tables merge it. A table with ``hash_buckets`` has only those buckets read again and replaced that a change falls
+    into, a plain table whose partition date is part of the key only the partition of the day. Any other plain table has to
+    be unpartitioned and gets a complete new version, of which the last ``keep`` old ones stay; without changes none
+    is written.
     """
     spark = new.sparkSession
-    complete = gate(new, spec)
     current = spark.table(spec.name)
+    row_level = tables.supports_row_level(spark, spec.name)
+    by_day = not spec.hash_buckets and len(spec.partition_by) == 1 and spec.partition_by[0] in spec.keys
+    if not (row_level or spec.hash_buckets or by_day):
+        tables.require_unpartitioned(spark, spec.name)
+    if by_day and not row_level:
+        current = changes.change_history(current, as_of, spec.partition_by[0])
+        new = only_day(new, spec.partition_by[0], as_of)
     counts = Observation(f"{spec.name} {as_of}")
-    rules = dict(keys=spec.keys, compare=spec.compared, ignore=spec.ignore, counts=counts)
-    if tables.supports_row_level(spark, spec.name):
-        written = _stored(changes.scd1_changes(current, new, **rules))
-        tables.merge_rows(written, spec.name, spec.keys)
-    elif len(spec.partition_by) == 1 and spec.partition_by[0] in spec.keys:
-        day = spec.partition_by[0]
-        slice_ = changes.change_history(current, as_of, day)
-        result = changes.scd1(slice_, only_day(new, day, as_of), keys_not_null=complete, **rules)
-        tables.overwrite_partitions(result, spec.name)
-    else:
-        complete = complete and keyless(current, spec).isEmpty()
-        master = changes.scd1(current, new, keys_not_null=complete, bucketed=bool(spec.buckets), **rules)
-        tables.swap_table(master, spec.name)
-        tables.remove_old_versions(spark, spec.name, keep)
-    if history:
-        tables.overwrite_partitions(changes.change_history(spark.table(spec.name), as_of), history)
-    return {name: int(n) for name, n in counts.get.items()}
+    with scratch_space(spark, "load") as folder:
+        staged = audit.stage(new, spec, folder)
+        known = current
+        if spec.hash_buckets and not row_level:
+            known = in_buckets(current, buckets_of(staged.rows))
+        changed = _stored(
+            changes.scd1_changes(known, staged.rows, spec.keys, spec.compared, spec.ignore, counts=counts), folder, "changes")
+        if history:
+            day = changes.change_history(spark.table(history), as_of)
+            written = changes.upsert(day, changes.change_history(changed, as_of), spec.keys)
+            tables.overwrite_partitions(written, history)
+        found = observed(counts)
+        written = {name: int(found.get(name, 0)) for name in ("inserted", "updated")}
+        if not any(written.values()):
+            return written
+        if row_level:
+            tables.merge_rows(changed, spec.name, spec.keys)
+        elif spec.hash_buckets:
+            touched = in_buckets(current, buckets_of(changed))
+            tables.overwrite_partitions(changes.upsert(touched, changed, spec.keys), spec.name)
+        elif by_day:
+            tables.overwrite_partitions(changes.upsert(current, changed, spec.keys), spec.name)
+        else:
+            if spec.buckets:
+                # The join of both pictures leaves the stored side in its buckets, and a bucket to one task.
+                complete = staged.keys_not_null and keyless(current, spec).isEmpty()
+                master = changes.scd1(
+                    current, staged.rows, spec.keys, spec.compared, spec.ignore, keys_not_null=complete, bucketed=True)
+            else:
+                master = changes.upsert(current, changed, spec.keys)
+            tables.swap_table(master, spec.name)
+            tables.remove_old_versions(spark, spec.name, keep)
+    return written
+
+
+def _open_and_closed(dimension: DataFrame, keys: Sequence[str], as_of: str | dt.date, start: str, end: str) -> DataFrame:
+    """The open versions and those that end on ``as_of``. A rerun that died between its two commits leaves reopened versions
+    closed as well: the open copy counts."""
+    closed = dimension.where(F.col(end) == as_day(as_of))
+    open_ = dimension.where(F.col(end) == F.lit(changes.OPEN_END))
+    if closed.isEmpty():
+        return open_
+    version = [*keys, start]
+    twice = open_.select(*version).join(closed.select(*version), version, "left_semi")
+    return open_.unionByName(closed.join(twice, version, "left_anti").select(*dimension.columns))
 
 
 def load_versions(
     new: DataFrame, spec: TableSpec, as_of: str | dt.date, version_key: str, start: str = "eff_strt_dt",
     end: str = "eff_end_dt", identifier: str | None = None,
 ) -> None:
-    """Type 2 load of a versioned dimension.
+    """Type 2 load of a versioned dimension from a staged and audited input.
 
     On row-level tables the versions that the day opened before are deleted and the changed ones merged, from a written
     change set. A plain dimension partitioned by the end date is read and rewritten in two partitions only, that of the
-    open versions and that of the versions the day closes; versions closed earlier are never touched again. Either way a
-    load that dies half way is mended by running it again. Any other plain dimension has to be unpartitioned.
+    open versions and that of the versions the day closes; versions closed earlier are never touched again. With
+    ``hash_buckets`` as well, only those buckets of these two are rewritten in which a version opens, closes, or was opened
+    or closed by an earlier run for the day. Either way a load that dies half way is mended by running it again. Any
+    other plain dimension has to be unpartitioned.
     """
     spark = new.sparkSession
-    complete = gate(new, spec)
     dimension = spark.table(spec.name)
     by_end = tuple(spec.partition_by) == (end,)
+    if spec.hash_buckets and not by_end:
+        raise ValueError(f"{spec.name} has hash buckets: partition it by {end} too")
+    row_level = tables.supports_row_level(spark, spec.name)
+    if not (row_level or by_end):
+        tables.require_unpartitioned(spark, spec.name)
     rules = dict(
         keys=spec.keys, as_of=as_of, compare=spec.compared, ignore=spec.ignore, version_key=version_key, start=start, end=end,
         identifier=identifier, bucketed=bool(spec.buckets))
-    if tables.supports_row_level(spark, spec.name):
+    with scratch_space(spark, "load") as folder:
+        staged = audit.stage(new, spec, folder)
+        rows, complete = staged.rows, staged.keys_not_null
+        if row_level:
+            complete = complete and keyless(dimension, spec).isEmpty()
+            moved = _stored(changes.scd2(dimension, rows, keys_not_null=complete, touched_only=True, **rules), folder, "versions")
+            tables.drop_partition(spark, spec.name, start, as_of)
+            tables.merge_rows(moved, spec.name, [*spec.keys, start])
+            return
+        stored = dimension.where(F.col(end).isin(changes.OPEN_END, as_day(as_of)))
+        if by_end:
+            dimension = _open_and_closed(dimension, spec.keys, as_of, start, end)
+        if spec.hash_buckets:
+            moved = changes.scd2(dimension, rows, touched_only=True, **rules).select(BUCKET)
+            again = stored.where((F.col(start) == as_day(as_of)) | (F.col(end) == as_day(as_of))).select(BUCKET)
+            touched = buckets_of(moved.unionByName(again))
+            if not touched:
+                return
+            dimension, rows = in_buckets(dimension, touched), in_buckets(rows, touched)
+            # As stored, with what a load that died has left behind.
+            before = {(r[end], r[BUCKET]) for r in in_buckets(stored, touched).select(end, BUCKET).distinct().collect()}
         complete = complete and keyless(dimension, spec).isEmpty()
-        moved = _stored(changes.scd2(dimension, new, keys_not_null=complete, touched_only=True, **rules))
-        tables.drop_partition(spark, spec.name, start, as_of)
-        tables.merge_rows(moved, spec.name, [*spec.keys, start])
-        return
-    if by_end:
-        closed_now = F.col(end) == as_day(as_of)
-        closed = dimension.where(closed_now)
-        if not closed.isEmpty():
-            # A rerun that died between its two commits leaves reopened versions closed as well: the open copy counts.
-            version = [*spec.keys, start]
-            reopened = dimension.where(F.col(end) == F.lit(changes.OPEN_END)).select(*version)
-            twice = reopened.join(closed.select(*version), version, "left_semi")
-            closed = closed.join(twice, version, "left_anti").select(*dimension.columns)
-        dimension = dimension.where(F.col(end) == F.lit(changes.OPEN_END)).unionByName(closed)
-    complete = complete and keyless(dimension, spec).isEmpty()
-    result = changes.scd2(dimension, new, keys_not_null=complete, **rules)
+        result = changes.scd2(dimension, rows, keys_not_null=complete, **rules)
+        if not by_end:
+            tables.replace_all(result, spec.name)
+            return
+        seen = Observation(f"{spec.name} {as_of}")
+        result = result.observe(
+            seen, F.count_if(F.col(end) == as_day(as_of)).alias("closed"),
+            *([F.collect_set(F.struct(end, BUCKET)).alias("parts")] if spec.hash_buckets else []))
+        tables.overwrite_partitions(result, spec.name)
+        if spec.hash_buckets:
+            left = before - {(r[end], r[BUCKET]) for r in observed(seen).get("parts", [])}
+            tables.drop_partitions(spark, spec.name, [{end: e, BUCKET: b} for e, b in sorted(left)])
+        elif not observed(seen).get("closed"):
+            tables.drop_partition(spark, spec.name, end, as_of)
+
+
+def load_version_range(
+    slices: DataFrame, spec: TableSpec, first: str | dt.date, last: str | dt.date, version_key: str, date_column: str = "cob_dt",
+    start: str = "eff_strt_dt", end: str = "eff_end_dt", identifier: str | None = None,
+) -> None:
+    """Type 2 load of all daily slices from ``first`` to ``last`` (both included) in one pass, with the result of loading them
+    day by day.
+
+    The slices are staged and audited as one input, unique by key and date. Of a plain dimension partitioned by the end
+    date the open versions and those that end within the range or later are read and rewritten; it can be repeated.
+    """
+    spark = slices.sparkSession
+    by_end = tuple(spec.stored_by) == (end,)
     if not by_end:
-        tables.replace_all(result, spec.name)
-        return
-    seen = Observation(f"{spec.name} {as_of}")
-    result = result.observe(seen, F.count_if(F.col(end) == as_day(as_of)).alias("closed"))
-    tables.overwrite_partitions(result, spec.name)
-    if not seen.get["closed"]:
-        tables.drop_partition(spark, spec.name, end, as_of)
+        if spec.hash_buckets:
+            raise ValueError(f"{spec.name} has hash buckets: load its days one by one")
+        tables.require_unpartitioned(spark, spec.name)
+    chosen = slices.where(F.col(date_column).cast("date").between(as_day(first), as_day(last)))
+    with scratch_space(spark, "load") as folder:
+        staged = audit.stage(chosen, spec, folder, also=[date_column])
+        dimension = spark.table(spec.name)
+        if by_end:
+            dimension = dimension.where(F.col(end) >= as_day(first))
+            before = {r[end] for r in dimension.select(end).distinct().collect()}
+            closed, open_ = dimension.where(F.col(end) != F.lit(changes.OPEN_END)), dimension.where(F.col(end) == F.lit(changes.OPEN_END))
+            version = [*spec.keys, start]
+            # As after a day's load that died between its two commits: the open copy of a version counts.
+            twice = open_.select(*version).join(closed.select(*version), version, "left_semi")
+            dimension = open_.unionByName(closed.join(twice, version, "left_anti").select(*dimension.columns))
+        result = ranges.versions_from_range(
+            dimension, staged.rows, spec.keys, first, last, date_column, spec.compared, spec.ignore, version_key, start, end,
+            identifier=identifier)
+        if not by_end:
+            tables.replace_all(result, spec.name)
+            return
+        seen = Observation(f"{spec.name} {first} {last}")
+        tables.overwrite_partitions(result.observe(seen, F.collect_set(end).alias("ends")), spec.name)
+        tables.drop_partitions(spark, spec.name, [{end: e} for e in sorted(before - {*observed(seen).get("ends", [])})])
 
 
 def load_upsert(new: DataFrame, spec: TableSpec) -> None:
-    """Upsert without comparison; empty text counts as NULL in every text column."""
+    """Upsert without comparison; empty text counts as NULL in every text column.
+
+    With ``hash_buckets`` only the buckets of the incoming keys are read and replaced.
+    """
     spark = new.sparkSession
-    incoming = empty_text_to_null(new)
-    gate(incoming, spec)
-    if tables.supports_row_level(spark, spec.name):
-        tables.merge_rows(incoming, spec.name, spec.keys)
-    else:
-        tables.swap_table(changes.upsert(spark.table(spec.name), incoming, spec.keys), spec.name)
+    row_level = tables.supports_row_level(spark, spec.name)
+    if not (row_level or spec.hash_buckets):
+        tables.require_unpartitioned(spark, spec.name)
+    with scratch_space(spark, "load") as folder:
+        incoming = audit.stage(empty_text_to_null(new), spec, folder).rows
+        if row_level:
+            tables.merge_rows(incoming, spec.name, spec.keys)
+        elif spec.hash_buckets:
+            touched = in_buckets(spark.table(spec.name), buckets_of(incoming))
+            tables.overwrite_partitions(changes.upsert(touched, incoming, spec.keys), spec.name)
+        else:
+            tables.swap_table(changes.upsert(spark.table(spec.name), incoming, spec.keys), spec.name)

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from stratamill.functions.casting import empty_as_null, parse
 
 DERIVED = "-"
+#: Partition column of tables that are laid out by a hash of their key.
+BUCKET = "key_bucket"
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,9 @@ class TableSpec:
     ``ignore`` holds columns that never make a row "changed", beside the keys. ``empty_to_null`` switches the
     field marks on; ``required`` columns must not be NULL. ``buckets`` lays the table out in that many buckets of
     its keys, so that the stored side of a load is not shuffled; choose it so that a bucket fits a task, or leave
-    it at 0 and let every load shuffle to the size of its data.
+    it at 0 and let every load shuffle to the size of its data. ``hash_buckets`` partitions the table by a hash of
+    its keys instead (the column ``key_bucket``, after ``partition_by``), so that a load rewrites only the buckets its
+    changes fall into; choose it so that one bucket is a file or a few.
     """
 
     name: str
@@ -52,6 +56,7 @@ class TableSpec:
     required: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     buckets: int = 0
+    hash_buckets: int = 0
     lead: tuple[Field, ...] = ()
     extra: tuple[Field, ...] = ()
 
@@ -67,9 +72,23 @@ class TableSpec:
     @property
     def schema(self) -> T.StructType:
         """Columns of the stored table: the fields between the bookkeeping columns ``lead`` and ``extra``."""
-        stored = (*self.lead, *self.fields, *self.extra)
+        bucket = (Field(DERIVED, BUCKET, "int"),) if self.hash_buckets else ()
+        stored = (*self.lead, *self.fields, *self.extra, *bucket)
         return T.StructType([T.StructField(f.name, f.data_type) for f in stored])
 
+    @property
+    def stored_by(self) -> tuple[str, ...]:
+        """The table's partition columns."""
+        return (*self.partition_by, *([BUCKET] if self.hash_buckets else []))
+
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        """``df`` with the bucket of each row's key. Rows without a key match nothing: their whole content deals them out."""
+        types = {f.name: f.data_type for f in self.fields}
+        keyed = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in self.keys))
+        by_key = F.xxhash64(*[F.col(f"`{k}`").cast(types[k]) for k in self.keys])
+        hashed = F.when(keyed, by_key).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        return df.withColumn(BUCKET, F.pmod(hashed, F.lit(self.hash_buckets)).cast("int"))
+
     def project(self, feed: DataFrame, derived: Mapping[str, Column]) -> DataFrame:
         """Typed columns of an all-text feed, in declared order. ``derived`` gives the computed ones."""
         chosen = []

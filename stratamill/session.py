@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 
 PARTITION_BYTES = 512 * 1024**2
@@ -58,3 +61,29 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def observed(seen: Observation) -> dict:
+    """What an observation has counted; nothing where the observed part had no rows, so that Spark left it out of the plan."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" in error.java_exception.toString():
+            return {}
+        raise
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system it lies in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A shared scratch folder for one run's intermediate tables, removed when the run ends, also by an error."""
+    path = scratch_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove_dir(spark, path)

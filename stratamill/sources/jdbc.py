@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +59,98 @@ def read_jdbc(
     return reader.load()
 
 
+#: Quantiles asked for each wanted slice: more make the slices more even.
+FINENESS = 8
+
+
+def quantile_query(query: str, column: str, slices: int, function: str = "percentile_disc") -> str:
+    """One row with the column's quantiles, ``FINENESS`` a slice; ``function`` may be the database's approximate form."""
+    n = FINENESS * slices
+    cuts = ", ".join(f"{function}({i / n!r}) WITHIN GROUP (ORDER BY {column}) AS q{i}" for i in range(1, n))
+    return f"SELECT {cuts} FROM ({query}) src WHERE {column} IS NOT NULL"
+
+
+def literal(value: object) -> str:
+    """A value as an SQL literal."""
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def _prime(least: int) -> int:
+    """The smallest prime number from ``least`` and 5 on."""
+    n = max(least, 5)
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def slice_predicates(column: str, quantiles: Sequence[object], spread: str | None = None) -> list[str]:
+    """Conditions that deal every row to exactly one slice of about ``FINENESS`` quantiles' worth of rows.
+
+    Cuts lie between different values. A value that fills a slice or more gets slices of its own, divided by the
+    remainder of the whole-number column ``spread`` if there is one (for a prime number of slices, as the value may hang
+    together with small divisors of ``spread``). NULLs have a slice of their own.
+    """
+    runs: list[list] = []  # different values with the number of quantiles that fall on them
+    for value in quantiles:
+        if value is None:
+            continue
+        if runs and runs[-1][0] == value:
+            runs[-1][1] += 1
+        else:
+            runs.append([value, 1])
+    out = [f"{column} IS NULL"]
+    if not runs:
+        return [*out, f"{column} IS NOT NULL"]
+    # The open slice's lower condition and the quantiles it has passed; rows below the first quantile are one quantile's worth.
+    lower, passed = None, 1
+
+    def close(upper: str) -> None:
+        out.append(f"{lower} AND {upper}" if lower else upper)
+
+    for value, count in runs:
+        if count >= FINENESS:
+            close(f"{column} < {literal(value)}")
+            parts = _prime(-(-(count + 1) // FINENESS)) if spread and count > FINENESS else 1
+            equal = f"{column} = {literal(value)}"
+            remainder = f"ABS(MOD(COALESCE({spread}, 0), {parts}))"
+            out += [f"{equal} AND {remainder} = {i}" for i in range(parts)] if parts > 1 else [equal]
+            lower, passed = f"{column} > {literal(value)}", 1
+        elif passed + count > FINENESS:
+            close(f"{column} < {literal(value)}")
+            lower, passed = f"{column} >= {literal(value)}", count
+        else:
+            passed += count
+    close(f"{column} IS NOT NULL" if lower is None else "1 = 1")
+    return out
+
+
+def read_jdbc_evenly(
+    spark: SparkSession,
+    conn: Mapping[str, str],
+    query: str,
+    column: str,
+    num_partitions: int = DEFAULT_SLICES,
+    fetch_size: int = DEFAULT_FETCH_SIZE,
+    spread: str | None = None,
+    function: str = "percentile_disc",
+) -> DataFrame:
+    """Read a SELECT in parallel slices of nearly equal numbers of rows, however skewed ``column`` is.
+
+    The database computes the quantiles; each slice is one pushed condition.
+    """
+    cuts = spark.read.format("jdbc").options(**_source_options(conn, quantile_query(query, column, num_partitions, function))).load().first()
+    predicates = slice_predicates(column, list(cuts) if cuts else [], spread)
+    rest = {k: str(v) for k, v in conn.items() if k != "url"}
+    return spark.read.jdbc(
+        conn["url"], _source_options(conn, query)["dbtable"], predicates=predicates, properties={**rest, "fetchsize": str(fetch_size)})
+
+
 def write_jdbc(df: DataFrame, conn: Mapping[str, str], table: str, connections: int | None = None) -> None:
     """Append to a database table over at most ``connections`` connections (the writer's own default if unset)."""
     writer = df.write.format("jdbc").options(**conn).option("dbtable", table)

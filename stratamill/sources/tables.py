@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ from stratamill.plans.spec import TableSpec
 # before the table's location points into it.
 VERSIONS = "__versions/"
 
+#: Size of a file that a compaction aims at, and the most tasks it writes with.
+TARGET_BYTES = 256 << 20
+MOST_TASKS = 10_000
+
 # Table providers that take MERGE, overwritePartitions and other row-level writes.
 ROW_LEVEL_PROVIDERS = {"iceberg", "delta", "hudi", "paimon"}
 
@@ -52,8 +57,9 @@ def ensure_table(
 ) -> None:
     """Create the table of a spec if it is absent, with its partition or bucket layout."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
-    keys, parts, layout = ", ".join(spec.keys), list(spec.partition_by), ""
-    if spec.buckets and using in ROW_LEVEL_PROVIDERS:
+    keys, parts, layout = ", ".join(spec.keys), list(spec.stored_by), ""
+    if spec.buckets and using in ROW_LEVEL_PROVIDERS and len(spec.keys) == 1:
+        # Bucket transforms of these formats take one column; a compound key is left to the format's own clustering.
         parts.append(f"bucket({spec.buckets}, {keys})")
     if parts:
         layout += f" PARTITIONED BY ({', '.join(parts)})"
@@ -137,6 +143,13 @@ def drop_partition(spark: SparkSession, table: str, column: str, day: str | dt.d
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{day}')")
 
 
+def drop_partitions(spark: SparkSession, table: str, values: Sequence[Mapping[str, object]]) -> None:
+    """Remove whole partitions, each given by its columns' values, in one statement."""
+    if values:
+        parts = ", ".join("PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in value.items()) + ")" for value in values)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+
+
 def clear(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
@@ -149,6 +162,11 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def require_unpartitioned(spark: SparkSession, table: str) -> None:
+    if parts := partition_columns(spark, table):
+        raise ValueError(f"{table} is partitioned by {', '.join(parts)}: replace its partitions, it cannot be swapped whole")
+
+
 def swap_table(df: DataFrame, table: str) -> str:
     """Replace an unpartitioned table by ``df`` in one step; ``df`` may read the table itself.
 
@@ -158,8 +176,7 @@ def swap_table(df: DataFrame, table: str) -> str:
     ``remove_old_versions``.
     """
     spark = df.sparkSession
-    if parts := partition_columns(spark, table):
-        raise ValueError(f"{table} is partitioned by {', '.join(parts)}: replace its partitions, it cannot be swapped whole")
+    require_unpartitioned(spark, table)
     previous = location(spark, table)
     base = previous.rstrip("/").split(VERSIONS)[0]
     version = f"{base}{VERSIONS}{dt.datetime.now():%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -196,6 +213,47 @@ def remove_old_versions(spark: SparkSession, table: str, keep: int = 1) -> list[
     return [p.toString() for p in gone]
 
 
+def small_files(spark: SparkSession, table: str, target_bytes: int = TARGET_BYTES, share: float = 0.5) -> DataFrame:
+    """Per partition of a plain table: ``files``, ``small`` (those below a ``share`` of the target) and ``bytes``.
+
+    Read from the files' metadata, in tasks; no column is read.
+    """
+    parts = partition_columns(spark, table)
+    seen = spark.table(table).select(*parts, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    each = seen.groupBy(*parts, "path").agg(F.max("size").alias("size"))
+    return each.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("size") < share * target_bytes).alias("small"), F.sum("size").alias("bytes"))
+
+
+def compact(spark: SparkSession, table: str, target_bytes: int = TARGET_BYTES, share: float = 0.5) -> int:
+    """Rewrite the partitions of a plain table that have more small files than their bytes need; others are not touched.
+
+    Each partition gets as many files as its bytes fill, dealt by the hash of the row. Returns the number of partitions
+    rewritten (an unpartitioned table counts as one). Rows stay the same; run it while nothing else writes to the table.
+    """
+    if supports_row_level(spark, table):
+        raise ValueError(f"{table}: use the compaction of its own format")
+    parts = partition_columns(spark, table)
+    needed = F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int")
+    chosen = small_files(spark, table, target_bytes, share).withColumn("needed", needed)
+    chosen = chosen.where((F.col("small") >= 2) & (F.col("needed") < F.col("files")))
+    found = chosen.select(*parts, "needed").collect()  # at most as many rows as the catalog lists partitions
+    if not found:
+        return 0
+    df = spark.table(table)
+    number = lambda n: F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), n)
+    if not parts:
+        files = found[0]["needed"]
+        swap_table(df.repartition(files, number(F.lit(files))) if files > 1 else df.coalesce(1), table)
+        return 1
+    plan = spark.createDataFrame(found, chosen.select(*parts, "needed").schema)
+    same = functools.reduce(lambda a, b: a & b, [df[c].eqNullSafe(plan[c]) for c in parts])
+    rows = df.join(plan, same).select(*[df[c] for c in df.columns], "needed").withColumn("needed", number(F.col("needed")))
+    tasks = sum(r["needed"] for r in found)
+    overwrite_partitions(rows.repartition(min(tasks, MOST_TASKS), *parts, "needed").drop("needed"), table, balance=False)
+    return len(found)
+
+
 def replace_all(df: DataFrame, table: str) -> None:
     """The whole content of a table in one commit."""
     spark = df.sparkSession

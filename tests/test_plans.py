@@ -17,6 +17,7 @@ WRITING = {
     "snapshot_overwrite", "append_rows", "backfill_range", "backfill_partitions", "export_slice", "parquet_copy",
     "staged_fact", "master_load", "master_history", "versions_load", "labelled_union", "landing_publish", "sql_source", "workforce_run", "debt_load", "card_load",
     "loan_details_load", "snapshot_emptied_day", "versions_torn_rerun", "workforce_log", "landing_absent_columns",
+    "master_load_buckets", "upsert_load_buckets", "audited_load", "versions_load_buckets", "versions_range_load", "compacted_log",
 }
 
 
@@ -33,7 +34,7 @@ def test_no_python_and_no_pairing_of_everything(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert unwanted not in text
-    assert "Exchange SinglePartition" not in text or name in {"bounds", "load_status_undated", "not_null_report", "load_summary"}
+    assert "Exchange SinglePartition" not in text or name in {"bounds", "load_status_undated", "not_null_report", "load_summary", "slice_predicates"}
 
 
 def test_card_log_is_scanned_once_with_a_pushed_filter(spark, small):
@@ -129,3 +130,37 @@ def test_date_folders_are_pruned(spark, tmp_path):
     listed = re.search(r"Location: InMemoryFileIndex\((\d+) paths\)", plan(df))
     assert listed and listed[1] == "3"  # no other day's folder is listed
     assert read_orc_dates(spark, root, dates=["2031-01-01"]).count() == 0
+
+
+def test_reports_join_stored_picks_without_an_exchange(spark, no_broadcast):
+    """The picks of a run are stored in buckets of the person; the reports leave them where they lie and do not read the jobs."""
+    from stratamill.jobs import daily
+
+    schema = f"picks_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE SCHEMA {schema}")
+    texts = [
+        "emplid", "deptid", "ibsy_officer_cd", "jobcode", "contract_num", "action", "action_reason", "hr_status", "empl_status", "per_org",
+        "full_part_time", "company", "setid_jobcode", "business_unit", "job_indicator", "currency_cd", "cob_dt"]
+    dates = ["job_entry_dt", "dept_entry_dt", "hire_dt", "last_hire_dt", "termination_dt", "effdt"]
+    columns = ", ".join([f"{c} string" for c in texts] + [f"{c} date" for c in dates] + ["empl_rcd int", "effseq int"])
+    spark.sql(f"CREATE TABLE {schema}.jobs ({columns}) USING parquet")
+    spark.sql(f"CREATE TABLE {schema}.quits (emplid string, report_date string) USING parquet")
+    spark.sql(f"CREATE TABLE {schema}.pay (emplid string, empl_rcd int, effdt date, effseq int, comp_effseq int, comp_ratecd string,"
+              " convert_comprt double, currency_cd string, cob_dt string) USING parquet")
+    sources = daily.WorkforceSources(*[f"{schema}.{n}" for n in ("jobs", "pay", "quits", "a", "b", "c", "d", "e", "f")])
+    daily.ensure_pick_tables(spark, sources, schema, 4)
+    steps = daily.workforce_steps(sources, schema, "2025-01-31", "HQ")
+    counted = {s.table: plan(s.frame(spark, "2025-02-01")) for s in steps[:6]}
+    reading = [t for t, text in counted.items() if f"{schema}.jobs[" in text or f"{schema}.jobs," in text or ".jobs" in text]
+    assert reading == [f"{schema}.{t}" for t in daily.PICK_TABLES]
+    joined = counted[f"{schema}.dim_ps_job_dsnv_daily_cwr"]
+    assert joined.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in joined  # that of the quits
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+def test_classes_read_the_keys_and_compared_columns_only(spark, small, no_broadcast):
+    from checks.feeds import table
+
+    orders = table(spark, small, "orders")
+    text = plan(changes.classify(orders, orders, ["o_orderkey"], ["o_totalprice"]))
+    assert scan_columns(text) == [{"o_orderkey", "o_totalprice"}] * 2
