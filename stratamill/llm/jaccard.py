@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import components, map_batches, slices, stored
+from stratamill.llm.shared import components, map_batches, slices, stored, unnamed
 from stratamill.llm.shingles import mixed, shingle_sets
 
 WORDS, PERCENT = 5, 80
@@ -100,10 +101,11 @@ def _sets(part: pa.RecordBatch, size: int) -> list[np.ndarray]:
 
 
 def _summarise(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Every document's set size, class and bitmap, and at the end the task's counts of shingles."""
+    """Every document's set size, class and bitmap (and text digest, if there is one), and at the end the task's counts of shingles."""
     cells = np.zeros(CELLS, dtype=np.uint32)
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
     names = ["doc_id", "n", "class", "bitmap", "block", "counts"]
+    digests = False
     for part in slices(batches, "text", 1 << 20):
         sets = _sets(part, size)
         for s in sets:
@@ -111,12 +113,14 @@ def _summarise(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         nothing = [None] * len(sets)
         rows = [part.column("doc_id"), [len(s) for s in sets], [_class(s) if len(s) else None for s in sets],
                 [bitmap(s) if len(s) else None for s in sets], nothing, nothing]
-        yield pa.RecordBatch.from_arrays([r if isinstance(r, pa.Array) else pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
+        if digests := "digest" in part.schema.names:
+            rows.append(part.column("digest"))
+        yield pa.RecordBatch.from_arrays([r if isinstance(r, pa.Array) else pa.array(r, k) for r, k in zip(rows, [*kinds, pa.binary()])], names=[*names, "digest"][:len(rows)])
     blocks = [(i, zlib.compress(b.tobytes(), 1)) for i, b in enumerate(np.split(cells, BLOCKS)) if b.any()]
     if blocks:
         none = [None] * len(blocks)
-        rows = [none, none, none, none, [b[0] for b in blocks], [b[1] for b in blocks]]
-        yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
+        rows = [none, none, none, none, [b[0] for b in blocks], [b[1] for b in blocks]] + ([none] if digests else [])
+        yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, [*kinds, pa.binary()])], names=[*names, "digest"][:len(rows)])
 
 
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +131,10 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums[block] = sums[block] + own if block in sums else own
     if sums:
         packed = [np.minimum(s, 0xFFFFFFFF).astype(np.uint32).tobytes() for s in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
+        total, squares = ([float((s.astype(np.float64) ** k).sum()) for s in sums.values()] for k in (1, 2))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary()), pa.array(total, pa.float64()), pa.array(squares, pa.float64())],
+            names=["block", "counts", "total", "squares"])
 
 
 @functools.lru_cache(maxsize=None)
@@ -222,25 +229,27 @@ class Join:
 
     def __init__(self, docs: DataFrame, size: int, percent: int, short_list: int):
         self.docs, self.size, self.percent, self.short_list, self.spark = docs, size, percent, short_list, docs.sparkSession
+        more = ", digest binary" if "digest" in docs.columns else ""
         summary = stored(map_batches(
             docs, lambda batches: _summarise(batches, size),
-            "doc_id long, n long, class binary, bitmap binary, block int, counts binary"), "sets")
-        self.rows = summary.filter("block is null").select("doc_id", "n", "class")
+            f"doc_id long, n long, class binary, bitmap binary, block int, counts binary{more}"), "sets")
+        self.rows = summary.filter("block is null").select("doc_id", "n", "class", *(["digest"] if more else []))
         self.classes = stored(
             summary.filter("class is not null").groupBy("class")
             .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bitmap").alias("bitmap")), "classes")
         blocks = summary.filter("block is not null").select("block", "counts").repartition("block")
-        self.cells = np.zeros(CELLS, dtype=np.uint32)
-        for block, counts in map_batches(blocks, _sum_blocks, "block int, counts binary").collect():  # CELLS numbers in all
-            width = CELLS // BLOCKS
-            self.cells[block * width:(block + 1) * width] = np.frombuffer(counts, np.uint32)
+        self.cells, self.total, squares = np.zeros(CELLS, dtype=np.uint32), 0.0, 0.0
+        width = CELLS // BLOCKS
+        for row in map_batches(blocks, _sum_blocks, "block int, counts binary, total double, squares double").toLocalIterator():
+            self.cells[row.block * width:(row.block + 1) * width] = np.frombuffer(row.counts, np.uint32)  # CELLS numbers in all
+            self.total, squares = self.total + row.total, squares + row.squares
+        #: Length of the list that an entry is in, on average.
+        self.list_length = squares / self.total if self.total else 1.0
 
     def entries(self) -> DataFrame:
         sizes = self.classes.filter(F.col("n") <= MOST_SMALL).groupBy("n").count()
         histogram = {r[0]: r[1] for r in sizes.collect()}  # MOST_SMALL rows at most
-        total = float(self.cells.sum(dtype=np.float64))
-        met = float((self.cells.astype(np.float64) ** 2).sum()) / total if total else 1.0
-        small = boundary(histogram, min(met, self.short_list), self.percent)
+        small = boundary(histogram, min(self.list_length, self.short_list), self.percent)
         cells, size, percent = self.spark.sparkContext.broadcast(self.cells), self.size, self.percent
 
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,10 +384,32 @@ def link_documents(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose identifier is the smallest of its component, with all their columns."""
-    linked = link_documents(docs, id_col, text_col, size, percent)
-    lost = linked.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_lost"))
-    return docs.join(lost, F.col(id_col).cast("long") == F.col("_lost"), "left_anti")
+    """One row of each component, with all its columns: that of the smallest identifier, none last, then of the smallest text
+    digest. Rows without shingles are linked with nothing, so all of them stay."""
+    rows, names = unnamed(docs)
+    rows = rows.withColumns({"doc_id": F.col(names[id_col]).cast("long"), "text": F.col(names[text_col]).cast("string")})
+    rows = rows.withColumn("digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    join = Join(rows.select("doc_id", "text", "digest"), size, percent, SHORT_LIST)
+    roots = join.roots().withColumnRenamed("node", "class")
+    linked = stored(
+        join.rows.filter("class is not null").groupBy("doc_id", "digest", "class").agg(F.count("*").alias("copies"))
+        .join(roots, "class", "left").select("doc_id", "digest", "copies", F.coalesce("root", "class").alias("root")), "linked")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    first = linked.groupBy("root").agg(F.min(place).alias("first"))
+    judged = linked.join(first, "root").select("doc_id", "digest", "copies", (place == F.col("first")).alias("kept"))
+    # Rows to be dropped, and kept ones that are there several times: few, as the rest is not moved.
+    marked = judged.filter("not kept or copies > 1").select("doc_id", "digest", "kept")
+    same = (rows["doc_id"].eqNullSafe(marked["doc_id"])) & (rows["digest"] == marked["digest"])
+    found = rows.join(marked, same, "left")
+    given = [F.col(c) for c in names.values()]
+    single = found.filter(F.col("kept").isNull()).select(*given)
+    if judged.filter("kept and copies > 1").isEmpty():
+        return single.toDF(*docs.columns)
+    several = found.filter("kept").select(*given, rows["doc_id"], rows["digest"])
+    plain = [names[f.name] for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    order = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(*plain))
+    one = several.withColumn("nth", F.row_number().over(order)).filter("nth = 1").select(*given)
+    return single.union(one).toDF(*docs.columns)
 
 
 @register("op1_ngram_jaccard")

@@ -5,24 +5,60 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratamill.session import scratch_dir
+from stratamill.session import observed, remove_dir, scratch_dir
 
 #: White space that separates words: space and U+0009 to U+000D.
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+#: Folders of stored tables, in the innermost open ``temporaries``.
+_open: list[list[str]] = []
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: the lineage ends here and survives lost executors."""
     path = scratch_dir(df.sparkSession, purpose)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._stored_in = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete the folder of a ``stored`` table that nothing reads any more."""
+    remove_dir(df.sparkSession, df._stored_in)
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within are deleted at the end, so what is made of them has to be stored outside or used up by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove_dir(spark, path)
+
+
+def stored_result(make: Callable[[], DataFrame], spark: SparkSession, purpose: str) -> DataFrame:
+    """What ``make`` returns, stored, without the tables stored on the way."""
+    with temporaries(spark):
+        out = stored(make(), purpose)
+        _open[-1].remove(out._stored_in)
+    if _open:
+        _open[-1].append(out._stored_in)
+    return out
 
 
 def send_code(spark: SparkSession) -> None:
@@ -64,51 +100,127 @@ def _ends(column: pa.Array) -> list[int]:
     return pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_pylist()
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The edges of each batch, at most one for each vertex, with the same connections."""
+class _Forest:
+    """Union-find over the vertices of one batch: its edges, at most one for each vertex, with the same connections."""
+
+    def __init__(self):
+        self.above: dict = {}
+
+    def root(self, x):
+        above = self.above
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    def join(self, u, v) -> None:
+        u, v = self.root(u), self.root(v)
+        if u != v:
+            self.above[max(u, v)] = min(u, v)
+
+    def edges(self, kind: pa.DataType) -> pa.RecordBatch:
+        rows = [(x, self.root(x)) for x in self.above]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i in (0, 1)], names=["u", "v"])
+
+
+def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        above: dict = {}
+        forest = _Forest()
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            forest.join(u, v)
+        yield forest.edges(batch.schema.field("u").type)
+
 
-        def root(x):
-            while (up := above.get(x, x)) != x:
-                above[x] = above.get(up, up)
-                x = up
-            return x
+def _large_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbours ``y`` of each vertex ``x``, in order: the larger ones are pointed at the smallest (``x`` included).
 
+    A row of nulls says that some vertex has both smaller and larger neighbours or two smaller ones: no stars yet.
+    """
+    x = least = last = None
+    for batch in batches:
+        forest, open_ = _Forest(), False
+        for a, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+            if a != x:
+                x, least, last = a, min(a, y), None
+            if y == last:
+                continue
+            if y > x:
+                open_ |= least < x
+                forest.join(y, least)
+            else:
+                open_ |= last is not None
+            last = y
+        out = forest.edges(batch.schema.field("x").type)
+        if open_:
+            out = pa.RecordBatch.from_arrays([pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in out.columns], names=["u", "v"])
+        yield out
+
+
+def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smaller neighbours ``v`` of each vertex ``u``, in order: they and the vertex are pointed at the smallest of them."""
+    x = least = None
+    for batch in batches:
+        forest = _Forest()
         for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
-            u, v = root(u), root(v)
-            if u != v:
-                above[max(u, v)] = min(u, v)
-        rows = [(x, root(x)) for x in above]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], batch.schema.field(i).type) for i in (0, 1)], names=["u", "v"])
+            if u != x:
+                x, least = u, v
+            forest.join(u, least)
+            forest.join(v, least)
+        yield forest.edges(batch.schema.field("u").type)
+
+
+#: A vertex is a hub when it is the smaller end of more than this share of all edges, and of so many at least.
+HUB_SHARE, HUB_EDGES = 0.002, 1000
 
 
 def components(edges: DataFrame, purpose: str = "components", most_rounds: int = 60) -> DataFrame:
     """Connected components: every vertex of ``edges`` (columns ``a`` and ``b``) with the smallest vertex it reaches.
 
-    Each task first thins its own edges to a forest. Then large-star and small-star steps alternate; each is a grouped
-    minimum and a join, so no vertex's neighbours are gathered in one place, and the edges are stored before the next
-    round. It ends when the edges are stars. Returns ``node``, ``root``.
+    Large-star and small-star steps alternate. Each is one shuffle: a vertex's neighbours come in order, smallest first, and
+    are streamed, never gathered. Tasks thin what they send to forests, so that a vertex is the larger end of at most one edge
+    a batch. Edges of hubs (at most 1 / ``HUB_SHARE`` vertices) are not shuffled to their hub: its smallest neighbour is
+    broadcast instead. A round is stored before the next begins; it ends when the edges were stars, which the large-star step
+    sees itself. Returns ``node``, ``root``.
     """
+    spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")
-    edges = stored(map_batches(edges, _forest, edges.schema), purpose)
+    shape = T.StructType([T.StructField(f.name, f.dataType) for f in edges.schema.fields])
+
+    def counted(df: DataFrame) -> tuple[DataFrame, int]:
+        seen = Observation()
+        out = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), purpose)
+        return out, observed(seen).get("n", 0)
+
+    edges, n = counted(map_batches(edges, _thin, shape))
     for _ in range(most_rounds):
-        # Large star: each vertex points its larger neighbours at its smallest neighbour (itself included).
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        # Small star: each vertex points its smaller neighbours and itself at the smallest of them.
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.inline(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))))
-        edges = stored(small.filter("u > v").distinct(), purpose)
-        # Stars: no vertex that is pointed at points on, and none points at two.
-        lower = edges.select(F.col("v").alias("u")).distinct()
-        if edges.join(lower, "u", "left_semi").isEmpty() and edges.groupBy("u").count().filter("count > 1").isEmpty():
+        both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
+        hubs, rest = [], []
+        if n > HUB_EDGES:
+            degrees = both.groupBy("x").agg(F.count_if(F.col("y") > F.col("x")).alias("n"), F.min("y").alias("low"))
+            hot = degrees.filter(F.col("n") > max(HUB_EDGES, HUB_SHARE * n)).select("x", F.least("x", "low").alias("low"))
+            hubs = hot.collect()  # by the share, 500 rows at most
+            if hubs:
+                known = F.broadcast(spark.createDataFrame(hubs, hot.schema))
+                rest = [map_batches(both.filter("y > x").join(known, "x").select(F.col("y").alias("u"), F.col("low").alias("v")), _thin, shape)]
+                both = both.join(known, "x", "left").filter("low is null or y < x").select("x", "y")
+        stars = Observation()
+        large = map_batches(both.repartition("x").sortWithinPartitions("x", "y"), _large_star, shape)
+        large = large.observe(stars, F.count_if(F.col("u").isNull()).alias("open")).filter("u is not null")
+        for part in rest:
+            large = large.union(part)
+        before, (edges, n) = edges, counted(map_batches(large.repartition("u").sortWithinPartitions("u", "v"), _small_star, shape))
+        release(before)
+        if not observed(stars).get("open") and all(r["low"] == r["x"] for r in hubs):
             break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    edges = edges.distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def unnamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with neutral column names, so that none clashes with a column made here, and the new name of each."""
+    names = {c: f"given_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
