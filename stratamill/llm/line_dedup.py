@@ -2,13 +2,14 @@
 
 A line of length l is split into ``distance + 1`` segments of nearly equal length. Two lines within the distance share one
 segment of the shorter line, at places that length difference and segment number confine; so every different line is put into an
-index under its segments, and probes the index with those of its substrings. What meets, and does not differ in too many
-words, is verified by a banded bit-parallel edit distance:
+index under its segments, and probes the index with those of its substrings. What meets, and does not differ in the parities of too
+many letters' numbers, is verified by a banded bit-parallel edit distance:
 a column of the band is a few bits of one integer, and each character moves it by a handful of bit operations.
 
 A line is dropped if it is equal to an earlier line, or within the distance of one (lines are judged on the input, so a
 dropped line also drops others). Earlier is by identifier, then place. Where very many lines share a segment they are
-compared with the earliest few first; only lines that this does not drop are compared with all earlier ones.
+compared with the earliest few first; only lines that this does not drop are compared with all earlier ones, and of these only
+with lines that also agree in one of a few groups of parities, by which such segments are split.
 
 Defined results: lines end at ``\\n``. Equal lines are found whatever their length; only blank lines of fewer than ``least``
 characters stay, as they part paragraphs. The edit distance is for lines of ``least`` characters or more on both sides: in
@@ -18,14 +19,18 @@ all others. Repeated rows have the same places, none of which is earlier, and ar
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import stored
+from stratamill.llm.shared import stored, unnamed
 
 DISTANCE, LEAST = 2, 20
+#: Characters (one byte each) whose parities are compared, the frequent ones first.
+LETTERS = "etaoinsrhldcumfpgwybvkxjqz ,.-'"
 #: Lines that share a segment from which on they are first compared with the earliest ``FIRST`` alone.
 MANY, FIRST = 200, 8
 _PLACE = "decimal(30,0)"
@@ -64,12 +69,20 @@ def keys_of(line: str, distance: int = DISTANCE) -> Column:
     return F.array(*found)
 
 
-def word_parities(line: str) -> Column:
-    """One bit for each of 64 kinds of words between blanks: is their number odd? An edit changes three of a line's words at
-    most (a blank that goes joins two), so the bits of lines within a distance differ in three times as many places at most."""
-    kinds = F.transform(F.split(F.col(line), " "), lambda w: F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))
-    zero = F.lit(0).cast("long")
-    return F.aggregate(kinds, zero, lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+def letter_parities(line: str) -> Column:
+    """One bit for each of ``LETTERS``: is its number odd? An edit changes the numbers of two characters at most, so the bits of
+    lines within a distance differ in twice as many places at most."""
+    text, size = F.col(line), F.octet_length(line)
+    bits = [
+        F.call_function("shiftleft", (size - F.octet_length(F.replace(text, F.lit(c)))).bitwiseAND(F.lit(1)).cast("long"), F.lit(i))
+        for i, c in enumerate(LETTERS)]
+    return functools.reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def parity_groups(distance: int = DISTANCE) -> list[int]:
+    """Masks that deal the parities out to one group more than can differ: near lines agree in one group at least."""
+    n = 2 * distance + 1
+    return [sum(1 << i for i in range(k, len(LETTERS), n)) for k in range(n)]
 
 
 def within(a: str, b: str, distance: int = DISTANCE) -> Column:
@@ -95,11 +108,11 @@ def within(a: str, b: str, distance: int = DISTANCE) -> Column:
 def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANCE, many: int = MANY) -> DataFrame:
     """``ref, place`` of lines that are near an earlier one.
 
-    ``different`` has each line once (``ref``, its hash, ``place``, ``words`` and ``keys``), ``every`` all lines with their text.
+    ``different`` has each line once (``ref``, its hash, ``place``, ``letters`` and ``keys``), ``every`` all lines with their text.
     """
     parts = distance + 1
-    index = different.select("ref", "words", F.explode(F.slice("keys", 1, parts)).alias("key")).filter("key is not null")
-    probes = different.select("ref", "words", F.explode(F.slice("keys", parts + 1, 1 << 20)).alias("key")).filter("key is not null")
+    index = different.select("ref", "letters", F.explode(F.slice("keys", 1, parts)).alias("key")).filter("key is not null")
+    probes = different.select("ref", "letters", F.explode(F.slice("keys", parts + 1, 1 << 20)).alias("key")).filter("key is not null")
     hot = stored(index.groupBy("key").count().filter(F.col("count") > many).select("key"), "hot")
     some_hot = not hot.isEmpty()
 
@@ -117,13 +130,13 @@ def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANC
         later = later.otherwise(F.struct(F.col("ref_b").alias("ref"), F.col("place_b").alias("place")))
         return close.select(later.alias("l")).select("l.*").distinct()
 
-    alike = F.bit_count(F.col("words_a").bitwiseXOR(F.col("words_b"))) <= 3 * distance
+    alike = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2 * distance
 
     def cold(rows: DataFrame) -> DataFrame:
         return rows.join(hot, "key", "left_anti") if some_hot else rows
 
-    met = cold(index).withColumnsRenamed({"ref": "ref_a", "words": "words_a"}).join(
-        cold(probes).withColumnsRenamed({"ref": "ref_b", "words": "words_b"}), "key")
+    met = cold(index).withColumnsRenamed({"ref": "ref_a", "letters": "letters_a"}).join(
+        cold(probes).withColumnsRenamed({"ref": "ref_b", "letters": "letters_b"}), "key")
     pairs = met.filter((F.col("ref_a") != F.col("ref_b")) & alike).select("ref_a", "ref_b")
     if not some_hot:
         return stored(verified(pairs), "near")
@@ -131,16 +144,22 @@ def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANC
     lots = index.withColumn("probes", F.lit(False)).unionByName(probes.withColumn("probes", F.lit(True)))
     lots = stored(lots.join(hot, "key", "left_semi").join(place, "ref"), "lots")
 
-    def meeting(left: DataFrame, right: DataFrame) -> DataFrame:
+    def meeting(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
         """Pairs of an earlier and a later line of which one probes the other's segment."""
         a, b = left.toDF(*[f"{c}_a" for c in left.columns]), right.toDF(*[f"{c}_b" for c in right.columns])
-        return a.join(b, F.col("key_a") == F.col("key_b")).filter(F.expr("place_a < place_b and probes_a <> probes_b") & alike).select("ref_a", "ref_b")
+        same = functools.reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in ("key", *on)])
+        return a.join(b, same & F.expr("place_a < place_b and probes_a <> probes_b") & alike).select("ref_a", "ref_b")
+
+    def split(rows: DataFrame) -> DataFrame:
+        """The rows once for each group of parities, with the group's bits."""
+        groups = [F.struct(F.lit(i).alias("group"), F.col("letters").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(parity_groups(distance))]
+        return rows.withColumn("g", F.explode(F.array(*groups))).select("*", "g.group", "g.bits").drop("g")
 
     order = Window.partitionBy("key", "probes").orderBy("place")
     first = lots.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= FIRST).drop("_nth")
     near = stored(verified(pairs.unionByName(meeting(first, lots))), "near")
     rest = lots.join(near, ["ref", "place"], "left_anti").select(*lots.columns)
-    return stored(near.unionByName(verified(meeting(lots, rest))).distinct(), "near")
+    return stored(near.unionByName(verified(meeting(split(lots), split(rest), "group", "bits"))).distinct(), "near")
 
 
 def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, least: int = LEAST,
@@ -152,7 +171,7 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     different = stored(
         every.filter(compared).groupBy("line").agg(F.min("place").alias("place")).select(
             F.xxhash64("line").alias("ref"), "place", F.md5(F.col("line").cast("binary")).alias("digest"),
-            long.alias("long"), word_parities("line").alias("words"), keys_of("line", distance).alias("keys")), "lines")
+            long.alias("long"), letter_parities("line").alias("letters"), keys_of("line", distance).alias("keys")), "lines")
     near = near_earlier(different.filter("long"), every.filter(long), distance, many).withColumn("near", F.lit(True))
     firsts = different.select("ref", "digest", "place").join(near, ["ref", "place"], "left").select(
         "digest", F.col("place").alias("first"), "near")
@@ -167,11 +186,13 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, least: int = LEAST) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text_col``."""
     lost = judge_lines(docs, id_col, text_col, distance, least).filter("dropped is not null")
-    lost = lost.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("at").alias("_lost"))
+    lost = lost.groupBy("doc_id").agg(F.collect_set("at").alias("lost"))
+    rows, names = unnamed(docs)
+    text = names[text_col]
     kept = F.array_join(F.filter(
-        F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains(F.coalesce("_lost", F.array().cast("array<int>")), i)), "\n")
-    joined = docs.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left")
-    return joined.select(*[kept.alias(c) if c == text_col else docs[c] for c in docs.columns])
+        F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.coalesce("lost", F.array().cast("array<int>")), i)), "\n")
+    joined = rows.join(lost, F.col(names[id_col]).cast("long").eqNullSafe(F.col("doc_id")), "left")
+    return joined.select(*[kept.alias(c) if c == text else F.col(c) for c in names.values()]).toDF(*docs.columns)
 
 
 @register("op8_line_dedup")
