@@ -1,10 +1,11 @@
 """Chat formatting in budgeted windows, in DataFrame functions only.
 
-Each turn costs its words and its marks. Prefix sums of these costs, per conversation, choose the windows: turns of at
-most half the fresh budget share a window by the half their start falls into, so that a window's own turns never
-exceed the fresh budget; longer turns stand alone (one longer than the whole budget exceeds it, as turns are not cut).
-A window begins with the conversation's system turn and a limited stretch of the turns before it; both are repeats,
-and only the window's own assistant turns lie under the loss mask, so each is trained on once.
+Each turn costs its words and its marks. The fresh budget of a conversation is what its system turn and the history leave.
+Prefix sums of the costs choose the windows: turns of at most half the fresh budget share a window by the half their
+start falls into, so that a window's own turns never exceed the fresh budget; longer turns stand alone. A window begins
+with the conversation's system turn and a stretch of the turns before it, as long as the history's limit and the rest of the
+budget allow; both are repeats, and only the window's own assistant turns lie under the loss mask, so each is trained on
+once. A window exceeds the budget only where the system turn and one turn alone do, as turns are not cut.
 
 A turn is written ``<turn>role<says>text</turn>``. A backslash or ``<`` within role or text is escaped, so control
 strings of this or any other template that begin with ``<`` cannot be forged, and the text can be read back exactly.
@@ -45,7 +46,6 @@ def windows(
 ) -> DataFrame:
     """One row per window: ``conv_id, window, text, fresh_from`` (code points of ``text`` that are repeats) and ``loss``,
     the spans of ``text`` (start, end) to train on."""
-    fresh = budget - history
     df = turns.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
@@ -53,23 +53,31 @@ def windows(
     df = df.withColumn("cost", F.regexp_count("said", F.lit(WORDS)) + MARKS)
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "said")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    half = F.lit(fresh // 2)
-    long_turn = F.col("cost") > half
     df = df.withColumns({
         "at": F.row_number().over(order),
         "start": F.coalesce(F.sum("cost").over(before), F.lit(0)),
+        "head": F.first(F.when(F.col("role") == "system", F.col("cost")).otherwise(0)).over(order),
+    })
+    df = df.withColumn("half", F.greatest(F.floor((F.lit(budget - history) - F.col("head")) / 2), F.lit(1)))
+    df = df.withColumn("long", F.col("cost") > F.col("half"))
+    by_place = Window.partitionBy("conv_id").orderBy("at")
+    before = by_place.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumns({
         # Long turns break the row of shared windows; starts are counted over the short turns alone.
-        "stretch": F.coalesce(F.sum(long_turn.cast("int")).over(before), F.lit(0)),
-        "part": F.floor(F.coalesce(F.sum(F.when(long_turn, 0).otherwise(F.col("cost"))).over(before), F.lit(0)) / half),
-        "long": long_turn,
+        "stretch": F.coalesce(F.sum(F.col("long").cast("int")).over(before), F.lit(0)),
+        "part": F.floor(F.coalesce(F.sum(F.when(F.col("long"), 0).otherwise(F.col("cost"))).over(before), F.lit(0)) / F.col("half")),
     })
     by_start = Window.partitionBy("conv_id").orderBy("start")
     last = F.struct("stretch", "part", "long")
-    df = df.withColumn("first", F.coalesce(F.lag(last).over(Window.partitionBy("conv_id").orderBy("at")) != last, F.lit(True)))
-    df = df.withColumn("window", F.sum(F.col("first").cast("int")).over(Window.partitionBy("conv_id").orderBy("at")) - 1)
-    # A turn is history of the windows that begin within so many tokens after its start.
-    later = F.collect_set(F.when(F.col("first"), F.col("window"))).over(by_start.rangeBetween(1, history))
-    df = df.withColumn("later", F.filter(later, lambda w: w > F.col("window")))
+    df = df.withColumn("first", F.coalesce(F.lag(last).over(by_place) != last, F.lit(True)))
+    df = df.withColumn("window", F.sum(F.col("first").cast("int")).over(by_place) - 1)
+    own = F.sum("cost").over(Window.partitionBy("conv_id", "window"))
+    df = df.withColumn("limit", F.least(F.lit(history), F.lit(budget) - F.col("head") - own))
+    # A turn is history of the windows that begin within so many tokens after its start, as far as their own limits go.
+    opened = F.when(F.col("first"), F.struct("window", "start", "limit"))
+    later = F.collect_set(opened).over(by_start.rangeBetween(1, history))
+    df = df.withColumn("later", F.transform(
+        F.filter(later, lambda w: (w["window"] > F.col("window")) & (w["start"] - F.col("start") <= w["limit"])), lambda w: w["window"]))
     system = df.filter((F.col("at") == 1) & (F.col("role") == "system"))
     heads = system.select("conv_id", "role", "said", F.col("window").alias("own_window"))
     starts = df.filter("first").select("conv_id", "window")
@@ -135,17 +143,22 @@ WITH c AS (
   SELECT *, 19 + length(replace(replace(role, '\\', '\\0'), '<', '\\1')) + length(replace(replace(said, '\\', '\\0'), '<', '\\1')) AS chars,
     len(regexp_extract_all(said, '[^\\x20\\x09-\\x0D]+')) + 4 AS cost, row_number() OVER t AS place
   FROM c WINDOW t AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, said)
-), s AS (
-  SELECT *, sum(cost) OVER o - cost AS start, sum((cost > 448)::INT) OVER o - (cost > 448)::INT AS stretch,
-    (sum(CASE WHEN cost > 448 THEN 0 ELSE cost END) OVER o - CASE WHEN cost > 448 THEN 0 ELSE cost END) // 448 AS part
+), h AS (
+  SELECT *, first_value(CASE WHEN role = 'system' THEN cost ELSE 0 END) OVER o AS head,
+    greatest((1024 - 128 - first_value(CASE WHEN role = 'system' THEN cost ELSE 0 END) OVER o) // 2, 1) AS half
   FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY place)
+), s AS (
+  SELECT *, sum(cost) OVER o - cost AS start, sum((cost > half)::INT) OVER o - (cost > half)::INT AS stretch,
+    (sum(CASE WHEN cost > half THEN 0 ELSE cost END) OVER o - CASE WHEN cost > half THEN 0 ELSE cost END) // half AS part
+  FROM h WINDOW o AS (PARTITION BY conv_id ORDER BY place)
 ), f AS (
-  SELECT *, coalesce((lag(stretch) OVER o, lag(part) OVER o, lag(cost > 448) OVER o) <> (stretch, part, cost > 448), true)
+  SELECT *, coalesce((lag(stretch) OVER o, lag(part) OVER o, lag(cost > half) OVER o) <> (stretch, part, cost > half), true)
     OR place = 1 AS opens FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY place)
-), w AS (SELECT *, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY place) - 1 AS win FROM f),
+), n AS (SELECT *, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY place) - 1 AS win FROM f),
+w AS (SELECT *, sum(cost) OVER (PARTITION BY conv_id, win) AS own FROM n),
 repeats AS (
   SELECT b.conv_id, sum(a.chars) AS chars FROM w b JOIN w a ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.win < b.win
-    AND (a.start >= b.start - 128 OR a.place = 1 AND a.role = 'system')
+    AND (a.start >= b.start - least(128, 1024 - b.head - b.own) OR a.place = 1 AND a.role = 'system')
   WHERE b.opens GROUP BY b.conv_id
 ), own AS (
   SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY place)) AS turns_sha256,
