@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import map_batches, slices, stored
+from stratamill.llm.shared import map_batches, slices, stored, unnamed
 
 #: Labelled rows that the lexicon and the trees are fitted on at most, and terms of the lexicon at most.
 MOST_ROWS, MOST_TERMS = 20_000, 2_000
@@ -136,7 +136,7 @@ def text_features(text: str, marks: Marks) -> list[float]:
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float], text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns ``FEATURES``."""
+    """``docs``, none of whose columns may have the name of a feature, with the columns ``FEATURES``."""
     at = docs.columns.index(text_col)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,18 +167,20 @@ def with_scores(
     )
     marks = stored(marks, "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # The sample is bounded by ``most_rows``, whatever the number of labels.
-    sample = stored(texts.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).drop("_id"), "labelled")
-    lexicon = learn_lexicon(sample)
+    # The sample is bounded by ``most_rows``, whatever the number of labels and however often a labelled row repeats.
+    sample = texts.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).drop("_id")
+    sample = stored(sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")), "labelled")
+    sample = sample.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)))
     shares = sample.agg(F.avg("toxic"), F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not shares[1] or not shares[2]:
         return docs.withColumn(score_col, F.lit(float(shares[0] or 0.0)))
+    kinds = {(r["part"] > 0, r["toxic"]) for r in sample.select("part", "toxic").distinct().collect()}
+    split = len(kinds) == 4
+    # What is calibrated on must not have been learnt from, neither by the lexicon nor by the trees.
+    lexicon = learn_lexicon(sample.filter("part > 0").drop("part") if split else sample.drop("part"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    fitted = stored(with_features(sample, lexicon).drop("text").coalesce(4), "features")
-    fitted = assembler.transform(fitted).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)))
-    fold, rest = fitted.filter("part > 0"), fitted.filter("part = 0")
-    if len(fold.select("toxic").distinct().take(2)) < 2 or len(rest.select("toxic").distinct().take(2)) < 2:
-        fold = rest = fitted
+    fitted = assembler.transform(stored(with_features(sample, lexicon).drop("text").coalesce(4), "features"))
+    fold, rest = (fitted.filter("part > 0"), fitted.filter("part = 0")) if split else (fitted, fitted)
     boosting = GBTClassifier(
         featuresCol="_features", labelCol="toxic", predictionCol="_predicted", maxIter=15, maxDepth=3, stepSize=0.2, seed=1,
         minInstancesPerNode=2)
@@ -189,9 +191,10 @@ def with_scores(
 
     curve = IsotonicRegression(featuresCol="_chance", labelCol="toxic", predictionCol="_score").fit(
         chance(rest).select("_chance", F.col("toxic").cast("double").alias("toxic")))
-    scored = curve.transform(chance(assembler.transform(with_features(docs, lexicon, text_col))))
+    rows, names = unnamed(docs)
+    scored = curve.transform(chance(assembler.transform(with_features(rows, lexicon, names[text_col]))))
     score = F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0))
-    return scored.select(*docs.columns, score.alias(score_col))
+    return scored.select(*names.values(), score).toDF(*docs.columns, score_col)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -204,7 +207,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
-    return with_scores(docs, labels, id_col, text_col, score_col="_tox").filter(F.col("_tox") < threshold).select(*docs.columns)
+    free = next(name for name in (f"score_{i}" for i in range(len(docs.columns) + 1)) if name not in docs.columns)
+    return with_scores(docs, labels, id_col, text_col, score_col=free).filter(F.col(free) < threshold).select(*docs.columns)
 
 
 @register("op3_toxicity")
