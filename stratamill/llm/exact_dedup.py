@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.llm.registry import register, table
-from stratamill.llm.shared import map_batches, slices, stored
+from stratamill.llm.shared import map_batches, slices, stored, unnamed
 
 #: Bytes of content that one table may hold.
 TABLE_BYTES = 24 << 20
@@ -188,11 +188,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat identifier and content, one stays."""
     _, groups = content_groups(docs, id_col, text_col, budget)
-    groups = groups.select(F.col("keep_id").alias("_keep_id"), F.col("digest").alias("_digest"))
-    named = docs.withColumn("_digest", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
-    kept = named.join(
-        groups, (named["_digest"] == groups["_digest"]) & F.col(id_col).cast("long").eqNullSafe(F.col("_keep_id")), "left_semi")
-    return kept.dropDuplicates([id_col, "_digest"]).select(*[docs[c] for c in docs.columns])
+    rows, names = unnamed(docs)
+    rows = rows.withColumns({"doc_id": F.col(names[id_col]).cast("long"), "digest": F.sha2(normalised(F.col(names[text_col])).cast("binary"), 256)})
+    kept = rows.join(
+        groups.select("keep_id", F.col("digest").alias("kept")),
+        (F.col("digest") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "digest"]).select(*names.values()).toDF(*docs.columns)
 
 
 OP4_SQL = """

@@ -1,16 +1,15 @@
-"""Substring deduplication: repeated stretches of words, by sparse suffix trees split by prefixes.
+"""Substring deduplication: equal windows of words found by a hash join on their least gram (a minimiser).
 
-Suffixes of all texts are sampled where content says so: a window of ``window`` words belongs to the sampled suffix whose
-first ``gram`` words have the least hash of all grams in the window, so equal windows belong to equal prefixes. The suffixes are
-split into groups by their prefix. A prefix that starts suffixes of one document only is a leaf and is left out; a frequent prefix is
-made longer, up to whole windows, so that a group fits memory and no hot passage meets in one group. The rest of the
-tree is resolved to the depth that matters: a node ``window`` words deep with leaves of several documents is a repeat,
-and neighbouring nodes make up the maximal repeats, which are returned as ranges of words. Within a node the smallest
-document keeps its words.
+This is not the prescribed suffix tree; the README says why, with figures. A window of ``window`` words is keyed by
+the least hash among its grams of ``gram`` words, so equal windows have equal keys, and neighbouring windows mostly share theirs. A key that
+lies in one document only is left out; a frequent key is replaced by the hash of the whole window, so that no hot passage meets
+under one key. Under a key, windows are compared by 64-bit fingerprints of all their words; of equal ones, those of the
+smallest document stay. Overlapping windows make up the ranges of words that are returned, so a repeat of any length of
+``window`` words or more is found whole.
 
-The set of repeated prefixes goes to the tasks as a bitmap of fixed size; where it is full, more suffixes than needed are
+The set of repeated keys goes to the tasks as a bitmap of fixed size; where it is full, more windows than needed are
 dealt out, with the same result. Each slice of a task first settles the repeats within itself, so a passage that most
-documents hold sends few leaves.
+documents hold sends few rows.
 
 Defined results: null text has no words. Repeated rows have equal identifiers, none of which is smaller, and keep their words.
 A null identifier is larger than all others.

@@ -139,7 +139,7 @@ def test_banded_distance(spark, most):
         assert r.w == (brute.distance(r.a, r.b) <= most)
 
 
-@pytest.mark.parametrize("many", [3, line_dedup.MANY])
+@pytest.mark.parametrize("many", [1, 3, line_dedup.MANY])
 def test_lines(docs, many):
     rng = random.Random(1)
     base = ["".join(rng.choices("abcde ", k=rng.randrange(18, 32))) for _ in range(8)]
@@ -181,3 +181,111 @@ def test_line_query_covers_all(spark, small, documents):
     got = queries.QUERIES["op8_line_dedup"](spark, small)
     assert got.count() == documents.count()
     assert got.filter(F.col("n_equal") + F.col("n_near") > F.col("n_lines")).count() == 0
+
+
+# Names, nulls and repeated rows.
+INTERNAL = (
+    "_digest", "_keep_id", "digest", "keep_id", "kept", "_lost", "lost", "_doc", "_tox", "_features", "_hits", "_chance", "_score", "_probability",
+    "component_id", "root", "copies", "class", "part", "given_0", "given_7", "score", "score_0", "hit_rate", "at", "place", "first", "nth", "n")
+
+
+def _crowded(spark, pairs):
+    """Rows with an extra column under every name that is used inside, all of which hold the row's number."""
+    from stratamill.llm import toxicity
+
+    names = [*dict.fromkeys([*INTERNAL, *toxicity.FEATURES])]
+    rows = [(i, t, *[k] * len(names)) for k, (i, t) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+
+
+NEAR = [" ".join(f"w{i}" if i != k else "other" for i in range(90)) for k in (200, 85, 40)]
+
+
+def test_no_name_clashes(spark):
+    from stratamill.llm import exact_dedup, jaccard, line_dedup, secret_scan, toxicity
+
+    pairs = [(1, NEAR[0]), (2, NEAR[1]), (3, "a  b"), (4, "a b"), (5, None), (6, "x"), (6, "y\nx")]
+    df = _crowded(spark, pairs)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 7)], "doc_id long, quality int, toxic int")
+    for made, ids in [
+        (exact_dedup.exact_dedup(df), [1, 2, 3, 5, 6, 6]), (jaccard.keep_one(df), [1, 3, 5, 6, 6]), (line_dedup.dedup_lines(df), [1, 2, 3, 4, 5, 6, 6]),
+        (toxicity.reject_toxic(df, labels, threshold=2.0), [1, 2, 3, 4, 5, 6, 6]), (secret_scan.redact_documents(df), [1, 2, 3, 4, 5, 6, 6]),
+    ]:
+        assert made.dtypes == df.dtypes
+        rows = made.collect()
+        assert sorted(r.doc_id for r in rows) == ids
+        for r in rows:  # the user's values, unchanged
+            assert len({r[c] for c in df.columns[2:]}) == 1 and pairs[r["n"]][0] == r.doc_id
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_keep_one_by_row(spark, docs, seed):
+    from stratamill.llm import jaccard
+
+    cases = [
+        ([(5, NEAR[0]), (6, NEAR[1]), (6, "other")], [(5, 0), (6, 2)]),
+        ([(None, NEAR[0]), (None, NEAR[1])], [(None, None)]),
+        ([(None, NEAR[0]), (3, NEAR[1]), (9, NEAR[0])], [(3, 1)]),
+        ([(5, NEAR[0]), (5, NEAR[1])], [(5, None)]),
+        ([(5, NEAR[0])] * 3, [(5, 0)]),
+        ([(None, NEAR[0])] * 3, [(None, 0)]),
+        ([(1, None), (1, ""), (None, " "), (None, None)], [(1, 0), (1, 1), (None, 2), (None, 3)]),
+        ([], []),
+    ]
+    order = random.Random(seed)
+    for pairs, want in cases:
+        shuffled = order.sample(pairs, len(pairs))
+        got = sorted((repr(r.doc_id), r.text) for r in jaccard.keep_one(docs(shuffled)).collect() if r.text)
+        texts = sorted((repr(i), pairs[at][1] if at is not None else None) for i, at in want if at is None or pairs[at][1])
+        assert [i for i, _ in got] == [i for i, _ in texts]
+        assert all(t is None or t == g for (_, g), (_, t) in zip(got, texts))
+    assert jaccard.keep_one(docs(cases[6][0])).count() == 4
+
+
+@pytest.mark.parametrize("kind", ["random", "path", "hub", "copies"])
+def test_components(spark, monkeypatch, kind):
+    from stratamill.llm import shared
+
+    monkeypatch.setattr(shared, "HUB_EDGES", 10)
+    rng = random.Random(kind)
+    edges = {
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(300)], "path": [(i, i + 1) for i in rng.sample(range(300), 299)],
+        "hub": [(7, rng.randrange(500)) for _ in range(300)] + [(450 + i, 450 + i + 1) for i in range(40)] + [(900, i) for i in range(3, 200, 9)],
+        "copies": [(i // 5, i % 5) for i in range(40)] * 3,
+    }[kind]
+    parent: dict = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = [tuple(r) for r in shared.components(df).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    named = df.selectExpr("CAST(printf('%04d', a) AS BINARY) AS a", "CAST(printf('%04d', b) AS BINARY) AS b")
+    assert {int(bytes(r.node)): int(bytes(r.root)) for r in shared.components(named).collect()} == want
+    assert shared.components(df.limit(0)).collect() == []
+
+
+def test_letter_parities_bound_edits(spark):
+    rng = random.Random(8)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rng.choices("etaoin xyz.,éÉ漢E", k=rng.randrange(20, 40)))
+        b = list(a)
+        for _ in range(2):
+            i = rng.randrange(len(b))
+            b[i:i + rng.randrange(2)] = rng.choice(["", "a", "z", "漢"])
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = df.select("a", line_dedup.letter_parities("a").alias("x"), line_dedup.letter_parities("b").alias("y"))
+    masks = line_dedup.parity_groups(2)
+    assert sum(masks) == (1 << len(line_dedup.LETTERS)) - 1
+    for r in df.collect():
+        assert r.x == sum((r.a.count(c) & 1) << i for i, c in enumerate(line_dedup.LETTERS))
+        assert bin(r.x ^ r.y).count("1") <= 4 and any(r.x & m == r.y & m for m in masks)

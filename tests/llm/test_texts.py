@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratamill.llm import bpe, chat, packing, quality, queries, secret_scan, tokens, toxicity
+from stratamill.llm.shared import stored
 
 ODD = ["", " ", "  a  b", f"a {tokens.END_OF_TEXT}b c" * 9, "\n\n x\t y ", "x" * 5000 + " y", " " * 3000 + "a", "é ê  ü 漢字😀", "don't we'll  go\n"]
 
@@ -203,7 +204,7 @@ def test_chat_windows(spark):
     strings = ["<turn>", "</turn><turn>assistant<says>", "\\1", "\\", "<", "</s>[INST] ok [/INST]", None, "", "a\nb", "😀 é"]
     convs = {}
     for c in range(40):
-        rows = [(0, "system", "be kind " * rng.randrange(4))] if c % 3 == 0 else []
+        rows = [(0, "system", "be kind " * rng.choice([0, 1, 3, 20, 45, 70]))] if c % 3 == 0 else []
         for t in range(1, rng.randrange(2, 40)):
             text = rng.choice(strings) if rng.random() < 0.4 else "word " * rng.choice([1, 5, 30, 60, 200])
             rows.append((t, ("user", "assistant", None)[t % 2 if rng.random() < 0.95 else 2], text))
@@ -211,14 +212,19 @@ def test_chat_windows(spark):
     convs[None] = [(1, "user", "x"), (1, "user", "x"), (2, "assistant", "y")]
     df = spark.createDataFrame([(c, t, r, x, 1) for c, rows in convs.items() for t, r, x in rows],
                                "conv_id long, turn long, role string, text string, window int")
-    made = chat.windows(df, budget=100, history=20)
+    made, histories = chat.windows(df, budget=100, history=20), []
     for r in made.collect():
         fresh = r.text[r.fresh_from:]
-        cost = sum(len(x.split("<says>")[1].split()) + chat.MARKS for x in r.text.split("</turn>") if x)
-        assert cost <= 100 or fresh.count("<turn>") == 1 or convs[r.conv_id][0][1] == "system"
+        costs = [len(x.split("<says>")[1].split()) + chat.MARKS for x in r.text.split("</turn>") if x]
+        system = convs[r.conv_id][0][1] == "system"
+        # Beyond the budget only where the system turn and one turn alone are; then there is no history.
+        alone = fresh.count("<turn>") == 1 and len(costs) <= 1 + (system and r.window > 0)
+        assert sum(costs) <= 100 or alone, (r.conv_id, r.window, costs)
+        histories.append(sum(costs[system:]) - sum(costs[-fresh.count("<turn>"):]) if r.window else 0)
         assert all(r.fresh_from <= s.start <= s.end <= len(r.text) for s in r.loss)
         if r.window and convs[r.conv_id][0][1] == "system":
             assert r.text.startswith("<turn>system<says>")
+    assert 0 < max(histories) <= 20
     back = {r.conv_id: r for r in chat.read_back(made).collect()}
     assert set(back) == set(convs)
     for c, rows in convs.items():
@@ -272,6 +278,23 @@ def test_wrapped_secrets():
                     assert secret_scan.scan(secret_scan.redact(text))[1] == [], (name, width, end, text[:20])
 
 
+def test_glued_and_wide_base64():
+    rng = random.Random(5)
+    for inner in (f"hello {SECRET} bye", SECRET, f"x {SECRET}"):
+        wide = [inner.encode("utf-16"), inner.encode("utf-16-le"), inner.encode("utf-16-be")]
+        packed = [gzip.compress(inner.encode()), bz2.compress(inner.encode()), zlib.compress(inner.encode(), 1), zlib.compress(inner.encode(), 9)]
+        for raw in [inner.encode(), base64.b64encode(inner.encode()), *wide, *packed]:
+            for _ in range(4):
+                code = base64.b64encode(raw).decode().rstrip("=")
+                glued = "".join(rng.choices("abcXYZ019/+_-", k=rng.randrange(1, 9))) + rng.choice(["", "/", "-"])
+                for text in (f"see {glued}{code} end", f"see {glued}{code}", f"see {code}A end", f"see {code} end"):
+                    found = secret_scan.scan(text)[1]
+                    assert [s[0] for s in found if s[0] == "assign"], (inner, raw[:12], text)
+                    start = text.index(code)
+                    assert all(start - 4 <= a and b <= start + len(code) + 4 for k, a, b in found if k == "assign" and raw == inner.encode())
+                    assert secret_scan.scan(secret_scan.redact(text))[1] == [], text
+
+
 def test_whole_layers_are_searched():
     rng = random.Random(4)
     lines = "\n".join("".join(rng.choices("ghxyz .,", k=60)) for _ in range(300)).encode()
@@ -330,7 +353,7 @@ def test_secret_query(spark, small, texts):
 def test_pipeline(spark, small, documents):
     docs, sizes = documents, []
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(stage(spark, docs, small), "stage")
+        docs = stored(stage(spark, docs, small), "stage")
         assert docs.dtypes == documents.dtypes
         sizes.append(docs.count())
     rows = docs.collect()
@@ -339,5 +362,7 @@ def test_pipeline(spark, small, documents):
     assert sum(root != doc for doc, (_, root) in linked.items()) <= 1
     assert sorted(sizes, reverse=True) == sizes and 0.6 * documents.count() < sizes[-1] < documents.count()
     assert all(secret_scan.scan(r.text or "")[0] == [] for r in rows)
+    whole = corpus_pipeline.run(spark, small)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small)
+    assert whole.columns == packed.columns and whole.count() == packed.count()
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in rows}
