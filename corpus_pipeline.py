@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents go, of exact and near copies one stays, secrets are taken out, and the rest is packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-stage's ``docs``. All but the last return the columns of ``documents``.
+stage's ``docs``. All but the last return the columns of ``documents``. What a stage stores on its way is deleted when its
+result is written, and that when the next stage's is.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratamill.llm import exact_dedup, jaccard, packing, secret_scan, toxicity
 from stratamill.llm.registry import table
-from stratamill.llm.shared import stored
+from stratamill.llm.shared import release, stored_result
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the documents that stay."""
-    docs = table(spark, sf_dir, "documents")
+    given = docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        before, docs = docs, stored_result(lambda: stage(spark, docs, sf_dir), spark, f"stage-{name.replace(' ', '-')}")  # noqa: B023
+        if before is not given:
+            release(before)
     return docs
