@@ -3,7 +3,7 @@
 A line of length l is split into ``distance + 1`` segments of nearly equal length. Two lines within the distance share one
 segment of the shorter line, at places that length difference and segment number confine; so every different line is put into an
 index under its segments, and probes the index with those of its substrings. What meets, and does not differ in the parities of too
-many letters' numbers, is verified by a banded bit-parallel edit distance:
+many characters' numbers, is verified by a banded bit-parallel edit distance:
 a column of the band is a few bits of one integer, and each character moves it by a handful of bit operations.
 
 A line is dropped if it is equal to an earlier line, or within the distance of one (lines are judged on the input, so a
@@ -29,8 +29,6 @@ from stratamill.llm.registry import register, table
 from stratamill.llm.shared import stored, unnamed
 
 DISTANCE, LEAST = 2, 20
-#: Characters (one byte each) whose parities are compared, the frequent ones first.
-LETTERS = "etaoinsrhldcumfpgwybvkxjqz ,.-'"
 #: Lines that share a segment from which on they are first compared with the earliest ``FIRST`` alone.
 MANY, FIRST = 200, 8
 _PLACE = "decimal(30,0)"
@@ -70,19 +68,18 @@ def keys_of(line: str, distance: int = DISTANCE) -> Column:
 
 
 def letter_parities(line: str) -> Column:
-    """One bit for each of ``LETTERS``: is its number odd? An edit changes the numbers of two characters at most, so the bits of
-    lines within a distance differ in twice as many places at most."""
-    text, size = F.col(line), F.octet_length(line)
-    bits = [
-        F.call_function("shiftleft", (size - F.octet_length(F.replace(text, F.lit(c)))).bitwiseAND(F.lit(1)).cast("long"), F.lit(i))
-        for i, c in enumerate(LETTERS)]
-    return functools.reduce(lambda x, y: x.bitwiseOR(y), bits)
+    """One bit for each of 64 kinds of characters: is their number odd? An edit changes the numbers of two kinds at most, so the
+    bits of lines within a distance differ in twice as many places at most."""
+    kinds = F.transform(F.split(F.col(line), ""), lambda c: F.ascii(c).bitwiseAND(F.lit(63)))
+    zero = F.lit(0).cast("long")
+    return F.aggregate(kinds, zero, lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
 
 
 def parity_groups(distance: int = DISTANCE) -> list[int]:
     """Masks that deal the parities out to one group more than can differ: near lines agree in one group at least."""
     n = 2 * distance + 1
-    return [sum(1 << i for i in range(k, len(LETTERS), n)) for k in range(n)]
+    masks = [sum(1 << i for i in range(k, 64, n)) for k in range(n)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
 def within(a: str, b: str, distance: int = DISTANCE) -> Column:
