@@ -131,6 +131,17 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield forest.edges(batch.schema.field("u").type)
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All edges, a bounded number, as stars."""
+    forest, kind = _Forest(), None
+    for batch in batches:
+        kind = batch.schema.field("u").type
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            forest.join(u, v)
+    if kind is not None:
+        yield forest.edges(kind)
+
+
 def _large_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Neighbours ``y`` of each vertex ``x``, in order: the larger ones are pointed at the smallest (``x`` included).
 
@@ -171,6 +182,8 @@ def _small_star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 #: A vertex is a hub when it is the smaller end of more than this share of all edges, and of so many at least.
 HUB_SHARE, HUB_EDGES = 0.002, 1000
+#: So many edges (a few megabytes) are settled by one task at once.
+FEW_EDGES = 200_000
 
 
 def components(edges: DataFrame, purpose: str = "components", most_rounds: int = 60) -> DataFrame:
@@ -180,7 +193,7 @@ def components(edges: DataFrame, purpose: str = "components", most_rounds: int =
     are streamed, never gathered. Tasks thin what they send to forests, so that a vertex is the larger end of at most one edge
     a batch. Edges of hubs (at most 1 / ``HUB_SHARE`` vertices) are not shuffled to their hub: its smallest neighbour is
     broadcast instead. A round is stored before the next begins; it ends when the edges were stars, which the large-star step
-    sees itself. Returns ``node``, ``root``.
+    sees itself. As soon as no more than ``FEW_EDGES`` edges are left, one task settles them. Returns ``node``, ``root``.
     """
     spark = edges.sparkSession
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")
@@ -193,6 +206,10 @@ def components(edges: DataFrame, purpose: str = "components", most_rounds: int =
 
     edges, n = counted(map_batches(edges, _thin, shape))
     for _ in range(most_rounds):
+        if n <= FEW_EDGES:
+            before, (edges, n) = edges, counted(map_batches(edges.coalesce(1), _settle, shape))
+            release(before)
+            break
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
         hubs, rest = [], []
         if n > HUB_EDGES:
