@@ -114,7 +114,8 @@ def certified_cutoffs(
         "_stratum", "_nth", F.array(*[F.col("joint")[f"r{i}"] for i in range(len(rules))]).alias("cuts"))
 
     def met(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(cuts), F.col("stratum").eqNullSafe(F.col("_stratum")))
+        # Broadcast by Spark as long as the cutoffs, a few rows a stratum, are few.
+        return rows.join(cuts, F.col("stratum").eqNullSafe(F.col("_stratum")))
 
     # A rule stays in a joint cutoff if it turns away more bad than good documents of the proposing half by itself.
     alone = met(rated.filter("not held_out"), proposed).groupBy("_stratum", "_nth", "cuts").agg(F.array(*[
