@@ -54,8 +54,6 @@ _HEADER = re.compile(r"H4sI|Qlpo|eJ[w-z]|eN[o-r]|eA[E-H]|eF[4-7]")
 MOST_BYTES = 16 << 20
 #: Compressed bytes given to a decompressor at a time, and what the pieces of a line beyond ``most_bytes`` have in common.
 _FED, _OVERLAP = 1 << 16, 1 << 16
-#: Bytes of binary data up to which each of its characters remembers where it came from; beyond, all have the whole span.
-_MAPPED = 1 << 16
 
 Span = tuple[str, int, int]
 
@@ -160,6 +158,30 @@ class _Same:
         return _Same(self.value, len(range(*i.indices(self.n)))) if isinstance(i, slice) else self.value
 
 
+class _Placed:
+    """For each of ``n`` characters of ``step`` bytes from byte ``begin`` on, the value of the base64 character that starts (or
+    with ``more`` ends) what it was made of; ``first`` and ``last`` are the places of the base64 in its layer. Nothing is
+    stored for a character, so base64 of any length is mapped."""
+
+    __slots__ = ("values", "first", "last", "begin", "step", "more", "n")
+
+    def __init__(self, values, first: int, last: int, begin: int, step: int, more: int, n: int):
+        self.values, self.first, self.last, self.begin, self.step, self.more, self.n = values, first, last, begin, step, more, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self):
+        return (self[i] for i in range(self.n))
+
+    def __getitem__(self, i):
+        if isinstance(i, slice):
+            at = range(self.n)[i]
+            return _Placed(self.values, self.first, self.last, self.begin + self.step * at.start, self.step * at.step, self.more, len(at))
+        byte = self.begin + self.step * range(self.n)[i]
+        return self.values[min(self.first + byte // 3 * 4 + self.more, self.last)]
+
+
 def _opener(raw: bytes):
     """A decompressor for what begins with ``raw``, or None."""
     if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
@@ -270,14 +292,14 @@ def _unwrapped(layer: Layer, most: int) -> Iterator[Layer | tuple[int, int]]:
 
             def piece(begin: int, step: int, inner: str, shift: int = shift) -> Layer:
                 """Characters of ``step`` bytes each from byte ``begin`` on, with the base64 characters that they were made of."""
-                at = [m.start() + shift + (begin + step * i) // 3 * 4 for i in range(len(inner))]
-                last = m.end() - 1
-                return Layer(inner, [layer.starts[i] for i in at], [layer.ends[min(i + 3 + (step > 1), last)] for i in at], [True] * len(inner))
+                first, last, n = m.start() + shift, m.end() - 1, len(inner)
+                starts = _Placed(layer.starts, first, last, begin, step, 0, n)
+                return Layer(inner, starts, _Placed(layer.ends, first, last, begin, step, 3 + (step > 1), n), _Same(True, n))
 
             if not shift and not raw.translate(None, _PRINTABLE):
                 yield piece(0, 1, raw.decode("ascii"))
                 break
-            if not shift and len(raw) <= _MAPPED and not _opener(raw[:3]):
+            if not shift and not _opener(raw[:3]):
                 # Read as Latin-1, every byte is a character of its own; finds are ASCII in either reading.
                 yield piece(0, 1, raw.decode("latin-1"))
             elif not shift:

@@ -366,3 +366,19 @@ def test_pipeline(spark, small, documents):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small)
     assert whole.columns == packed.columns and whole.count() == packed.count()
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in rows}
+
+
+def test_spans_do_not_depend_on_the_size_of_a_layer():
+    """Binary base64 of any length gives a find the span of its own characters, not that of the whole layer."""
+    for size in (1_000, 40_000, 70_000, 300_000):
+        raw = b"\x00\xff\x01 " * (size // 8) + b"\n" + SECRET.encode() + b"\n" + b"\x00\xff\x01 " * (size // 8)
+        code = base64.b64encode(raw).decode()
+        _, found, unopened = secret_scan.scan(f"see {code} end")
+        spans = [(a, b) for kind, a, b in found if kind == "assign"]
+        assert unopened == 0 and len(spans) == 1, size
+        start, end = spans[0]
+        assert end - start <= len(SECRET) * 4 // 3 + 12, (size, spans)
+        assert SECRET.split("=")[0].encode() in base64.b64decode(code[start - 4:end - 4 + (start - end) % 4]), size
+        wide = base64.b64encode(b"\x00\xff\x01 " * (size // 8) + base64.b64encode(b"\x00\xff " + SECRET.encode() + b"\n") + b"\xff").decode()
+        (_, a, b), = {s for s in secret_scan.scan(f"see {wide} end")[1] if s[0] == "assign"}
+        assert b - a <= len(SECRET) * 16 // 9 + 24, (size, a, b)
