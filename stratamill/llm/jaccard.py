@@ -8,9 +8,11 @@ from a size histogram and a sketch of shingle counts. The sketch has a fixed siz
 shingles, so its errors cost time and never links.
 
 Short lists give all their pairs of fitting sizes. Long ones (hot ones are salted) are kept as rows, and each class is
-first compared with a few pivots of its longest list; while many pairs are left in different components, with further
-pivots, and at last every such pair is compared once. So near copies in thousands need few pairs, and no link is lost.
-Pairs must pass a bound on the symmetric difference from parity bitmaps, and are then verified on the complete sets.
+first compared with a few pivots of its longest list; while that brings many pairs into one component, with further
+pivots, and at last every pair that is still in two is judged once. So near copies in thousands need few pairs, and no link is
+lost. Pairs must pass a bound on the symmetric difference from parity bitmaps, and are then verified on the complete sets.
+The last step compares the bitmaps, folded to ``CELLS_COMPARED`` parities, block by block within tasks: pairs that they rule
+out cost a few machine instructions and are never rows.
 
 Defined results: null or empty text has no shingles and is linked with nothing. Repeated rows and rows with null identifiers
 are returned each; ``component_id`` is the smallest identifier that is not null, or null if there is none.
@@ -43,8 +45,11 @@ CELLS, BLOCKS = 1 << 22, 64
 MOST_SMALL, PAIR_COST = 16, 4
 #: Members of a list that gives all its pairs at once; members of one salted part of a hot list; pivots of a long list.
 SHORT_LIST, PART_ROWS, PIVOTS = 64, 20_000, 8
-#: Pivots are tried again, at most so many times, while more than ``FEW_PAIRS`` pairs per list entry are in different components.
-PIVOT_ROUNDS, FEW_PAIRS = 6, 200
+#: Pivots are tried again, at most so many times, while more than ``FEW_PAIRS`` pairs per list entry are in different components
+#: and the last time left no more than ``HELPED`` of them.
+PIVOT_ROUNDS, FEW_PAIRS, HELPED = 6, 200, 0.7
+#: Parities that a bitmap has at least; members of a list that a task holds, and those it compares with these at a time.
+CELLS_COMPARED, DEALT, COMPARED = 1024, 4_000, 256
 
 
 def overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -76,8 +81,8 @@ def boundary(histogram: dict[int, int], list_length: float, percent: int = PERCE
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles' counts in a power of two of cells, about two for each shingle."""
-    cells = max(64, 1 << int(2 * max(1, len(shingles)) - 1).bit_length())
+    """Parities of the shingles' counts in a power of two of cells, about two for each shingle or more."""
+    cells = max(CELLS_COMPARED, 1 << int(2 * max(1, len(shingles)) - 1).bit_length())
     at = (mixed(shingles) & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=cells) & 1).astype(np.uint8).tobytes()
 
@@ -92,6 +97,13 @@ def may_link(left: bytes, right: bytes, a: int, b: int, percent: int = PERCENT)
     return int(np.bitwise_count(x ^ y).sum()) <= a + b - 2 * overlap(a, b, percent)
 
 
+def _folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps folded to ``CELLS_COMPARED`` parities each, as rows of numbers."""
+    words = CELLS_COMPARED // 64
+    rows = [np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, words)) for b in bitmaps]
+    return np.array(rows, np.uint64).reshape(-1, words)
+
+
 def _class(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -224,6 +236,45 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int, short_list: int) -> I
         yield from work(held, True)
 
 
+def _compare_parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key, part and whether they are the part's own, those first. Each row after them is compared with the
+    part's own: pairs in two components that bitmaps and sizes let be linked, each from the side of its smaller class."""
+    current, held = None, []
+
+    def columns(batch: pa.RecordBatch, rows: slice) -> tuple[np.ndarray, ...]:
+        part = batch.slice(rows.start, rows.stop - rows.start)
+        return (part.column("n").to_numpy().astype(np.int64), _classes(part.column("class")), _classes(part.column("root")),
+                _folded(part.column("bitmap").to_pylist()))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, part, met = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "met"))
+        new = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (met[1:] != met[:-1])) + 1
+        for start, stop in zip([0, *new], [*new, len(key)]):
+            if (key[start], part[start]) != current:
+                current, held = (key[start], part[start]), []
+            if not met[start]:
+                held.append(columns(batch, slice(start, stop)))
+                continue
+            if not held:
+                continue
+            held = [tuple(np.concatenate(x) for x in zip(*held))]
+            n, own, root, bits = held[0]
+            for low in range(start, stop, COMPARED):
+                n_b, other, root_b, bits_b = columns(batch, slice(low, min(low + COMPARED, stop)))
+                differ = np.zeros((len(n), len(n_b)), np.uint16)
+                for w in range(bits.shape[1]):
+                    differ += np.bitwise_count(bits[:, w, None] ^ bits_b[None, :, w])
+                both = n[:, None] + n_b[None, :]
+                i, j = np.nonzero(differ <= both - 2 * -(-percent * both // (100 + percent)))
+                smaller = (own[i, 0] < other[j, 0]) | (own[i, 0] == other[j, 0]) & (own[i, 1] < other[j, 1])
+                fits = smaller & (root[i] != root_b[j]).any(axis=1)
+                fits &= 100 * np.minimum(n[i], n_b[j]) >= percent * np.maximum(n[i], n_b[j])
+                if fits.any():
+                    yield pa.RecordBatch.from_arrays([_raw(own[i[fits]]), _raw(other[j[fits]])], names=["a", "b"])
+
+
 class Join:
     """One run of the join over ``docs`` (``doc_id``, ``text``)."""
 
@@ -325,19 +376,23 @@ class Join:
         pairs = met.filter("b is not null").select("a", "b")
         if long.isEmpty():
             return components(self.verified(pairs))
-        roots = components(self.verified(pairs.unionByName(self._with_pivots(long, 0))))
+        alone = long.withColumn("root", F.col("class"))
+        roots = components(self.verified(pairs.unionByName(self._with_pivots(alone, 0))))
+        before = None
         for round_no in range(1, PIVOT_ROUNDS + 2):
             labelled = long.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
                 "key", "n", "class", F.coalesce("root", "class").alias("root"))
             parts = labelled.groupBy("key", "root").count().groupBy("key").agg(
                 F.sum("count").alias("members"), F.sum(F.col("count") * F.col("count")).alias("inside"))
             parts = stored(parts.filter(F.col("members") * F.col("members") > F.col("inside")), "open")
-            members, apart = parts.agg(
-                F.sum("members"), F.sum((F.col("members") * F.col("members") - F.col("inside")) / 2)).first()
+            square = F.col("members") * F.col("members")
+            members, every, apart = parts.agg(
+                F.sum("members"), F.sum((square - F.col("members")) / 2), F.sum((square - F.col("inside")) / 2)).first()
             if not members:
                 break
-            left = stored(labelled.join(parts.select("key"), "key", "left_semi"), "apart")
-            last = round_no > PIVOT_ROUNDS or apart <= FEW_PAIRS * members
+            left = stored(labelled.join(parts.select("key", "members"), "key"), "apart")
+            helped = apart <= HELPED * (every if before is None else before)
+            last, before = round_no > PIVOT_ROUNDS or apart <= FEW_PAIRS * members or not helped, apart
             pairs = self._apart(left) if last else self._with_pivots(left, round_no)
             stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = components(stars.unionByName(self.verified(pairs)))
@@ -351,21 +406,24 @@ class Join:
     def _with_pivots(self, left: DataFrame, round_no: int) -> DataFrame:
         """Pairs of each class with a few pivots of the longest list it is in."""
         sizes = left.groupBy("key").agg(F.count("*").alias("size"))
-        own = left.join(sizes, "key").groupBy("class", "n").agg(F.max(F.struct("size", "key")).alias("best"))
-        own = own.select("class", "n", F.col("best.key").alias("key"))
+        own = left.join(sizes, "key").groupBy("class", "n", "root").agg(F.max(F.struct("size", "key")).alias("best"))
+        own = own.select("class", "n", "root", F.col("best.key").alias("key"))
         order = Window.partitionBy("key").orderBy(F.xxhash64("class", F.lit(round_no)), "class")
         pivots = left.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PIVOTS)
-        pivots = pivots.select("key", F.col("n").alias("n_b"), F.col("class").alias("b"))
-        return own.join(pivots, "key").filter(self._fit() & (F.col("class") != F.col("b"))).select(F.col("class").alias("a"), "b")
+        pivots = pivots.select("key", F.col("n").alias("n_b"), F.col("class").alias("b"), F.col("root").alias("root_b"))
+        return own.join(pivots, "key").filter(self._fit() & (F.col("root") != F.col("root_b"))).select(F.col("class").alias("a"), "b")
 
     def _apart(self, left: DataFrame) -> DataFrame:
-        """Every pair of fitting sizes that shares a list and is in two components, in the first list it shares."""
-        keys = left.groupBy("class").agg(F.collect_set("key").alias("keys"))  # fewer than a set has shingles
-        left = stored(left.join(keys, "class"), "apart")
-        other = left.select("key", F.col("n").alias("n_b"), F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("keys").alias("keys_b"))
-        first = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
-        met = (F.col("class") < F.col("b")) & (F.col("root") != F.col("root_b")) & self._fit() & first
-        return left.join(other, "key").filter(met).select(F.col("class").alias("a"), "b")
+        """Every pair of fitting sizes that shares a list, is in two components and may be linked by its bitmaps. A long list is
+        dealt by its members: a task holds some of them, and the whole list goes by."""
+        percent = self.percent
+        parts = F.ceil(F.col("members") / DEALT).cast("int")
+        left = left.join(self.classes.select("class", "bitmap"), "class").withColumn("parts", parts)
+        own = left.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("met", F.lit(False))
+        met = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("met", F.lit(True))
+        dealt = own.unionByName(met).select("key", "part", "met", F.col("n").cast("long").alias("n"), "class", "root", "bitmap")
+        dealt = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "met")
+        return map_batches(dealt, lambda b: _compare_parts(b, percent), "a binary, b binary").distinct()
 
 
 def link_documents(

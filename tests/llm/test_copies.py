@@ -73,6 +73,27 @@ def test_jaccard_sizes(docs, short):
     assert got == brute.jaccard_components(pairs)
 
 
+@pytest.mark.parametrize("dealt", [16, 4000])
+def test_pairs_of_a_group_near_the_threshold(docs, monkeypatch, dealt):
+    """Copies that share long lists but mostly are no links: pairs that bitmaps rule out are never rows."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(90)]
+    pairs = []
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 2, 2, 2, 2, 3])):
+            words[at] = f"x{rng.randrange(10**6)}"
+        pairs.append((i, " ".join(words)))
+    monkeypatch.setattr(jaccard, "DEALT", dealt, raising=False)
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", 10**6)
+    found, verified = [], jaccard.Join.verified
+    monkeypatch.setattr(jaccard.Join, "verified", lambda self, p: verified(self, found.append(p.count()) or p))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(docs(pairs), short_list=8).collect()}
+    want = brute.jaccard_components(pairs)
+    assert got == want and len(set(want.values())) > 20
+    assert len(found) > 1 and found[-1] < 1500, found
+
+
 def test_jaccard_edge_rows(docs):
     text = "a b c d e f g"
     got = jaccard.link_documents(docs([(None, text), (5, text), (4, text), (4, text), (None, None), (9, "z")])).collect()
