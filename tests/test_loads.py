@@ -478,3 +478,16 @@ def test_department_export(spark, tmp_path):
         daily.export_departments(spark, table, path, "2025-03-10")
     got = spark.read.parquet(path)
     assert got.count() == 1 and sorted(got.columns) == sorted(names) and got.columns[:3] == names[1:4]
+
+
+def test_quantiles_gather_counts_only(spark):
+    """All quantiles come from one count per different value; the rows themselves are not brought to one task."""
+    spark.range(20_000).selectExpr("IF(id % 7 = 0, NULL, CAST(sqrt(id) * 3 AS INT)) AS k", "id").createOrReplaceTempView("quantile_rows")
+    query = "SELECT * FROM quantile_rows"
+    found = spark.sql(jdbc.quantile_query(query, "k", 3))
+    n = 3 * jdbc.FINENESS
+    cuts = ", ".join(f"percentile_disc({i / n!r}) WITHIN GROUP (ORDER BY k)" for i in range(1, n))
+    assert list(found.first()) == list(spark.sql(f"SELECT {cuts} FROM ({query}) WHERE k IS NOT NULL").first())
+    assert "percentile" not in found._jdf.queryExecution().executedPlan().toString()
+    assert list(spark.sql(jdbc.quantile_query(f"{query} WHERE id < 0", "k", 3)).first()) == [None] * (n - 1)
+    assert "approx_x(0.5)" in jdbc.quantile_query(query, "k", 1, "approx_x")
