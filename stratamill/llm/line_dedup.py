@@ -31,6 +31,8 @@ from stratamill.llm.shared import stored, unnamed
 DISTANCE, LEAST = 2, 20
 #: Lines that share a segment from which on they are first compared with the earliest ``FIRST`` alone.
 MANY, FIRST = 200, 8
+#: Size of the bitmap of the lines that pairs need (4 MiB).
+BITS = 1 << 25
 _PLACE = "decimal(30,0)"
 
 
@@ -102,6 +104,16 @@ def within(a: str, b: str, distance: int = DISTANCE) -> Column:
     return F.expr(f"aggregate({matches}, {begin}, (s, x) -> {step}, s -> s.d) <= {k}")
 
 
+def among(rows: DataFrame, refs: DataFrame) -> DataFrame:
+    """``rows`` whose ``ref`` may be one of ``refs``: a bitmap of fixed size keeps most others from being shuffled."""
+    at = F.pmod(F.col("ref"), F.lit(BITS)) + 1
+    word, bit = F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+    bits = refs.groupBy(word.alias("_word")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    found = rows.join(F.broadcast(bits), word == F.col("_word"))  # BITS in all
+    byte = F.ascii(F.decode(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+    return found.filter(F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+
+
 def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANCE, many: int = MANY) -> DataFrame:
     """``ref, place`` of lines that are near an earlier one.
 
@@ -118,7 +130,8 @@ def near_earlier(different: DataFrame, every: DataFrame, distance: int = DISTANC
         pairs = stored(pairs.filter("ref_a <> ref_b").select(
             F.least("ref_a", "ref_b").alias("ref_a"), F.greatest("ref_a", "ref_b").alias("ref_b")).distinct(), "pairs")
         needed = pairs.select(F.col("ref_a").alias("ref")).union(pairs.select("ref_b")).distinct()
-        texts = every.withColumn("ref", F.xxhash64("line")).join(needed, "ref", "left_semi")
+        # Not a semi join: Spark would push it below the bitmap's.
+        texts = among(every.withColumn("ref", F.xxhash64("line")), needed).join(needed, "ref")
         texts = stored(texts.groupBy("line").agg(F.min("place").alias("place"), F.first("ref").alias("ref")), "texts")
         side = lambda x: texts.select(F.col("ref").alias(f"ref_{x}"), F.col("place").alias(f"place_{x}"), F.col("line").alias(x))
         both = pairs.join(side("a"), "ref_a").join(side("b"), "ref_b")

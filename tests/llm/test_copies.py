@@ -314,3 +314,15 @@ def test_letter_parities_bound_edits(spark):
     for r in df.collect():
         assert r.x % (1 << 64) == functools.reduce(operator.xor, [1 << (ord(c) & 63) for c in r.a])
         assert bin((r.x ^ r.y) % (1 << 64)).count("1") <= 4 and any(r.x & m == r.y & m for m in masks)
+
+
+def test_bitmap_of_needed_lines(spark):
+    """Rows of a needed line all pass, and of the others only a small part goes on to the shuffle."""
+    rows = spark.range(60_000).selectExpr("xxhash64(id) as ref", "id")
+    refs = rows.filter("id % 41 = 0").select("ref")
+    found = line_dedup.among(rows, refs)
+    assert found.columns == rows.columns
+    assert found.join(refs, "ref", "left_semi").count() == refs.count()
+    assert found.count() < 1.1 * refs.count()
+    assert line_dedup.among(rows, refs.limit(0)).count() == 0
+    assert line_dedup.among(spark.sql("select -1L as ref union all select 9223372036854775800L"), spark.sql("select -1L as ref")).count() == 1
