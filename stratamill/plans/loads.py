@@ -14,7 +14,7 @@ from stratamill.operators import changes, ranges, status
 from stratamill.operators.align import empty_text_to_null
 from stratamill.plans import audit, fingerprint
 from stratamill.plans.spec import BUCKET, TableSpec
-from stratamill.session import observed, scratch_space
+from stratamill.session import compiled_methods, observed, scratch_space
 from stratamill.sources import tables
 
 Query = str | Callable[[SparkSession, str], DataFrame]
@@ -153,18 +153,23 @@ def load_master(
         current = changes.change_history(current, as_of, spec.partition_by[0])
         new = only_day(new, spec.partition_by[0], as_of)
     counts = Observation(f"{spec.name} {as_of}")
-    with scratch_space(spark, "load") as folder:
+    with compiled_methods(spark), scratch_space(spark, "load") as folder:
         staged = audit.stage(new, spec, folder)
         known = current
         if spec.hash_buckets and not row_level:
             known = in_buckets(current, buckets_of(staged.rows))
-        changed = _stored(
-            changes.scd1_changes(known, staged.rows, spec.keys, spec.compared, spec.ignore, counts=counts), folder, "changes")
+        first = known.isEmpty()
+        if first:
+            # Nothing to compare with: what is staged is the change set.
+            changed = changes.first_load(staged.rows)
+        else:
+            changed = _stored(
+                changes.scd1_changes(known, staged.rows, spec.keys, spec.compared, spec.ignore, counts=counts), folder, "changes")
         if history:
             day = changes.change_history(spark.table(history), as_of)
             written = changes.upsert(day, changes.change_history(changed, as_of), spec.keys)
             tables.overwrite_partitions(written, history)
-        found = observed(counts)
+        found = {"inserted": staged.total} if first else observed(counts)
         written = {name: int(found.get(name, 0)) for name in ("inserted", "updated")}
         if not any(written.values()):
             return written
@@ -177,12 +182,8 @@ def load_master(
             tables.overwrite_partitions(changes.upsert(current, changed, spec.keys), spec.name)
         else:
             if spec.buckets:
-                # The join of both pictures leaves the stored side in its buckets, and a bucket to one task.
-                complete = staged.keys_not_null and keyless(current, spec).isEmpty()
-                master = changes.scd1(
-                    current, staged.rows, spec.keys, spec.compared, spec.ignore, keys_not_null=complete, bucketed=True)
-            else:
-                master = changes.upsert(current, changed, spec.keys)
+                changed = tables.dealt_to_buckets(changed, spec, sum(written.values()))
+            master = changes.upsert(current, changed, spec.keys)
             tables.swap_table(master, spec.name)
             tables.remove_old_versions(spark, spec.name, keep)
     return written
@@ -224,7 +225,7 @@ def load_versions(
     rules = dict(
         keys=spec.keys, as_of=as_of, compare=spec.compared, ignore=spec.ignore, version_key=version_key, start=start, end=end,
         identifier=identifier, bucketed=bool(spec.buckets))
-    with scratch_space(spark, "load") as folder:
+    with compiled_methods(spark), scratch_space(spark, "load") as folder:
         staged = audit.stage(new, spec, folder)
         rows, complete = staged.rows, staged.keys_not_null
         if row_level:
@@ -279,7 +280,7 @@ def load_version_range(
             raise ValueError(f"{spec.name} has hash buckets: load its days one by one")
         tables.require_unpartitioned(spark, spec.name)
     chosen = slices.where(F.col(date_column).cast("date").between(as_day(first), as_day(last)))
-    with scratch_space(spark, "load") as folder:
+    with compiled_methods(spark), scratch_space(spark, "load") as folder:
         staged = audit.stage(chosen, spec, folder, also=[date_column])
         dimension = spark.table(spec.name)
         if by_end:
@@ -310,7 +311,7 @@ def load_upsert(new: DataFrame, spec: TableSpec) -> None:
     row_level = tables.supports_row_level(spark, spec.name)
     if not (row_level or spec.hash_buckets):
         tables.require_unpartitioned(spark, spec.name)
-    with scratch_space(spark, "load") as folder:
+    with compiled_methods(spark), scratch_space(spark, "load") as folder:
         incoming = audit.stage(empty_text_to_null(new), spec, folder).rows
         if row_level:
             tables.merge_rows(incoming, spec.name, spec.keys)

@@ -23,6 +23,9 @@ VERSIONS = "__versions/"
 TARGET_BYTES = 256 << 20
 MOST_TASKS = 10_000
 
+#: Rows that one task writes to a bucket, about.
+BUCKET_ROWS = 500_000
+
 # Table providers that take MERGE, overwritePartitions and other row-level writes.
 ROW_LEVEL_PROVIDERS = {"iceberg", "delta", "hudi", "paimon"}
 
@@ -79,6 +82,16 @@ def repartition_for_write(df: DataFrame, files: int | None = None, by: Sequence[
     return df.hint("rebalance", *by) if by else df.hint("rebalance")
 
 
+def dealt_to_buckets(df: DataFrame, spec: TableSpec, n_rows: int) -> DataFrame:
+    """``df`` (of ``n_rows`` rows) with a bucket of the table to one task, or to several where it has many rows.
+
+    Buckets go by the same hash as shuffles, so a task of any multiple of their number has rows of one bucket only.
+    """
+    tasks = min(spec.buckets * max(1, -(-n_rows // (spec.buckets * BUCKET_ROWS))), max(MOST_TASKS, spec.buckets))
+    types = {f.name: f.data_type for f in spec.fields}
+    return df.repartition(tasks - tasks % spec.buckets, *[F.col(f"`{k}`").cast(types[k]) for k in spec.keys])
+
+
 _overwriting = threading.Lock()
 
 

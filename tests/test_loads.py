@@ -131,6 +131,52 @@ def test_unchanged_load_writes_no_version(spark, rows, master):
     assert tables.location(spark, spec.name) == place
 
 
+# What a load costs.
+@pytest.mark.parametrize("layout", [{}, {"hash_buckets": 4}, {"buckets": 4}])
+def test_loads_limit_generated_methods(spark, rows, master, layout, monkeypatch):
+    """In a session that compiles methods of any size a load sets the JVM's limit, and takes it back, also after an error."""
+    key, seen, stage = "spark.sql.codegen.hugeMethodLimit", [], audit.stage
+    monkeypatch.setattr(audit, "stage", lambda new, *rest: seen.append(spark.conf.get(key)) or stage(new, *rest))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65535")
+    try:
+        spec = master(**layout)
+        load_master(rows([(1, "a", D1)], SCHEMA), spec, D1)
+        with pytest.raises(quality.QualityError):
+            load_master(rows([(1, "a", D2), (1, "b", D2)], SCHEMA), spec, D2)
+        assert seen == ["8000"] * 2 and spark.conf.get(key) == "65535"
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("layout", [{}, {"hash_buckets": 4}, {"buckets": 4}])
+def test_a_first_load_is_its_own_change_set(spark, rows, master, layout, monkeypatch):
+    from stratamill.plans import loads
+
+    spec, stored = master(**layout), loads._stored
+    monkeypatch.setattr(loads, "_stored", lambda *_: pytest.fail("a first load has nothing to compare"))
+    assert load_master(rows([(1, "a", D1), (2, None, D1), (None, "n", D1)], SCHEMA), spec, D1) == {"inserted": 3, "updated": 0}
+    monkeypatch.setattr(loads, "_stored", stored)
+    assert load_master(rows([(2, "b", D2), (3, "c", D2)], SCHEMA), spec, D2) == {"inserted": 1, "updated": 1}
+    assert content(spark, spec.name, BUCKET) == sorted(
+        [(1, "a", D1, "I"), (2, "b", D2, "U"), (3, "c", D2, "I"), (None, "n", D1, "I")], key=repr)
+
+
+def test_a_bucketed_master_is_compared_once(spark, rows, master, monkeypatch):
+    """The new master is made of the stored change set; many rows of a bucket are written by several tasks, of one bucket each."""
+    monkeypatch.setattr(changes, "scd1", lambda *_, **__: pytest.fail("compared again"))
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 20, raising=False)
+    spec = master(buckets=4)
+    load_master(rows([(i, "a", D1) for i in range(400)], SCHEMA), spec, D1)
+    per_bucket = {}
+    for name in spark.table(spec.name).inputFiles():
+        per_bucket.setdefault(name.rsplit("_", 1)[1].split(".")[0], set()).add(name)
+    assert len(per_bucket) == 4 and {len(f) for f in per_bucket.values()} == {5}
+    assert load_master(rows([(i, "b", D2) for i in range(399, 402)], SCHEMA), spec, D2) == {"inserted": 2, "updated": 1}
+    expected = [(i, "a", D1, "I") for i in range(399)] + [(399, "b", D2, "U"), (400, "b", D2, "I"), (401, "b", D2, "I")]
+    assert content(spark, spec.name) == sorted(expected, key=repr)
+
+
 # Touched buckets.
 def test_untouched_buckets_keep_their_files(spark, rows, master):
     spec = master(hash_buckets=100)
