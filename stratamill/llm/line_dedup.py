@@ -43,38 +43,42 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return each.withColumn("place", (doc * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("at")).cast(_PLACE))
 
 
-def keys_of(line: str, distance: int = DISTANCE) -> Column:
-    """The hashes of a line's ``distance + 1`` segments, then of the substrings by which it finds shorter or equally long
-    lines, as one array; null where a substring would reach over the line's end."""
-    parts = distance + 1
-    size = F.char_length(line)
-
-    def length(total: Column, i: int) -> Column:
-        return (F.floor(total / parts) + (F.lit(i) > parts - total % parts).cast("int")).cast("int")
-
-    def start(total: Column, i: int) -> Column:
-        short = F.floor(total / parts).cast("int")
-        return F.lit(i - 1) * short + F.greatest(F.lit(0), F.lit(i - 1 - parts) + total % parts) + 1
+def with_keys(df: DataFrame, line: str, distance: int = DISTANCE) -> DataFrame:
+    """``df`` with ``keys``: the hashes of a line's ``distance + 1`` segments, then of the substrings by which it finds shorter or
+    equally long lines, as one array; null where a substring would reach over the line's end.
 
-    def key(total: Column, i: int, at: Column) -> Column:
-        piece = F.substring(F.col(line), at, length(total, i))
-        return F.when((at >= 1) & (at + length(total, i) - 1 <= size), F.xxhash64(total, F.lit(i), piece))
-
-    found = [key(size, i, start(size, i)) for i in range(1, parts + 1)]
-    for shorter in range(distance + 1):
-        total = size - shorter
-        for i in range(1, parts + 1):
+    Lengths and starts of the segments are laid out in columns first: they are computed once for a line, not once for a key."""
+    parts = distance + 1
+    totals, numbers = range(distance + 1), range(1, parts + 1)
+    laid = df.withColumn("_size", F.char_length(line))
+    rest = lambda k: F.pmod(F.col("_size") - k, F.lit(parts))
+    laid = laid.withColumns(
+        {f"_rest{k}": rest(k) for k in totals} | {f"_short{k}": ((F.col("_size") - k - rest(k)) / parts).cast("int") for k in totals})
+    laid = laid.withColumns({
+        f"_length{k}_{i}": F.col(f"_short{k}") + (F.lit(i) > parts - F.col(f"_rest{k}")).cast("int") for k in totals for i in numbers
+    } | {
+        f"_start{k}_{i}": F.lit(i - 1) * F.col(f"_short{k}") + F.greatest(F.lit(0), F.lit(i - 1 - parts) + F.col(f"_rest{k}")) + 1
+        for k in totals for i in numbers})
+
+    def key(shorter: int, i: int, move: int = 0) -> Column:
+        at, length = F.col(f"_start{shorter}_{i}") + move, F.col(f"_length{shorter}_{i}")
+        piece = F.substring(F.col(line), at, length)
+        return F.when((at >= 1) & (at + length - 1 <= F.col("_size")), F.xxhash64(F.col("_size") - shorter, F.lit(i), piece))
+
+    found = [key(0, i) for i in numbers]
+    for shorter in totals:
+        for i in numbers:
             low, high = max(1 - i, shorter - (parts - i)), min(i - 1, shorter + (parts - i))
-            found += [key(total, i, start(total, i) + move) for move in range(low, high + 1)]
-    return F.array(*found)
+            found += [key(shorter, i, move) for move in range(low, high + 1)]
+    return laid.select(*[F.col(f"`{c}`") for c in df.columns], F.array(*found).alias("keys"))
 
 
 def letter_parities(line: str) -> Column:
     """One bit for each of 64 kinds of characters: is their number odd? An edit changes the numbers of two kinds at most, so the
     bits of lines within a distance differ in twice as many places at most."""
-    kinds = F.transform(F.split(F.col(line), ""), lambda c: F.ascii(c).bitwiseAND(F.lit(63)))
-    zero = F.lit(0).cast("long")
-    return F.aggregate(kinds, zero, lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+    # A shift goes by the last six bits of its count.
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    return F.aggregate(F.split(F.col(line), ""), zero, lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", one, F.ascii(c))))
 
 
 def parity_groups(distance: int = DISTANCE) -> list[int]:
@@ -178,10 +182,10 @@ def judge_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     every = lines_of(docs, id_col, text_col)
     long = F.char_length("line") >= least
     compared = long | F.col("line").rlike(r"[^\x20\x09-\x0D]")
-    different = stored(
-        every.filter(compared).groupBy("line").agg(F.min("place").alias("place")).select(
-            F.xxhash64("line").alias("ref"), "place", F.md5(F.col("line").cast("binary")).alias("digest"),
-            long.alias("long"), letter_parities("line").alias("letters"), keys_of("line", distance).alias("keys")), "lines")
+    different = every.filter(compared).groupBy("line").agg(F.min("place").alias("place"))
+    different = stored(with_keys(different, "line", distance).select(
+        F.xxhash64("line").alias("ref"), "place", F.md5(F.col("line").cast("binary")).alias("digest"), long.alias("long"),
+        F.when(long, letter_parities("line")).alias("letters"), F.when(long, F.col("keys")).alias("keys")), "lines")
     near = near_earlier(different.filter("long"), every.filter(long), distance, many).withColumn("near", F.lit(True))
     firsts = different.select("ref", "digest", "place").join(near, ["ref", "place"], "left").select(
         "digest", F.col("place").alias("first"), "near")

@@ -297,6 +297,25 @@ def test_components(spark, monkeypatch, kind, few):
     assert shared.components(df.limit(0)).collect() == []
 
 
+def test_near_lines_share_a_segment_key(spark):
+    """The longer of two lines within the distance probes a segment of the other; a line's length is counted once, not for every key."""
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(300):
+        a = b = "".join(rng.choices("etaoin xyz.é漢", k=rng.randrange(20, 60)))
+        for _ in range(2):
+            i = rng.randrange(len(b))
+            b = b[:i] + rng.choice(["", "a", "漢"]) + b[i + rng.randrange(2):]
+        pairs.append((a, b) if len(a) >= len(b) else (b, a))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    keyed = line_dedup.with_keys(line_dedup.with_keys(df, "a").withColumnRenamed("keys", "long"), "b")
+    assert keyed.columns == ["a", "b", "long", "keys"]
+    for r in keyed.collect():
+        assert len(r["keys"]) == 15 and {k for k in r["keys"][:3]} & {k for k in r["long"][3:]} - {None}, (r.a, r.b)
+    plan = line_dedup.with_keys(df, "a")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("length(a") == 1
+
+
 def test_letter_parities_bound_edits(spark):
     rng = random.Random(8)
     pairs = []
