@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratamill.operators.asof import latest_rows
+from stratamill.operators.asof import latest_picks, latest_rows
 
 JOBS = """SELECT o_custkey AS emplid, CAST(date_trunc('year', o_orderdate) AS DATE) AS effdt,
   CAST(o_orderkey % 4 AS INT) AS effseq, CAST((o_orderkey DIV 4) % 2 AS INT) AS empl_rcd,
@@ -99,3 +99,19 @@ def test_against_brute_force(spark, jobs):
         df, ["emplid"], as_of, sequences=["effseq", "empl_rcd"], among=F.col("job_indicator") == "P"
     ).select(df.columns)
     assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, expected))
+
+
+def test_picks_shuffle_once_and_keep_the_order_of_all_integers(spark, rows):
+    d = dt.date
+    data = [
+        (1, d(1899, 5, 1), -(2**31), 2**31 - 1), (1, d(1899, 5, 1), None, -1), (1, d(1899, 4, 30), 5, 5),
+        (2, d(2024, 1, 1), None, 0), (2, d(2024, 1, 1), None, None), (3, d(2030, 1, 1), 1, 1),
+    ]
+    expected = [(1, d(1899, 5, 1), -(2**31), 2**31 - 1), (2, d(2024, 1, 1), None, 0)]
+    for kind in ("int", "bigint"):
+        jobs = rows(data, f"emplid int, effdt date, effseq {kind}, empl_rcd {kind}")
+        picks = latest_picks(jobs, ["emplid"], "2025-01-01", sequences=["effseq", "empl_rcd"])
+        assert dict(picks.dtypes)["effseq"] == kind
+        plan = picks._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Aggregate(") == 2 and ("SortAggregate" in plan) == (kind == "bigint")
+        assert sorted(tuple(r) for r in picks.collect()) == expected
