@@ -21,7 +21,7 @@ from stratamill.operators import quality, status
 from stratamill.operators.align import union_labelled
 from stratamill.plans.loads import Step, load_master, load_snapshot, load_upsert, load_version_range, load_versions, run_steps
 from stratamill.plans.spec import BUCKET, Field, TableSpec
-from stratamill.session import scratch_dir
+from stratamill.session import compiled_methods, scratch_dir
 from stratamill.sources import files, jdbc, tables
 
 FINISHED = dt.datetime(2024, 2, 1, 4, 10, 0)
@@ -602,8 +602,9 @@ def workforce_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _name("x").partition(".")[0]
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
     names = [f.name for f in dataclasses.fields(daily.WorkforceSources)]
-    for name in names:
-        feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+    with compiled_methods(spark):
+        for name in names:
+            feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
     sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})
     daily.ensure_pick_tables(spark, sources, schema, 4)
     steps = daily.workforce_steps(sources, schema, REPORT, COMPANY, curated._FIRST_YEAR)
@@ -643,8 +644,9 @@ def workforce_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _name("x").partition(".")[0]
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{scratch_dir(spark, schema)}'")
     names = [f.name for f in dataclasses.fields(daily.WorkforceSources)]
-    for name in ("jobs", "past_jobs", "reviews"):
-        feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
+    with compiled_methods(spark):
+        for name in ("jobs", "past_jobs", "reviews"):
+            feed(spark, sf_dir, name).write.saveAsTable(f"{schema}.{name}")
     log = f"{schema}.load_log"
     tables.ensure_table(spark, TableSpec(log, tuple(Field(c, c, "string") for c in status.STATUS_COLUMNS), ()))
     sources = daily.WorkforceSources(**{name: f"{schema}.{name}" for name in names})

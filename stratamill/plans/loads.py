@@ -64,31 +64,32 @@ def run_steps(
             raise ValueError("resume needs the status log")
         done = status.finished_tables(spark.table(log), [s.table for s in steps], as_of)
     written = []
-    for step in steps:
-        if step.table in done and fingerprints is None:
-            continue
-        frame = step.frame(spark, as_of)
-        print_ = fingerprint.fingerprint(frame) if fingerprints else None
-        if step.table in done and print_ == fingerprint.last_recorded(spark, fingerprints, step.table, as_of):
-            continue
-        if step.before:
-            spark.sql(step.before)
+    with compiled_methods(spark):
+        for step in steps:
+            if step.table in done and fingerprints is None:
+                continue
             frame = step.frame(spark, as_of)
-        if step.files:
-            frame = tables.repartition_for_write(frame, step.files)
-        if step.mode == "overwrite":
-            tables.overwrite_partitions(frame, step.table, balance=not step.files)
-        else:
-            tables.append(frame, step.table, balance=not step.files)
-        if log is not None:
-            target = spark.table(step.table)
-            column = step.date_column or ("cob_dt" if "cob_dt" in target.columns else None)
-            if column is not None:
-                target = target.where(F.col(column).try_cast("date") == as_day(step.date or as_of))
-            tables.append(status.load_status(target, step.table, None, as_of), log)
-        if fingerprints is not None:
-            fingerprint.record(spark, fingerprints, step.table, as_of, print_)
-        written.append(step.table)
+            print_ = fingerprint.fingerprint(frame) if fingerprints else None
+            if step.table in done and print_ == fingerprint.last_recorded(spark, fingerprints, step.table, as_of):
+                continue
+            if step.before:
+                spark.sql(step.before)
+                frame = step.frame(spark, as_of)
+            if step.files:
+                frame = tables.repartition_for_write(frame, step.files)
+            if step.mode == "overwrite":
+                tables.overwrite_partitions(frame, step.table, balance=not step.files)
+            else:
+                tables.append(frame, step.table, balance=not step.files)
+            if log is not None:
+                target = spark.table(step.table)
+                column = step.date_column or ("cob_dt" if "cob_dt" in target.columns else None)
+                if column is not None:
+                    target = target.where(F.col(column).try_cast("date") == as_day(step.date or as_of))
+                tables.append(status.load_status(target, step.table, None, as_of), log)
+            if fingerprints is not None:
+                fingerprint.record(spark, fingerprints, step.table, as_of, print_)
+            written.append(step.table)
     return written
 
 

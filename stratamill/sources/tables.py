@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.operators.align import align
@@ -26,6 +26,9 @@ MOST_TASKS = 10_000
 #: Rows that one task writes to a bucket, about.
 BUCKET_ROWS = 500_000
 
+# Column of bucket numbers that rows are brought together by before a write; it is not written.
+DEALT = "__dealt"
+
 # Table providers that take MERGE, overwritePartitions and other row-level writes.
 ROW_LEVEL_PROVIDERS = {"iceberg", "delta", "hudi", "paimon"}
 
@@ -125,13 +128,19 @@ def insert_into(df: DataFrame, table: str, mode: str = "append", dynamic: bool =
     """Insert after aligning with the table: the writer itself goes by position.
 
     Rows of a partitioned table are first brought together by partition, so that not every task opens a file in every
-    one; a large partition is still written by several tasks. ``balance=False`` leaves the caller's own layout.
+    one; a large partition is still written by several tasks. Of a clustered table they are brought together by bucket too, so
+    that a task writes one bucket and not a file of each. ``balance=False`` leaves the caller's own layout.
     """
     spark = df.sparkSession
     require_table(spark, table)
     aligned = align(df, spark.table(table).schema)
     if balance and (parts := partition_columns(spark, table)):
-        aligned = repartition_for_write(aligned, by=parts)
+        number = bucket_number(spark, table)
+        if number is None:
+            aligned = repartition_for_write(aligned, by=parts)
+        else:
+            dealt = repartition_for_write(aligned.withColumn(DEALT, number), by=[*parts, DEALT])
+            aligned = dealt.select(*[F.col(f"`{c}`") for c in aligned.columns])
     if mode == "overwrite":
         with _overwrite_mode(spark, "dynamic" if dynamic else "static"):
             aligned.write.mode(mode).insertInto(table)
@@ -175,6 +184,15 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def bucket_number(spark: SparkSession, table: str) -> Column | None:
+    """The number of a row's bucket in a clustered plain table; None for other tables."""
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    keys = (detail.get("Bucket Columns") or "").strip("[]").replace("`", "")
+    if not keys:
+        return None
+    return F.pmod(F.hash(*[F.col(f"`{k.strip()}`") for k in keys.split(",")]), F.lit(int(detail["Num Buckets"])))
+
+
 def require_unpartitioned(spark: SparkSession, table: str) -> None:
     if parts := partition_columns(spark, table):
         raise ValueError(f"{table} is partitioned by {', '.join(parts)}: replace its partitions, it cannot be swapped whole")

@@ -3,6 +3,7 @@ import uuid
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.jobs import landing
@@ -536,3 +537,22 @@ def test_copy_keeps_the_targets_layout(spark, rows, dated, tmp_path):
     files.copy_parquet(spark, {folder: name})
     assert content(spark, dated) == [(1, "a", "2025-01-01")] and tables.partition_columns(spark, dated) == ["cob_dt"]
     assert spark.table(name).count() == 1
+
+
+def test_clustered_slices_are_written_by_bucket(spark):
+    """A day's rows that lie in one task are dealt to a task for each bucket, not written by one task to all of them."""
+    name = f"clustered_{uuid.uuid4().hex[:8]}"
+    fields = (Field("k", "k", "int"), Field("day", "day", "string"))
+    tables.ensure_table(spark, TableSpec(name, fields, ("k",), partition_by=("day",), buckets=4))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        tables.overwrite_partitions(spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("d").alias("day")).coalesce(1), name)
+        files = [r[0].rpartition("/")[2] for r in spark.table(name).select("_metadata.file_path").distinct().collect()]
+        assert len(files) == 4 and len({f.split("-")[1] for f in files}) > 1
+        assert spark.table(name).agg(F.count("*"), F.countDistinct("k")).first() == (1000, 1000)
+        assert spark.table(name).columns == ["k", "day"]
+    finally:
+        spark.conf.set(key, before)
+        spark.sql(f"DROP TABLE {name}")
