@@ -431,12 +431,16 @@ def _versions_spec(purpose: str, **layout) -> TableSpec:
 
 @register("versions_load_buckets", changing._DIMENSIONS + "SELECT * FROM dim2")
 def versions_load_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three loads by end date and hash of the key; the last day is first loaded with another month's picture."""
+    """Three loads by end date and hash of the key; the last day is first loaded with another month's picture.
+
+    Each picture is computed from the line items once and stored, as two of them are loaded twice."""
     spec = _versions_spec("versions", hash_buckets=8)
     _create(spark, spec)
-    days, pictures = changing.VERSION_DAYS, list(changing.PICTURES.values())
+    days, pictures = changing.VERSION_DAYS, [f"{spec.name}_{name}" for name in changing.PICTURES]
+    for name, picture in zip(pictures, changing.PICTURES.values()):
+        feed(spark, sf_dir, picture).write.saveAsTable(name)
     for day, picture in [*zip(days[:2], pictures), (days[2], pictures[0]), (days[2], pictures[2]), (days[2], pictures[2])]:
-        load_versions(feed(spark, sf_dir, picture), spec, day, "sr_key")
+        load_versions(spark.table(picture), spec, day, "sr_key")
     return changing._dates_as_text(spark.table(spec.name).drop(BUCKET))
 
 

@@ -537,3 +537,13 @@ def test_quantiles_gather_counts_only(spark):
     assert "percentile" not in found._jdf.queryExecution().executedPlan().toString()
     assert list(spark.sql(jdbc.quantile_query(f"{query} WHERE id < 0", "k", 3)).first()) == [None] * (n - 1)
     assert "approx_x(0.5)" in jdbc.quantile_query(query, "k", 1, "approx_x")
+
+
+def test_pictures_of_the_version_loads_are_computed_once(spark, small, monkeypatch):
+    """Five loads of three pictures read the line items three times."""
+    from checks import lake
+
+    texts, feed = [], lake.feed
+    monkeypatch.setattr(lake, "feed", lambda session, folder, text: texts.append(text) or feed(session, folder, text))
+    lake.versions_load_buckets(spark, small)
+    assert len(texts) == len(set(texts)) == 3
